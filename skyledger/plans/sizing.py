@@ -1,0 +1,34 @@
+"""Size checks behind broadcasts, and the shared folder of a job."""
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+# A broadcast table is held by every executor: rows beyond this bound are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def small_or_shuffled(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it is counted to have at most ``max_rows`` rows.
+
+    The count stops after ``max_rows + 1`` rows. A larger table comes back
+    without a hint: the join then shuffles both sides and adaptive execution
+    splits the partitions of hot keys.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder every executor can reach, for tables a job writes on its way.
+
+    Taken from ``spark.checkpoint.dir``. Only a local session without that
+    setting gets a temporary folder of its own.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="skyledger-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
