@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A broadcast table is held by every executor: rows beyond this bound are joined by a shuffle.
 BROADCAST_ROWS = 200_000
+# Summaries (a few numbers per group) are kept as literal rows up to this bound.
+SUMMARY_ROWS = 10_000
 
 
 def small_or_shuffled(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -18,6 +20,18 @@ def small_or_shuffled(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def small_once_or_shuffled(df: DataFrame, max_rows: int = SUMMARY_ROWS) -> DataFrame:
+    """Like ``small_or_shuffled`` for a summary that is costly to compute: a small one is computed only once.
+
+    At most ``max_rows + 1`` summary rows are fetched; beyond that the summary
+    stays a lazy table and is joined by a shuffle.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, for tables a job writes on its way.
 

@@ -1,0 +1,86 @@
+"""Data files as rows: listing, checksums, comparison of two listings."""
+
+import hashlib
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+CHUNK_BYTES = 8 * 1024 * 1024
+
+
+def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, length, modificationTime) of every file; the contents are not read."""
+    return (
+        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+        .select("path", "length", "modificationTime")
+    )
+
+
+def file_name(path: Column | str) -> Column:
+    return F.regexp_extract(path, r"([^/]+)$", 1)
+
+
+def _sha256_of(uri: str) -> str:
+    """Checksum of one file read in chunks, so that its size does not matter."""
+    from pyarrow import fs
+
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file":
+        filesystem, where = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    else:
+        filesystem, where = fs.FileSystem.from_uri(uri)
+    digest = hashlib.sha256()
+    with filesystem.open_input_stream(where) as stream:
+        while chunk := stream.read(CHUNK_BYTES):
+            digest.update(chunk)
+    return digest.hexdigest()
+
+
+def _with_sha256(batches):
+    for pdf in batches:
+        yield pd.DataFrame({
+            "name": pdf["name"], "key": pdf["key"], "size_bytes": pdf["size_bytes"],
+            "sha256": [_sha256_of(uri) for uri in pdf["path"]],
+        })
+
+
+def file_manifest(spark: SparkSession, path: str, prefix: str = "", pattern: str = "*") -> DataFrame:
+    """Name, key (prefix + name), size and SHA-256 of every file, one task per share of the files."""
+    name = file_name("path")
+    files = list_files(spark, path, pattern).select(
+        "path", name.alias("name"), F.concat(F.lit(prefix), name).alias("key"), F.col("length").alias("size_bytes")
+    )
+    spread = files.repartition(spark.sparkContext.defaultParallelism, "path")
+    return spread.mapInPandas(_with_sha256, "name string, key string, size_bytes long, sha256 string")
+
+
+def object_inventory(spark: SparkSession, path: str, prefix: str = "", pattern: str = "*") -> DataFrame:
+    """Key, size in MB and modification time of every file."""
+    return list_files(spark, path, pattern).select(
+        F.concat(F.lit(prefix), file_name("path")).alias("key"),
+        F.bround(F.col("length") / (1024 * 1024), 1).alias("size_mb"),
+        F.col("modificationTime").alias("modified"),
+    )
+
+
+def object_totals(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Number of files, bytes in all and on average."""
+    return list_files(spark, path, pattern).agg(
+        F.count("*").alias("total_objects"),
+        F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"),
+        F.avg("length").alias("avg_bytes"),
+    )
+
+
+def verify_manifest(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Every file of either manifest with a status: ok, missing, unexpected, size or checksum mismatch."""
+    e = expected.select("name", F.col("size_bytes").alias("expected_bytes"), F.col("sha256").alias("expected_sha256"))
+    a = actual.select("name", F.col("size_bytes").alias("actual_bytes"), F.col("sha256").alias("actual_sha256"))
+    status = (
+        F.when(F.col("actual_sha256").isNull(), "missing")
+        .when(F.col("expected_sha256").isNull(), "unexpected")
+        .when(F.col("expected_bytes") != F.col("actual_bytes"), "size_mismatch")
+        .when(F.col("expected_sha256") != F.col("actual_sha256"), "checksum_mismatch")
+        .otherwise("ok")
+    )
+    return e.join(a, "name", "full_outer").withColumn("status", status)
