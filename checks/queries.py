@@ -175,7 +175,7 @@ on_raw("summary_metrics", reporting.summary_metrics)
 on_raw("drop_incomplete", lambda r: cleaning.drop_incomplete(r).select("record_id", "country", "AQI"))
 
 
-@query
+@query(digits=8)
 def cast_columns(spark, folder):
     """All fifteen columns as text, converted back."""
     r = star.readings(spark, folder)
@@ -187,8 +187,8 @@ on_raw("valid_aqi", lambda r: cleaning.valid_range(r, "AQI", 0, 500).select("rec
 on_raw("pollution_severity", lambda r: r.select("record_id", aqi.pollution_severity("AQI").alias("pollution_severity")))
 on_raw("aqi_bracket", lambda r: r.select("record_id", aqi.aqi_bracket("AQI").alias("aqi_bracket")))
 on_raw("clean_readings", lambda r: cleaning.clean_readings(r).select(
-    "record_id", *cleaning.CAST_SPEC, "pollution_severity", "aqi_bracket"))
-on_raw("clamp_pollutants", lambda r: cleaning.clamp_to_ranges(r).select("record_id", *C.POLLUTANTS))
+    "record_id", *cleaning.CAST_SPEC, "pollution_severity", "aqi_bracket"), digits=8)
+on_raw("clamp_pollutants", lambda r: cleaning.clamp_to_ranges(r).select("record_id", *C.POLLUTANTS), digits=8)
 on_raw("cleaning_audit", cleaning.cleaning_audit)
 on_raw("traffic_factor", lambda r: r.select("record_id", derive.traffic_factor("hour").alias("traffic_factor")))
 on_raw("aqi_from_pm25", lambda r: r.select(
