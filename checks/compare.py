@@ -14,6 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from checks.oracle import ORACLE_SQL  # noqa: E402
 from checks.queries import QUERIES  # noqa: E402
+from skyledger.session import build_session  # noqa: E402
 
 TYPES = {
     "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN", "date": "DATE",
@@ -22,13 +23,10 @@ TYPES = {
 
 
 def session(cores: str = "8") -> SparkSession:
-    spark = (
-        SparkSession.builder.master(f"local[{cores}]").appName("skyledger-checks")
-        .config("spark.sql.shuffle.partitions", cores.replace("*", "8"))
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
-        .getOrCreate()
+    spark = build_session(
+        "skyledger-checks", f"local[{cores}]",
+        **{"spark.sql.shuffle.partitions": cores, "spark.ui.enabled": "false",
+           "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "8g")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -320,7 +320,7 @@ FROM readings JOIN registry USING (station_id)""")
 raw("commissioned_only", """
 SELECT record_id, station_id, year FROM readings JOIN registry USING (station_id) WHERE year >= commissioning_year""")
 stations("observation_spine", """
-SELECT station_id, count(*) AS slots, count(DISTINCT t) AS distinct_slots, min(t) AS first_slot, max(t) AS last_slot
+SELECT station_id, count(*) AS slots, CAST(sum(hour(t)) AS BIGINT) AS hour_sum, min(t) AS first_slot, max(t) AS last_slot
 FROM (SELECT station_id, commissioning_year,
              unnest(generate_series(TIMESTAMP '1995-01-01 00:00:00', TIMESTAMP '2001-12-31 21:00:00', INTERVAL 3 HOUR)) AS t
       FROM registry)

@@ -14,6 +14,7 @@ from skyledger.operators import (
 from skyledger.plans.pipeline import run_pipeline
 from skyledger.plans.sizing import shared_folder
 from skyledger.schema import readings_schema
+from skyledger.session import apply_runtime_settings
 from skyledger.sources import files, readings as source, results, sampling, star
 
 EXACT_ACCURACY = 1_000_000
@@ -30,22 +31,26 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) + F.lit(0.0) for n in doubles}) if doubles else df
 
 
+def add(name: str, build: Query, digits: int) -> None:
+    QUERIES[name] = lambda spark, folder: rounded(build(apply_runtime_settings(spark), folder), digits)
+
+
 def query(build: Query | None = None, *, digits: int = 6):
     """Register a query under its function name."""
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = lambda spark, folder: rounded(fn(spark, folder), digits)
+        add(fn.__name__, fn, digits)
         return fn
     return register(build) if build else register
 
 
 def on_raw(name: str, fn: Callable[[DataFrame], DataFrame], digits: int = 6) -> None:
     """Register a function of the raw readings."""
-    QUERIES[name] = lambda spark, folder: rounded(fn(star.readings(spark, folder)), digits)
+    add(name, lambda spark, folder: fn(star.readings(spark, folder)), digits)
 
 
 def on_clean(name: str, fn: Callable[[DataFrame], DataFrame], digits: int = 6) -> None:
     """Register a function of the cleaned readings."""
-    QUERIES[name] = lambda spark, folder: rounded(fn(cleaning.clean_readings(star.readings(spark, folder))), digits)
+    add(name, lambda spark, folder: fn(cleaned(spark, folder)), digits)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -248,7 +253,7 @@ def commissioned_only(spark, folder):
 def observation_spine(spark, folder):
     spine = joins.observation_spine(star.registry(spark, folder), FIRST_DAY, LAST_DAY)
     return spine.groupBy("station_id").agg(
-        F.count("*").alias("slots"), F.countDistinct("timestamp").alias("distinct_slots"),
+        F.count("*").alias("slots"), F.sum(F.hour("timestamp")).alias("hour_sum"),
         F.min("timestamp").alias("first_slot"), F.max("timestamp").alias("last_slot"),
     )
 
@@ -409,25 +414,36 @@ def feature_importance(spark, folder):
     return tuning.feature_importance(spark, search.model, features.feature_names(train))
 
 
-def _tuned(spark: SparkSession, folder: str) -> list[DataFrame]:
-    train, test = split_features(spark, folder)
-    return [tune(train, test, "small", 2)[1] for tune in (tuning.tune_random_forest, tuning.tune_gradient_boosting)]
+_TUNED: dict[tuple[str, str], str] = {}
 
 
-@query
-def model_comparison(spark, folder):
-    return tuning.model_comparison(_tuned(spark, folder))
+def _tuned(spark: SparkSession, folder: str) -> DataFrame:
+    """Tuning table of two models; three queries read it, so it is fitted and stored once per application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _TUNED:
+        base = new_folder(spark, "tuning")
+        train, test = split_features(spark, folder)
+        forest, boosting = (tune(train, test, "small", 2)[1] for tune in (tuning.tune_random_forest, tuning.tune_gradient_boosting))
+        sinks.write_tuning_results(forest.unionByName(boosting), base)
+        _TUNED[key] = base
+    return results.read_result_table(spark, _TUNED[key], sinks.TUNING_TABLE)
 
 
 @query
 def write_tuning_results(spark, folder):
-    base = new_folder(spark, "tuning")
-    forest, boosting = _tuned(spark, folder)
-    sinks.write_tuning_results(forest.unionByName(boosting), base)
-    return results.read_result_table(spark, base, sinks.TUNING_TABLE)
+    return _tuned(spark, folder)
+
+
+@query
+def model_comparison(spark, folder):
+    return tuning.model_comparison([_tuned(spark, folder)])
 
 
 @query
 def model_ranking(spark, folder):
-    forest, boosting = _tuned(spark, folder)
-    return reporting.model_ranking(forest.unionByName(boosting))
+    return reporting.model_ranking(_tuned(spark, folder))
+
+
+@query
+def model_summary(spark, folder):
+    return reporting.model_summary(_tuned(spark, folder))

@@ -1,6 +1,9 @@
 """Clusters and principal components of city pollution profiles."""
 
-from pyspark.ml.clustering import KMeans
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
@@ -23,20 +26,24 @@ def _vectors(scaled: DataFrame, columns) -> DataFrame:
 
 
 def city_clusters(scaled: DataFrame, k: int = 4, restarts: int = 10, seed: int = 42, key: str = "city",
-                  columns=tuple(C.PROFILE_COLUMNS)) -> DataFrame:
+                  columns=tuple(C.PROFILE_COLUMNS), parallelism: int = 4) -> DataFrame:
     """(city, cluster): the cheapest of ``restarts`` k-means fits on standardised profiles.
 
-    The profiles (one row per city) are kept in memory only while fitting.
+    The profiles (one row per city) are kept in memory only while fitting;
+    ``parallelism`` fits run at the same time.
     """
     vectors = _vectors(scaled, columns).select(key, "features").persist()
+
+    @inheritable_thread_target
+    def fit(attempt: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed + attempt, featuresCol="features", predictionCol="cluster").fit(vectors)
+
     try:
-        best, cost = None, float("inf")
-        for attempt in range(restarts):
-            model = KMeans(k=k, seed=seed + attempt, featuresCol="features", predictionCol="cluster").fit(vectors)
-            if model.summary.trainingCost < cost:
-                best, cost = model, model.summary.trainingCost
+        with ThreadPoolExecutor(parallelism) as pool:
+            models = list(pool.map(fit, range(restarts)))
     finally:
         vectors.unpersist()
+    best = min(models, key=lambda model: model.summary.trainingCost)
     return best.transform(_vectors(scaled, columns)).select(key, "cluster")
 
 

@@ -90,17 +90,58 @@ def trend_line(r: DataFrame, x: str, y: str = "AQI", n: int = 100, low: float |
 # --- correlations ---------------------------------------------------------------
 
 def correlation_matrix(r: DataFrame, cols: list[str] = C.POLLUTANTS) -> DataFrame:
-    """Pairwise-complete Pearson correlations as (a, b, corr) rows, all from one aggregation."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    upper = r.agg(
-        *[pair_corr(a, b).alias(f"{a}|{b}") for a, b in pairs],
-        # a column correlates with itself unless it is constant
-        *[F.when(F.stddev_pop(_value(a)) > 0, 1.0).alias(f"{a}|{a}") for a in cols],
+    """Pairwise-complete Pearson correlations as (a, b, corr) rows; NULL where a column is constant.
+
+    Rows are grouped by which columns are present. Inside such a group every
+    pair is complete, so plain sums of products are enough: one set per pattern
+    instead of one per pair. A pair then adds up the patterns that hold both
+    columns. Values are taken relative to the column means (first pass), which
+    keeps the sums accurate.
+    """
+    cols = list(cols)
+    present = r.select(*[_value(c).alias(c) for c in cols])
+    means = present.agg(F.struct(*[F.avg(c).alias(c) for c in cols])).scalar()
+    centred = present.select(*[(F.col(c) - means[c]).alias(c) for c in cols])
+    pattern = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in cols])
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    sums = centred.groupBy(pattern.alias("pattern")).agg(
+        F.count("*").alias("n"),
+        *[F.sum(c).alias(f"sum_{c}") for c in cols],
+        *[F.min(c).alias(f"min_{c}") for c in cols],
+        *[F.max(c).alias(f"max_{c}") for c in cols],
+        *[F.sum(F.col(a) * F.col(b)).alias(f"sum_{a}_{b}") for a, b in pairs],
     )
-    cells = [(a, b, f"{a}|{b}") for a, b in pairs] + [(b, a, f"{a}|{b}") for a, b in pairs] + [(a, a, f"{a}|{a}") for a in cols]
-    return upper.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{name}`").alias("corr")) for a, b, name in cells
-    ])).alias("cell")).select("cell.*")
+    return _corr_of_pairs(sums, cols)
+
+
+def _corr_of_pairs(sums: DataFrame, cols: list[str]) -> DataFrame:
+    """Correlation of each ordered pair from the sums per presence pattern (at most 2**columns rows)."""
+    place = {c: i for i, c in enumerate(cols)}
+
+    def cell(a: str, b: str) -> str:
+        first, second = sorted((a, b), key=place.get)
+        return (
+            f"named_struct('a', '{a}', 'b', '{b}', "
+            f"'both', substring(pattern, {place[a] + 1}, 1) = '1' AND substring(pattern, {place[b] + 1}, 1) = '1', "
+            f"'sum_a', `sum_{a}`, 'sum_b', `sum_{b}`, 'sum_aa', `sum_{a}_{a}`, 'sum_bb', `sum_{b}_{b}`, "
+            f"'sum_ab', `sum_{first}_{second}`, "
+            f"'min_a', `min_{a}`, 'max_a', `max_{a}`, 'min_b', `min_{b}`, 'max_b', `max_{b}`)"
+        )
+
+    cells = ", ".join(cell(a, b) for a in cols for b in cols)
+    # a pair that no row completes stays in the result with a NULL correlation
+    pairs = sums.selectExpr("n", f"inline(array({cells}))").selectExpr(
+        "a", "b", *[f"CASE WHEN both THEN {c} END AS {c}" for c in
+                    ("n", "sum_a", "sum_b", "sum_aa", "sum_bb", "sum_ab", "min_a", "max_a", "min_b", "max_b")])
+    totals = pairs.groupBy("a", "b").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sum_a", "sum_b", "sum_aa", "sum_bb", "sum_ab")],
+        (F.max("max_a") > F.min("min_a")).alias("a_varies"), (F.max("max_b") > F.min("min_b")).alias("b_varies"),
+    )
+    corr = F.expr("""
+        CASE WHEN NOT (a_varies AND b_varies) THEN NULL WHEN a = b THEN 1.0D
+             ELSE try_divide(sum_ab - sum_a * sum_b / n,
+                             sqrt(sum_aa - sum_a * sum_a / n) * sqrt(sum_bb - sum_b * sum_b / n)) END""")
+    return totals.select("a", "b", corr.alias("corr"))
 
 
 def corr_pairs(r: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
