@@ -34,7 +34,7 @@ def city_clusters(scaled: DataFrame, k: int = 4, restarts: int = 10, seed: int =
     """
     vectors = _vectors(scaled, columns).select(key, "features").persist()
 
-    @inheritable_thread_target
+    @inheritable_thread_target(scaled.sparkSession)
     def fit(attempt: int) -> KMeansModel:
         return KMeans(k=k, seed=seed + attempt, featuresCol="features", predictionCol="cluster").fit(vectors)
 

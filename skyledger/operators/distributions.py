@@ -40,10 +40,10 @@ def histogram(r: DataFrame, column: str, bins: int = 50) -> DataFrame:
         values.withColumn("bin", _bin_of(F.col("v"), bounds["low"], bounds["high"], bins))
         .groupBy("bin").agg(F.count("*").alias("n"))
     )
-    low, high = _bin_range(F.col("low"), F.col("high"))
-    edges = spread.filter("low IS NOT NULL").select(
-        low.alias("low"), high.alias("high"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    )
+    low, high = _bin_range(bounds["low"], bounds["high"])
+    edges = r.sparkSession.range(bins).select(
+        F.col("id").cast("int").alias("bin"), low.alias("low"), high.alias("high")
+    ).filter("low IS NOT NULL")
     return _filled(edges, counts, ["bin"], bins)
 
 
@@ -190,9 +190,7 @@ def describe(r: DataFrame, cols: list[str] = C.POLLUTANTS, digits: int | None =
     quantiles = (approx_quantiles if approx else exact_quantiles)(r, cols, list(names))
     label = F.coalesce(*[F.when(F.col("prob") == p, name) for p, name in names.items()])
     # the three labels are always there, also when every value is missing
-    labels = basic.filter("statistic = 'count'").select(
-        F.explode(F.array(*map(F.lit, names.values()))).alias("statistic")
-    )
+    labels = r.sparkSession.createDataFrame([(name,) for name in names.values()], "statistic string")
     middle = labels.join(
         quantiles.groupBy(label.alias("statistic")).agg(
             *[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in cols]

@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 from skyledger.functions.aqi import aqi_badge, bracket_start, r2_badge, regulation_badge
-from skyledger.functions.numeric import half_even
-from skyledger.operators.trends import corr_pairs, extreme_groups, group_reduction
+from skyledger.functions.numeric import half_even, nan_to_null, pair_corr
+from skyledger.operators.trends import extreme_groups, reduction_pct
 from skyledger.sources.readings import dataset_overview
 
 ONE_DIGIT = {name: 1 for name in (
@@ -106,40 +106,37 @@ def overview_cards(country: DataFrame, city: DataFrame, tuning: DataFrame | None
     return cards.withColumns({"best_model": best["best_model"], "best_r2": best["best_r2"]})
 
 
+def _metric_rows(row: DataFrame, section: str, numbers: dict[str, str], texts: dict[str, str]) -> DataFrame:
+    """One-row table to (section, metric, value, text) rows; metric name -> column."""
+    cells = [f"named_struct('metric', '{m}', 'value', CAST({c} AS DOUBLE), 'text', CAST(NULL AS STRING))"
+             for m, c in numbers.items()]
+    cells += [f"named_struct('metric', '{m}', 'value', CAST(NULL AS DOUBLE), 'text', CAST({c} AS STRING))"
+              for m, c in texts.items()]
+    return row.selectExpr(f"'{section}' AS section", f"inline(array({', '.join(cells)}))")
+
+
 def summary_metrics(r: DataFrame) -> DataFrame:
-    """The figures of the written summary as (section, metric, value, text) rows."""
-    overview = dataset_overview(r)
-    extremes = extreme_groups(r, "country")
-    means = r.agg(F.avg(F.nanvl(F.col("AQI").cast("double"), F.lit(None).cast("double"))).alias("global_mean_aqi"))
-    pairs = {"corr_industrial_output_index_AQI": "industrial_output_correlation",
-             "corr_regulation_stringency_score_AQI": "regulation_correlation"}
-    correlations = corr_pairs(r, [("industrial_output_index", "AQI"), ("regulation_stringency_score", "AQI")])
-    correlations = correlations.withColumnsRenamed(pairs)
-
-    def numbers(df: DataFrame, section: str, names: list[str]) -> DataFrame:
-        cast = df.select(*[F.col(n).cast("double").alias(n) for n in names])
-        return cast.unpivot([], names, "metric", "value").select(
-            F.lit(section).alias("section"), "metric", "value", F.lit(None).cast("string").alias("text"))
-
-    def texts(df: DataFrame, section: str, names: list[str]) -> DataFrame:
-        cast = df.select(*[F.col(n).cast("string").alias(n) for n in names])
-        return cast.unpivot([], names, "metric", "text").select(
-            F.lit(section).alias("section"), "metric", F.lit(None).cast("double").alias("value"), "text")
-
-    parts = [
-        numbers(overview, "overview", ["total_records", "countries", "cities", "stations"]),
-        texts(overview, "overview", ["first_date", "last_date"]),
-        numbers(means, "findings", ["global_mean_aqi"]),
-        texts(extremes.withColumnsRenamed({"highest": "most_polluted_country", "lowest": "cleanest_country"}),
-              "findings", ["most_polluted_country", "cleanest_country"]),
-        numbers(correlations, "findings", list(pairs.values())),
-        numbers(group_reduction(r).withColumnRenamed("reduction_pct", "carbon_tax_reduction_pct"),
-                "findings", ["carbon_tax_reduction_pct"]),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """The figures of the written summary as (section, metric, value, text) rows, from three passes."""
+    overview = _metric_rows(
+        dataset_overview(r), "overview",
+        {name: name for name in ("total_records", "countries", "cities", "stations")},
+        {name: name for name in ("first_date", "last_date")},
+    )
+    findings = _metric_rows(
+        r.agg(
+            F.avg(nan_to_null(F.col("AQI").cast("double"))).alias("mean"),
+            pair_corr("industrial_output_index", "AQI").alias("industry"),
+            pair_corr("regulation_stringency_score", "AQI").alias("regulation"),
+            reduction_pct().alias("reduction"),
+        ), "findings",
+        {"global_mean_aqi": "mean", "industrial_output_correlation": "industry", "regulation_correlation": "regulation",
+         "carbon_tax_reduction_pct": "reduction"}, {},
+    )
+    extremes = _metric_rows(
+        extreme_groups(r, "country"), "findings", {},
+        {"most_polluted_country": "highest", "cleanest_country": "lowest"},
+    )
+    return overview.unionByName(findings).unionByName(extremes)
 
 
 def model_summary(tuning: DataFrame) -> DataFrame:

@@ -54,10 +54,14 @@ def extreme_groups(r: DataFrame, key: str) -> DataFrame:
     )
 
 
-def group_reduction(r: DataFrame, flag: str = "has_carbon_tax", column: str = "AQI") -> DataFrame:
+def reduction_pct(flag: str = "has_carbon_tax", column: str = "AQI") -> Column:
     """Fall of the mean from flag 0 to flag 1 in percent; NULL unless both groups exist."""
     without, with_ = (F.avg(F.when(F.col(flag) == side, _value(column))) for side in (0, 1))
-    return r.agg((F.try_divide(without - with_, without) * 100).alias("reduction_pct"))
+    return F.try_divide(without - with_, without) * 100
+
+
+def group_reduction(r: DataFrame, flag: str = "has_carbon_tax", column: str = "AQI") -> DataFrame:
+    return r.agg(reduction_pct(flag, column).alias("reduction_pct"))
 
 
 # --- linear trends --------------------------------------------------------------
@@ -138,9 +142,10 @@ def _corr_of_pairs(sums: DataFrame, cols: list[str]) -> DataFrame:
         (F.max("max_a") > F.min("min_a")).alias("a_varies"), (F.max("max_b") > F.min("min_b")).alias("b_varies"),
     )
     corr = F.expr("""
-        CASE WHEN NOT (a_varies AND b_varies) THEN NULL WHEN a = b THEN 1.0D
-             ELSE try_divide(sum_ab - sum_a * sum_b / n,
-                             sqrt(sum_aa - sum_a * sum_a / n) * sqrt(sum_bb - sum_b * sum_b / n)) END""")
+        CASE WHEN a_varies AND b_varies THEN
+          CASE WHEN a = b THEN 1.0D
+               ELSE try_divide(sum_ab - sum_a * sum_b / n,
+                               sqrt(sum_aa - sum_a * sum_a / n) * sqrt(sum_bb - sum_b * sum_b / n)) END END""")
     return totals.select("a", "b", corr.alias("corr"))
 
 

@@ -53,9 +53,9 @@ def _timed(entries: list[dict], stage: str, table: str, job: Callable[[], int])
     return rows
 
 
-def _store_all(entries: list[dict], base: str, tables: dict[str, Callable[[], DataFrame]], at_once: int) -> None:
+def _store_all(spark: SparkSession, entries: list[dict], base: str, tables: dict[str, Callable[[], DataFrame]], at_once: int) -> None:
     """Write several result tables as concurrent Spark jobs, so that small final stages overlap."""
-    @inheritable_thread_target
+    @inheritable_thread_target(spark)
     def store(name: str) -> None:
         _timed(entries, name, name, lambda: sinks.write_result(tables[name](), name, base))
 
@@ -63,14 +63,14 @@ def _store_all(entries: list[dict], base: str, tables: dict[str, Callable[[], Da
         list(pool.map(store, tables))
 
 
-def store_result_tables(cleaned: DataFrame, base: str, entries: list[dict] | None = None, at_once: int = 4) -> None:
+def store_result_tables(cleaned: DataFrame, base: str, entries: list[dict] | None = None, at_once: int = 8) -> None:
     """The seven result tables of cleaned readings."""
     entries = [] if entries is None else entries
-    _store_all(entries, base, {n: (lambda f=f: f(cleaned)) for n, f in RESULT_TABLES.items()}, at_once)
+    _store_all(cleaned.sparkSession, entries, base, {n: (lambda f=f: f(cleaned)) for n, f in RESULT_TABLES.items()}, at_once)
 
 
 def run_pipeline(spark: SparkSession, source: str | DataFrame, base: str, stages="all", fmt: str = "csv",
-                 scale: str = "full", at_once: int = 4) -> list[dict]:
+                 scale: str = "full", at_once: int = 8) -> list[dict]:
     """Run all or some stages in their fixed order and log each; returns the log entries.
 
     ``source`` is a path or a readings DataFrame, ``base`` a folder that all
@@ -92,7 +92,7 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, base: str, stages
         if "tables" in chosen:
             store_result_tables(spark.read.parquet(table_path(base, CLEANED)), base, entries, at_once)
         if "analysis" in chosen:
-            _store_all(entries, base, {n: (lambda f=f: f(raw)) for n, f in ANALYSES.items()}, at_once)
+            _store_all(spark, entries, base, {n: (lambda f=f: f(raw)) for n, f in ANALYSES.items()}, at_once)
             _store_clusters(raw, base, entries)
         if "models" in chosen:
             _timed(entries, "model_tuning", sinks.TUNING_TABLE, lambda: _store_models(raw, base, scale))

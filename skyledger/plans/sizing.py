@@ -41,8 +41,13 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="skyledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        folder = _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="skyledger-")
+        context.setCheckpointDir(folder)
+    return _local_folders[context.applicationId]
+
+
+_local_folders: dict[str, str] = {}

@@ -9,7 +9,11 @@ CHUNK_BYTES = 8 * 1024 * 1024
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, length, modificationTime) of every file; the contents are not read."""
+    """(path, length, modificationTime) of every file; the contents are not read.
+
+    A file of zero bytes makes no task in Spark's file sources and is not listed;
+    a data file has at least its header or footer.
+    """
     return (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
         .select("path", "length", "modificationTime")

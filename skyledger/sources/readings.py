@@ -97,14 +97,14 @@ def dataset_metadata(r: DataFrame, part_col: str) -> DataFrame:
         F.min("first").cast("string").alias("start"),
         F.max("last").cast("string").alias("end"),
     ).withColumn("columns", F.lit(len(r.columns)).cast("long"))
-    numbers = one_row.unpivot([], ["records", "columns", "countries", "cities", "stations"], "item", "records_")
-    dates = one_row.unpivot([], ["start", "end"], "item", "detail")
-    totals = numbers.select(
-        F.lit("total").alias("section"), "item", F.col("records_").alias("records"),
-        F.lit(None).cast("string").alias("detail"),
-    ).unionByName(dates.select(
-        F.lit("total").alias("section"), "item", F.lit(None).cast("long").alias("records"), "detail",
-    ))
+    totals = one_row.selectExpr("""inline(array(
+        named_struct('section', 'total', 'item', 'records', 'records', records, 'detail', CAST(NULL AS STRING)),
+        named_struct('section', 'total', 'item', 'columns', 'records', columns, 'detail', CAST(NULL AS STRING)),
+        named_struct('section', 'total', 'item', 'countries', 'records', countries, 'detail', CAST(NULL AS STRING)),
+        named_struct('section', 'total', 'item', 'cities', 'records', cities, 'detail', CAST(NULL AS STRING)),
+        named_struct('section', 'total', 'item', 'stations', 'records', stations, 'detail', CAST(NULL AS STRING)),
+        named_struct('section', 'total', 'item', 'start', 'records', CAST(NULL AS BIGINT), 'detail', start),
+        named_struct('section', 'total', 'item', 'end', 'records', CAST(NULL AS BIGINT), 'detail', `end`)))""")
     return totals.unionByName(items)
 
 

@@ -23,29 +23,26 @@ def smallest_per_group(df: DataFrame, group: list[str], bucket: Column, order: l
     ``bucket`` must never fall while ``order`` rises. ``n`` may be an
     expression over ``_groups``, the number of groups.
     """
-    keys = group or ["_all"]
-    tagged = df.withColumn("_bucket", bucket) if group else df.withColumns({"_bucket": bucket, "_all": F.lit(1)})
-    counts = tagged.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
-    groups = counts.select(*keys).distinct().agg(F.count("*").alias("_groups"))
-    running = Window.partitionBy(*keys).orderBy("_bucket")
-    limit = (F.lit(n) if isinstance(n, int) else n).cast("long")
+    tagged = df.withColumn("_bucket", bucket)
+    counts = tagged.groupBy(*group, "_bucket").agg(F.count("*").alias("_n"))
+    running = Window.partitionBy(*group).orderBy("_bucket")
+    groups = df.select(*group).distinct().agg(F.count("*")).scalar() if group else F.lit(1)
     cuts = (
-        counts.withColumns({
-            "_before": F.sum("_n").over(running) - F.col("_n"),
-            "_groups": groups.scalar(),
-        })
-        .withColumn("_limit", limit)
+        counts.withColumns({"_before": F.sum("_n").over(running) - F.col("_n"), "_groups": groups})
+        .withColumn("_limit", (F.lit(n) if isinstance(n, int) else n).cast("long"))
         .filter(F.col("_before") < F.col("_limit"))
-        .groupBy(*keys).agg(F.max("_bucket").alias("_cut"), F.first("_limit").alias("_limit"))
+        .groupBy(*group).agg(F.max("_bucket").alias("_cut"), F.first("_limit").alias("_limit"))
     )
-    cuts = cuts.select(*[F.col(k).alias(f"_cut_{k}") for k in keys], "_cut", "_limit")
-    same_group = [F.col(k).eqNullSafe(F.col(f"_cut_{k}")) for k in keys]
-    below = tagged.join(small_once_or_shuffled(cuts), same_group).filter(
-        F.col("_bucket").isNull() | (F.col("_bucket") <= F.col("_cut"))
-    )
-    lane = F.spark_partition_id() % spread
-    ranked = below.withColumn("_lane", lane)
-    for partition in (keys + ["_lane"], keys):
+    if group:
+        renamed = cuts.withColumnsRenamed({k: f"_cut_{k}" for k in group})
+        same_group = [F.col(k).eqNullSafe(F.col(f"_cut_{k}")) for k in group]
+        tagged = tagged.join(small_once_or_shuffled(renamed), same_group)
+    else:
+        cut = cuts.select(F.struct("_cut", "_limit")).scalar()
+        tagged = tagged.withColumns({"_cut": cut["_cut"], "_limit": cut["_limit"]})
+    ranked = tagged.filter(F.col("_bucket").isNull() | (F.col("_bucket") <= F.col("_cut")))
+    ranked = ranked.withColumn("_lane", F.spark_partition_id() % spread)
+    for partition in (group + ["_lane"], group):
         window = Window.partitionBy(*partition).orderBy(*order)
         ranked = ranked.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= F.col("_limit"))
     return ranked.select(*df.columns)
