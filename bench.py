@@ -1,7 +1,8 @@
 """Time the headline queries and the whole pipeline; prints one JSON line.
 
 ``value`` is the wall time of the pipeline the baseline publishes (scan CSV,
-clean, seven result tables, store); every key of ``queries`` is a single
+clean, seven result tables, store) on its first run in a new session;
+``pipeline_warm`` is a second run. Every other key of ``queries`` is a single
 operator over the same readings.
 """
 
@@ -54,7 +55,8 @@ def main() -> None:
     raw = scan_readings(spark, f"{work}/csv", schema=readings_schema(record_id="string"))
     rows = raw.count()
     pipeline = timed(lambda: run_pipeline(spark, raw, f"{work}/results", ["clean", "tables"]))
-    queries = {"pipeline": pipeline}
+    again = timed(lambda: run_pipeline(spark, raw, f"{work}/again", ["clean", "tables"]))
+    queries = {"pipeline": pipeline, "pipeline_warm": again}
     for name in HEADLINE:
         queries[name] = timed(lambda: QUERIES[name](spark, FOLDER).write.format("noop").mode("overwrite").save())
     print(json.dumps({

@@ -185,7 +185,7 @@ UNION ALL SELECT 'sector_impact', count(*) FROM (SELECT DISTINCT dominant_indust
 UNION ALL SELECT 'policy_effectiveness', count(*) FROM (SELECT DISTINCT country, has_carbon_tax FROM cleaned)
 UNION ALL SELECT 'hourly_patterns', count(*) FROM (SELECT DISTINCT hour FROM cleaned)
 UNION ALL SELECT 'health_correlations', count(*) FROM (SELECT DISTINCT aqi_bracket FROM cleaned)"""
-clean("run_pipeline_tables", CATALOG)
+clean("run_pipeline", CATALOG)
 clean("result_catalog", CATALOG)
 clean("append_log", f"""
 SELECT 'data_cleaning' AS stage, count(*) AS records_processed, 'cleaned_readings' AS output_table FROM cleaned

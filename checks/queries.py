@@ -11,7 +11,7 @@ from skyledger.functions import aqi, derive
 from skyledger.operators import (
     cleaning, clusters, distributions, features, joins, reporting, result_tables, sinks, trends, tuning,
 )
-from skyledger.plans.pipeline import run_pipeline
+from skyledger.plans import pipeline
 from skyledger.plans.sizing import shared_folder
 from skyledger.schema import readings_schema
 from skyledger.session import apply_runtime_settings
@@ -144,12 +144,12 @@ def write_readings(spark, folder):
 
 def _stored(spark: SparkSession, folder: str) -> str:
     base = new_folder(spark, "pipeline")
-    run_pipeline(spark, star.readings(spark, folder), base, ["clean", "tables"])
+    pipeline.run_pipeline(spark, star.readings(spark, folder), base, ["clean", "tables"])
     return base
 
 
 @query
-def run_pipeline_tables(spark, folder):
+def run_pipeline(spark, folder):
     """Clean and aggregate into stored tables; the row count of each."""
     base = _stored(spark, folder)
     return sinks.result_catalog({n: results.read_result_table(spark, base, n) for n in result_tables.RESULT_TABLES})
@@ -444,6 +444,11 @@ def model_ranking(spark, folder):
     return reporting.model_ranking(_tuned(spark, folder))
 
 
+@query
+def r2_badge(spark, folder):
+    return _tuned(spark, folder).select("model_name", aqi.r2_badge("test_r2").alias("r2_badge"))
+
+
 @query
 def model_summary(spark, folder):
     return reporting.model_summary(_tuned(spark, folder))

@@ -6,13 +6,16 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from skyledger.operators import clusters, distributions, features, reporting, sinks, trends, tuning
 from skyledger.operators.cleaning import clean_readings
 from skyledger.operators.result_tables import RESULT_TABLES
+from skyledger.schema import READINGS_SCHEMA
 from skyledger.sources.readings import scan_readings
 from skyledger.sources.results import table_path
 
+READINGS = "readings"
 CLEANED = "cleaned_readings"
 STAGES = ("clean", "tables", "analysis", "models")
 
@@ -70,21 +73,27 @@ def store_result_tables(cleaned: DataFrame, base: str, entries: list[dict] | Non
 
 
 def run_pipeline(spark: SparkSession, source: str | DataFrame, base: str, stages="all", fmt: str = "csv",
-                 scale: str = "full", at_once: int = 8) -> list[dict]:
+                 scale: str = "full", at_once: int = 8, schema: StructType = READINGS_SCHEMA) -> list[dict]:
     """Run all or some stages in their fixed order and log each; returns the log entries.
 
     ``source`` is a path or a readings DataFrame, ``base`` a folder that all
-    executors share. The cleaned readings are written once as Parquet and read
-    back with only the columns each table needs; unlike a cached table this
-    copy survives the loss of executors and does not compete for memory.
+    executors share. CSV is parsed once: if analyses or models follow, the
+    readings are first stored as Parquet. The cleaned readings are stored, too,
+    and every later step reads only the columns it needs. Unlike a cached table
+    these copies survive the loss of executors and do not compete for memory.
     """
     chosen = STAGES if stages == "all" else tuple(stages)
     unknown = set(chosen) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
-    raw = scan_readings(spark, source, fmt) if isinstance(source, str) else source
+    raw = scan_readings(spark, source, fmt, schema) if isinstance(source, str) else source
     entries: list[dict] = []
     try:
+        if isinstance(source, str) and fmt == "csv" and {"analysis", "models"} & set(chosen):
+            stored = table_path(base, READINGS)
+            csv = raw
+            _timed(entries, "ingest", READINGS, lambda: sinks.write_readings(csv, stored, "parquet"))
+            raw = scan_readings(spark, stored, "parquet", schema)
         if "clean" in chosen:
             path = table_path(base, CLEANED)
             _timed(entries, "data_cleaning", CLEANED,

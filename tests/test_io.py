@@ -133,7 +133,7 @@ def test_pipeline_stores_and_logs_every_table(spark, readings, tmp_path):
     base, raw = str(tmp_path / "base"), str(tmp_path / "raw")
     sinks.write_readings(readings.withColumn("record_id", F.monotonically_increasing_id()), raw)
     entries = run_pipeline(spark, raw, base, ["clean", "tables", "analysis"])
-    assert entries[0]["stage"] == "data_cleaning"
+    assert [e["stage"] for e in entries[:2]] == ["ingest", "data_cleaning"]
     catalog = {r["table_name"]: r["row_count"] for r in sinks.result_catalog(sinks.stored_tables(spark, base)).collect()}
     for entry in entries:
         assert catalog[entry["output_table"]] == entry["records_processed"] > 0
@@ -143,6 +143,13 @@ def test_pipeline_stores_and_logs_every_table(spark, readings, tmp_path):
         run_pipeline(spark, raw, base, ["paint"])
 
 
+def test_pipeline_tunes_models(spark, readings, tmp_path):
+    entries = run_pipeline(spark, readings, str(tmp_path), ["models"], scale="small")
+    assert [(e["stage"], e["records_processed"]) for e in entries] == [("model_tuning", 3)]
+    stored = results.read_result_table(spark, str(tmp_path), sinks.TUNING_TABLE)
+    assert stored.count() == 3 and stored.first()["test_r2"] > 0.8
+
+
 def test_pipeline_logs_what_was_done_before_a_failure(spark, readings, tmp_path):
     broken = readings.drop("VOC")
     with pytest.raises(Exception):
