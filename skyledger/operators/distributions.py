@@ -113,8 +113,8 @@ def exact_quantiles(r: DataFrame, cols: list[str], probs: list[float], steps: in
     """
     values = _long(r, cols)
     ranges = 2 ** steps
-    limits = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    split = values.groupBy("column").agg(F.percentile_approx("value", limits, 10 * ranges).alias("split"))
+    limits = F.expr(f"array({', '.join(f'{i / ranges}D' for i in range(1, ranges))})")
+    split = values.groupBy("column").agg(F.percentile_approx("value", limits, 2 * ranges).alias("split"))
     # one row per column: the size of this broadcast is fixed by the arguments
     counted = values.groupBy("column", "value").agg(F.count("*").alias("n")).join(F.broadcast(split), "column")
     counted = counted.select("column", "value", "n", _range_of(F.col("value"), F.col("split"), steps).alias("range"))
