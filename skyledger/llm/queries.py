@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from skyledger.llm import mixing, packing, token_counts
+from skyledger.llm import mixing, packing, quality, token_counts, toxicity
 from skyledger.llm.inputs import read
 
 
@@ -14,6 +14,16 @@ def op6_packing(spark, sf_dir):
     return packed.drop("ids")
 
 
+def op7_toxicity(spark, sf_dir):
+    """Toxicity of all documents."""
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op8_quality(spark, sf_dir):
+    """Quality of all documents."""
+    return quality.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_mixing(spark, sf_dir):
     """Words taken of every document by the weighted mix."""
     return mixing.mix(read(spark, sf_dir, "documents"))
@@ -26,6 +36,8 @@ def op10_token_counts(spark, sf_dir):
 
 QUERIES = {
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
+    "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_token_counts": op10_token_counts,
 }
