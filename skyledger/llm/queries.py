@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from skyledger.llm import mixing, packing, quality, token_counts, toxicity
+from skyledger.llm import jaccard, mixing, packing, quality, token_counts, toxicity
 from skyledger.llm.inputs import read
 
 
+def op5_jaccard_join(spark, sf_dir):
+    """Classes of all documents linked by shingle similarity."""
+    return jaccard.link_documents(read(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark, sf_dir):
     """Pieces of all documents in windows of 4096 tokens."""
     packed = packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -35,6 +40,7 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_quality": op8_quality,
@@ -42,4 +48,7 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL = {"op9_mixing": mixing.MIX_SQL}
+ORACLE_SQL = {
+    "op5_jaccard_join": jaccard.LINK_SQL,
+    "op9_mixing": mixing.MIX_SQL,
+}
