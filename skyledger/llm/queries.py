@@ -4,10 +4,20 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from skyledger.llm import jaccard, mixing, packing, quality, token_counts, toxicity
+from skyledger.llm import jaccard, mixing, neardup, packing, quality, token_counts, topk, toxicity
 from skyledger.llm.inputs import read
 
 
+def op1_embedding_near_dedup(spark, sf_dir):
+    """Links and classes of all vectors."""
+    return neardup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+def op2_exact_top_k(spark, sf_dir):
+    """The five best rows of every fiftieth vector."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
 def op5_jaccard_join(spark, sf_dir):
     """Classes of all documents linked by shingle similarity."""
     return jaccard.link_documents(read(spark, sf_dir, "documents"))
@@ -40,6 +50,8 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op2_exact_top_k": op2_exact_top_k,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
@@ -49,6 +61,8 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_embedding_near_dedup": neardup.NEARDUP_SQL,
+    "op2_exact_top_k": topk.TOP_K_SQL,
     "op5_jaccard_join": jaccard.LINK_SQL,
     "op9_mixing": mixing.MIX_SQL,
 }
