@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from skyledger.llm import jaccard, mixing, neardup, packing, quality, token_counts, topk, toxicity
+from skyledger.llm import html_text, jaccard, mixing, neardup, packing, quality, token_counts, topk, toxicity, warc
 from skyledger.llm.inputs import read
 
 
@@ -18,6 +18,16 @@ def op2_exact_top_k(spark, sf_dir):
     return topk.top_k(read(spark, sf_dir, "embeddings"))
 
 
+def op3_html_extraction(spark, sf_dir):
+    """Main text of all pages."""
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+def op4_warc(spark, sf_dir):
+    """Metadata and conversion records of the responses of all pages."""
+    return warc.derive_records(warc.page_responses(read(spark, sf_dir, "pages")))
+
+
 def op5_jaccard_join(spark, sf_dir):
     """Classes of all documents linked by shingle similarity."""
     return jaccard.link_documents(read(spark, sf_dir, "documents"))
@@ -52,6 +62,8 @@ def op10_token_counts(spark, sf_dir):
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_exact_top_k": op2_exact_top_k,
+    "op3_html_extraction": op3_html_extraction,
+    "op4_warc": op4_warc,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
