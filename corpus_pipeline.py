@@ -1,17 +1,64 @@
-"""The corpus pipeline: stages over documents, each the input of the next."""
+"""The corpus pipeline: stages over documents, each working on all that the one before kept.
+
+A stage takes (spark, docs, sf_dir) and returns a frame, which is written and read
+again as the next stage's documents. Labels come from the folder's table. Rows keep
+the columns of documents up to the last stage, which returns pieces of sequences.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skyledger.llm import jaccard, mixing, packing, quality, toxicity
+from skyledger.llm.inputs import read, written
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below 0.3."""
+    score = toxicity.scorer(toxicity.train(docs, read(spark, sf_dir, "labels")))
+    return docs.where(score(F.col("text")) < 0.3)
+
+
+def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score is at least 0.7."""
+    score = quality.scorer(quality.train(docs, read(spark, sf_dir, "labels")))
+    return docs.where(score(F.col("text")) >= 0.7)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates, the one with the smallest id."""
+    return jaccard.one_of_each(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the weights of their sources ask for."""
+    return mixing.mixed_documents(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 4096 tokens, with their ids."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
 
-STAGES = []
+STAGES = [
+    ("toxicity", without_toxic),
+    ("quality", of_quality),
+    ("jaccard_join", without_copies),
+    ("mixing", mixed),
+    ("packing", packed),
+]
 
+# the two classifiers are numpy models, which SQL cannot express
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after the other, over the documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    docs = read(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES):
+            docs = written(docs)
     return docs

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,21 +25,31 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The frame cut from its lineage by a checkpoint in the shared folder of ``spark.checkpoint.dir``.
+def shared_folder(session: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which the driver and all executors share.
 
-    The session's setting is used; a folder is set here only where a session
-    has none, which is the case in tests on one machine.
+    One is made here only where a session has none and runs on one machine,
+    which is the case in tests.
     """
-    session = df.sparkSession
     context = session.sparkContext
+    folder = session.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="skyledger-checkpoint-")
     if context.getCheckpointDir() is None:
-        folder = session.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        if not folder:
-            if not context.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="skyledger-checkpoint-")
         context.setCheckpointDir(folder)
+    return folder
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame cut from its lineage by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The frame written to the shared folder as a Parquet table and read again."""
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

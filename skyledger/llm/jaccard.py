@@ -265,6 +265,27 @@ def link_documents(docs: DataFrame, width: int = 5, numerator: int = 4, denomina
     return worded.unionByName(sized.where("size = 0").select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The documents whose id is the smallest of their class, with all their columns.
+
+    Of rows that repeat such an id one stays (the one with the smallest text).
+    Documents without an id stay only where a class has no id at all, and all of
+    its rows do.
+    """
+    linked = link_documents(docs, **options)
+    kept = linked.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    nameless = linked.where("component_id IS NULL").limit(1).count()
+    place = docs.columns.index("doc_id"), docs.columns.index("text")
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    mine = plain.join(kept, F.col(f"_c{place[0]}") == F.col("kept_id"), "left_semi")
+    others = [f"_c{i}" for i in range(len(docs.columns)) if i not in place]
+    single = mine.groupBy(f"_c{place[0]}").agg(F.min(F.struct(f"_c{place[1]}", *others)).alias("row")).select(f"_c{place[0]}", "row.*")
+    single = single.select(*plain.columns)
+    if nameless:
+        single = single.unionByName(plain.where(F.col(f"_c{place[0]}").isNull()))
+    return single.toDF(*docs.columns)
+
+
 LINK_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents

@@ -53,8 +53,8 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
     )
 
 
-def mix(docs: DataFrame, seed: str = "mix", slices: int = 4096) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target (both of its source), taken, whole_copies.
+def mix(docs: DataFrame, seed: str = "mix", slices: int = 4096, carry: dict[str, str] | None = None) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target (both of its source), taken, whole_copies, and columns to ``carry`` (name to type).
 
     ``taken`` counts the words the mix takes of the document: its size times the
     whole copies, plus its size if it is sampled; the document at the edge of a
@@ -64,13 +64,15 @@ def mix(docs: DataFrame, seed: str = "mix", slices: int = 4096) -> DataFrame:
     doc_id takes part under one random number; other columns are left out; an
     empty table gives no rows.
     """
-    sized = stored(pick(docs, doc_id="long", source="string", text="string").select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    carry = carry or {}
+    rows = pick(docs, **{"doc_id": "long", "source": "string", "text": "string"} | carry).withColumn("size", word_count(F.col("text")))
+    sized = stored(rows.select("doc_id", "source", "size"))
     targets = source_targets(sized).select(F.col("source").alias("of_source"), "source_size", "target")
     digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 12)
     chance = (F.conv(digits, 16, 10).cast("long") + 1) / F.lit(float(2**48 + 2))
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     ranked = (
-        sized.join(targets, F.col("source").eqNullSafe(F.col("of_source")))
+        (rows if carry else sized).join(targets, F.col("source").eqNullSafe(F.col("of_source")))
         .withColumn("whole_copies", F.floor(expected).cast("long"))
         .withColumn("missing", F.round("target").cast("long") - F.col("whole_copies") * F.col("source_size"))
         .withColumn("inclusion", expected - F.col("whole_copies"))
@@ -93,10 +95,35 @@ def mix(docs: DataFrame, seed: str = "mix", slices: int = 4096) -> DataFrame:
         .withColumn("sampled", F.greatest(F.lit(0), F.least(F.col("size"), F.col("wanted") - F.col("before"))))
     )
     rest = placed.where(~at_edge | F.col("edge").isNull()).withColumn("sampled", F.when(F.col("slice") < F.col("edge"), F.col("size")).otherwise(0))
-    columns = ["doc_id", "size", "source_size", "target", (F.col("whole_copies") * F.col("size") + F.col("sampled")).cast("long").alias("taken"), "whole_copies"]
+    columns = ["doc_id", "size", "source_size", "target", (F.col("whole_copies") * F.col("size") + F.col("sampled")).cast("long").alias("taken"), "whole_copies",
+               *(c for c in carry if c not in ("doc_id", "size"))]
     return rest.select(*columns).unionByName(close.select(*columns))
 
 
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The documents as the mix takes them: whole copies as repeated rows, and at the edge of a source's sample the words still missing.
+
+    The columns are those of documents; n_chars is counted anew where a text is
+    cut. Documents without words come as often as their source's whole copies.
+    """
+    columns = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
+    taken = mix(docs, carry=columns, **options)
+    size = F.greatest("size", F.lit(1))
+    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / size)).otherwise(F.col("whole_copies")).cast("int")
+    more = (F.col("taken") % size).cast("int")
+    # the text behind the last word to keep is what a split into one part more leaves over; white space in front makes an empty first part
+    rest = F.element_at(F.split("text", r"[\x20\x09-\x0D]+", more + 1 + F.col("text").rlike(r"^[\x20\x09-\x0D]").cast("int")), -1)
+    cut = F.expr("substring(text, 1, length(text) - length(rest))")
+    copies = F.concat(
+        F.array_repeat(F.struct("text", "n_chars"), whole),
+        F.when(more > 0, F.array(F.struct(cut.alias("text"), F.length(cut).cast("long").alias("n_chars")))).otherwise(F.array()),
+    )
+    return (
+        taken.withColumn("rest", F.when(more > 0, rest).otherwise("")).select("doc_id", "lang", "source", F.explode(copies).alias("copy"))
+        .select("doc_id", "copy.text", "lang", "source", "copy.n_chars")
+    )
+
+
 MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
