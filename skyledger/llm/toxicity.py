@@ -6,7 +6,7 @@ softmax layer over the average gives the class. Rows and layer are trained
 jointly in numpy. A document counts as toxic as its most toxic window, so a
 single insult in a long text is not averaged away; training first lets all
 windows carry the label of their document, then goes on with the window that
-stands out in each document.
+stands out in each document; small samples are gone over more often.
 
 As average and layer are linear, scoring needs one number per n-gram row, which
 is all that executors receive.
@@ -115,7 +115,7 @@ def top_logits(texts: list[str], model: Model) -> np.ndarray:
 
 
 def fit(texts: list[str], labels: np.ndarray, shares: tuple[int, int], window: int = 8, buckets: int = 1 << 17, dims: int = 8,
-        warm_epochs: int = 1, rounds: int = 12, rate: float = 0.4, seed: int = 7) -> Model:
+        warm_steps: int = 80, top_steps: int = 160, rate: float = 0.4, seed: int = 7) -> Model:
     """The model of the given texts; without examples of both labels it gives every text the smoothed share of label 1."""
     rng = np.random.default_rng(seed)
     prior = float(np.log((shares[1] + 1) / (shares[0] + 1)))
@@ -176,13 +176,15 @@ def fit(texts: list[str], labels: np.ndarray, shares: tuple[int, int], window: i
         score = (held[gram_starts[1:]] - held[gram_starts[:-1]]) / np.maximum(grams, 1)
         return np.bincount(number, score[inverse]) / np.bincount(number)
 
-    for _ in range(warm_epochs):
-        for part in np.array_split(rng.permutation(len(doc_of)), max(1, len(doc_of) // 2048)):
+    parts = max(1, len(doc_of) // 2048)
+    for _ in range(-(-warm_steps // parts)):
+        for part in np.array_split(rng.permutation(len(doc_of)), parts):
             step(part)
-    for _ in range(rounds):
+    parts = max(1, len(used) // 256)
+    for _ in range(-(-top_steps // parts)):
         means = ends_of()
         best = np.lexsort((-means, doc_of))[first_window[used]]
-        for part in np.array_split(rng.permutation(best), max(1, len(best) // 256)):
+        for part in np.array_split(rng.permutation(best), parts):
             step(part)
     difference = table @ (layer[:, 1] - layer[:, 0])
     model = Model(difference.astype(np.float32), float(bias[1] - bias[0]), 1.0, 0.0, window)
