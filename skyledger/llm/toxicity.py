@@ -14,6 +14,7 @@ is all that executors receive.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +27,7 @@ from skyledger.llm.inputs import pick
 from skyledger.llm.labelled import class_shares, held_out, platt, training_sample
 
 SIZES = (3, 4, 5)
+FIELDS = ["rows", "offset", "slope", "shift", "window"]
 OPEN, CLOSE = 0x110001, 0x110002
 
 
@@ -126,10 +128,13 @@ def fit(texts: list[str], labels: np.ndarray, shares: tuple[int, int], window: i
     rows, spans = _grams(text, starts[first], ends[first], buckets)
     lengths = np.stack([np.minimum(s[1], len(r)) - np.minimum(s[0], len(r)) for r, s in zip(rows, spans, strict=True)])
     lengths = np.maximum(lengths, 0)
-    owner = np.concatenate([np.repeat(np.arange(len(first)), n) for n in lengths])
-    flat = np.concatenate([r[ragged.gather(s[0], n)] for r, s, n in zip(rows, spans, lengths, strict=True)])
-    order = np.argsort(owner, kind="stable")
-    flat, gram_starts = flat[order].astype(np.int32), np.append(0, np.cumsum(lengths.sum(0)))
+    gram_starts = np.append(0, np.cumsum(lengths.sum(0)))
+    flat = np.empty(gram_starts[-1], np.int32)
+    begin = gram_starts[:-1].copy()
+    for place, (own, _), size in zip(rows, spans, lengths, strict=True):
+        flat[ragged.gather(begin, size)] = place[ragged.gather(own, size)]
+        begin += size
+    del rows, spans, text, starts, ends, hashes
     grams = np.diff(gram_starts)
     number, first_window = _windows(word_starts, window)
     window_starts = np.append(np.searchsorted(number, np.arange(first_window[-1])), len(number))
@@ -172,8 +177,12 @@ def fit(texts: list[str], labels: np.ndarray, shares: tuple[int, int], window: i
 
     def ends_of() -> np.ndarray:
         difference = table @ (layer[:, 1] - layer[:, 0])
-        held = np.append(0, np.cumsum(difference[flat], dtype=np.float64))
-        score = (held[gram_starts[1:]] - held[gram_starts[:-1]]) / np.maximum(grams, 1)
+        score = np.empty(len(grams))
+        for a in range(0, len(grams), 20_000):
+            part = slice(gram_starts[a], gram_starts[min(a + 20_000, len(grams))])
+            held = np.append(0, np.cumsum(difference[flat[part]], dtype=np.float64))
+            edges = gram_starts[a : a + 20_001] - gram_starts[a]
+            score[a : a + 20_000] = (held[edges[1:]] - held[edges[:-1]]) / np.maximum(grams[a : a + 20_000], 1)
         return np.bincount(number, score[inverse]) / np.bincount(number)
 
     parts = max(1, len(doc_of) // 2048)
@@ -206,9 +215,22 @@ def scorer(model: Model):
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic: int = 1000, clean: int = 2500, max_chars: int = 6000, **options) -> Model:
-    """The model learnt from at most ``toxic`` and ``clean`` labelled documents of the kinds, outside the held-out fold."""
-    sample = training_sample(docs, labels, "toxic", toxic, clean, max_chars).toPandas().sort_values("doc_id", ignore_index=True)
-    return fit(sample["text"].tolist(), sample["label"].to_numpy(np.int64), class_shares(labels, "toxic"), **options)
+    """The model learnt from at most ``toxic`` and ``clean`` labelled documents of the kinds, outside the held-out fold.
+
+    The bounded sample goes to one task, which is fitted there; the driver gets
+    the numbers of the model only.
+    """
+    sample, shares = training_sample(docs, labels, "toxic", toxic, clean, max_chars), class_shares(labels, "toxic")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "label": []}), *batches]).sort_values("doc_id", ignore_index=True)
+        model = fit(known["text"].tolist(), known["label"].to_numpy(np.int64), shares, **options)
+        yield pd.DataFrame([(model.rows.astype("<f4").tobytes(), model.offset, model.slope, model.shift, model.window)], columns=FIELDS)
+
+    row = sample.repartition(1).mapInPandas(run, "rows binary, offset double, slope double, shift double, window int").first()
+    if row is None:  # no labelled rows, no task
+        return fit([], np.zeros(0, np.int64), shares, **options)
+    return Model(np.frombuffer(row.rows, "<f4"), row.offset, row.slope, row.shift, row.window)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
