@@ -4,37 +4,64 @@ Declaring it saves the extra full pass that schema inference costs.
 """
 
 from pyspark.sql.types import (
-    DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
+    DataType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
 )
 
-_TYPES = {
-    "long": LongType(), "int": IntegerType(), "double": DoubleType(), "string": StringType(),
-    "ts": TimestampNTZType(), "date": DateType(),
-}
-
 # fixed values: column order and type of the source files
-_COLUMNS = """
-record_id:long timestamp:ts date:date year:int month:int day:int hour:int day_of_week:int is_weekend:int
-station_id:string station_name:string country:string city:string latitude:double longitude:double elevation_m:int
-station_type:string
-PM2_5:double PM10:double NO2:double SO2:double CO:double O3:double VOC:double Lead:double
-AQI:int AQI_category:string
-temperature_c:double humidity_pct:double wind_speed_mps:double wind_direction_deg:int pressure_hpa:double
-precipitation_mm:double
-industrial_output_index:double active_factory_count:int emission_standard_level:int has_carbon_tax:int
-green_energy_pct:double dominant_industry_sector:string regulatory_compliance_rate:double
-respiratory_cases_per_100k:double cardiovascular_cases_per_100k:double hospital_admissions_per_100k:double
-premature_deaths_per_million:double
-regulation_stringency_score:int policy_change_flag:int environmental_investment_index:double
-data_quality_flag:string sensor_calibration_status:string
-""".split()
-
-
-def readings_schema(**overrides: str) -> StructType:
-    """The readings schema; a keyword replaces one column's type, e.g. ``record_id="string"``."""
-    pairs = [item.split(":") for item in _COLUMNS]
-    return StructType([StructField(name, _TYPES[overrides.get(name, kind)]) for name, kind in pairs])
+READINGS_SCHEMA = StructType([
+    StructField("record_id", LongType()),
+    StructField("timestamp", TimestampNTZType()),
+    StructField("date", DateType()),
+    StructField("year", IntegerType()),
+    StructField("month", IntegerType()),
+    StructField("day", IntegerType()),
+    StructField("hour", IntegerType()),
+    StructField("day_of_week", IntegerType()),
+    StructField("is_weekend", IntegerType()),
+    StructField("station_id", StringType()),
+    StructField("station_name", StringType()),
+    StructField("country", StringType()),
+    StructField("city", StringType()),
+    StructField("latitude", DoubleType()),
+    StructField("longitude", DoubleType()),
+    StructField("elevation_m", IntegerType()),
+    StructField("station_type", StringType()),
+    StructField("PM2_5", DoubleType()),
+    StructField("PM10", DoubleType()),
+    StructField("NO2", DoubleType()),
+    StructField("SO2", DoubleType()),
+    StructField("CO", DoubleType()),
+    StructField("O3", DoubleType()),
+    StructField("VOC", DoubleType()),
+    StructField("Lead", DoubleType()),
+    StructField("AQI", IntegerType()),
+    StructField("AQI_category", StringType()),
+    StructField("temperature_c", DoubleType()),
+    StructField("humidity_pct", DoubleType()),
+    StructField("wind_speed_mps", DoubleType()),
+    StructField("wind_direction_deg", IntegerType()),
+    StructField("pressure_hpa", DoubleType()),
+    StructField("precipitation_mm", DoubleType()),
+    StructField("industrial_output_index", DoubleType()),
+    StructField("active_factory_count", IntegerType()),
+    StructField("emission_standard_level", IntegerType()),
+    StructField("has_carbon_tax", IntegerType()),
+    StructField("green_energy_pct", DoubleType()),
+    StructField("dominant_industry_sector", StringType()),
+    StructField("regulatory_compliance_rate", DoubleType()),
+    StructField("respiratory_cases_per_100k", DoubleType()),
+    StructField("cardiovascular_cases_per_100k", DoubleType()),
+    StructField("hospital_admissions_per_100k", DoubleType()),
+    StructField("premature_deaths_per_million", DoubleType()),
+    StructField("regulation_stringency_score", IntegerType()),
+    StructField("policy_change_flag", IntegerType()),
+    StructField("environmental_investment_index", DoubleType()),
+    StructField("data_quality_flag", StringType()),
+    StructField("sensor_calibration_status", StringType()),
+])
+READINGS_COLUMNS = READINGS_SCHEMA.fieldNames()
 
 
-READINGS_SCHEMA = readings_schema()
-READINGS_COLUMNS = READINGS_SCHEMA.fieldNames()
+def readings_schema(**overrides: DataType) -> StructType:
+    """The readings schema; a keyword replaces one column's type, e.g. ``record_id=StringType()``."""
+    return StructType([StructField(f.name, overrides.get(f.name, f.dataType)) for f in READINGS_SCHEMA])

@@ -2,11 +2,10 @@
 
 from pyspark.sql import SparkSession
 
-# Runtime settings, safe to apply to a session someone else has built.
 # HotSpot does not compile methods above 8000 bytes of bytecode; wide projections
 # then run faster without whole-stage code generation (Spark's own documentation
 # suggests this value for HotSpot).
-RUNTIME_SETTINGS = {
+HOTSPOT_SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
@@ -22,17 +21,11 @@ BUILD_SETTINGS = {
 }
 
 
-def apply_runtime_settings(spark: SparkSession) -> SparkSession:
-    for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
-
-
 def build_session(app_name: str = "skyledger", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings above; the master is left to ``spark-submit`` unless given."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**BUILD_SETTINGS, **RUNTIME_SETTINGS, **settings}.items():
+    for key, value in {**BUILD_SETTINGS, **HOTSPOT_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

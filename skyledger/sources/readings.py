@@ -35,10 +35,6 @@ def scan_profile(r: DataFrame) -> DataFrame:
     )
 
 
-def rows_by_year(r: DataFrame) -> DataFrame:
-    return r.groupBy("year").agg(F.count("*").alias("row_count"))
-
-
 def parse_time_columns(r: DataFrame, timestamp: str = "timestamp", date: str = "date") -> DataFrame:
     """Timestamp and date parsed from text; text that is no time becomes NULL."""
     return r.withColumns({
@@ -106,8 +102,3 @@ def dataset_metadata(r: DataFrame, part_col: str) -> DataFrame:
         named_struct('section', 'total', 'item', 'start', 'records', CAST(NULL AS BIGINT), 'detail', start),
         named_struct('section', 'total', 'item', 'end', 'records', CAST(NULL AS BIGINT), 'detail', `end`)))""")
     return totals.unionByName(items)
-
-
-def column_list(r: DataFrame) -> list[tuple[int, str, str]]:
-    """Position, name and type of every column."""
-    return [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(r.schema, start=1)]
