@@ -1,5 +1,8 @@
 """Counts, histograms, exact quantiles, summary statistics and box statistics."""
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyledger import constants as C
@@ -7,6 +10,8 @@ from skyledger.functions.numeric import half_even, nan_to_null
 
 STATISTICS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 QUANTILE_BUCKET_STEPS = 10  # 2**10 value ranges per column
+QUANTILE_TASK_ROWS = 4_000_000  # a range with more rows is cut up again
+QUANTILE_ROUNDS = 6  # 2**60 ranges are enough for any table
 
 
 def value_counts(r: DataFrame, column: str, count: str = "n") -> DataFrame:
@@ -47,21 +52,23 @@ def histogram(r: DataFrame, column: str, bins: int = 50) -> DataFrame:
     return _filled(edges, counts, ["bin"], bins)
 
 
-def histogram_by(values: DataFrame, column: str, by: str, bins: int) -> DataFrame:
-    """A histogram per group over the group's own range.
+def value_ranges(r: DataFrame, column: str, by: str, *more: Column) -> DataFrame:
+    """Smallest and largest value of the column per group, NULL for a group without values."""
+    value = nan_to_null(F.col(column).cast("double"))
+    return r.filter(F.col(by).isNotNull()).groupBy(by).agg(F.min(value).alias("low"), F.max(value).alias("high"), *more)
 
-    ``values`` must hold a bounded number of groups (a listed or limited set):
-    one range row per group is broadcast to the second pass.
-    """
-    values = values.select(by, nan_to_null(F.col(column).cast("double")).alias("v")).filter("v IS NOT NULL")
-    spread = values.groupBy(by).agg(F.min("v").alias("low"), F.max("v").alias("high"))
+
+def histogram_by(r: DataFrame, column: str, by: str, bins: int, ranges: DataFrame | None = None) -> DataFrame:
+    """A histogram per group over the group's own range; ``ranges`` (by, low, high) selects groups and saves a pass."""
+    ranges = (value_ranges(r, column, by) if ranges is None else ranges).filter("low IS NOT NULL")
+    values = r.select(by, nan_to_null(F.col(column).cast("double")).alias("v")).filter("v IS NOT NULL")
     counts = (
-        values.join(F.broadcast(spread), by)
+        values.join(ranges, by)
         .withColumn("bin", _bin_of(F.col("v"), F.col("low"), F.col("high"), bins))
         .groupBy(by, "bin").agg(F.count("*").alias("n"))
     )
     low, high = _bin_range(F.col("low"), F.col("high"))
-    edges = spread.select(
+    edges = ranges.select(
         by, low.alias("low"), high.alias("high"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
     )
     return _filled(edges, counts, [by, "bin"], bins)
@@ -77,16 +84,12 @@ def _filled(edges: DataFrame, counts: DataFrame, keys: list[str], bins: int) ->
     )
 
 
-def first_seen(r: DataFrame, by: str, n: int, order=("timestamp", "record_id")) -> DataFrame:
-    """The ``n`` values of ``by`` that appear first in time."""
-    seen = r.filter(F.col(by).isNotNull()).groupBy(by).agg(F.min(F.struct(*order)).alias("first"))
-    return seen.orderBy("first", by).limit(n).select(by)
-
-
-def compliance_histogram(r: DataFrame, bins: int = 30, first_n: int = 8) -> DataFrame:
-    # at most ``first_n`` rows are broadcast
-    chosen = r.join(F.broadcast(first_seen(r, "country", first_n)), "country")
-    return histogram_by(chosen, "regulatory_compliance_rate", "country", bins)
+def compliance_histogram(r: DataFrame, bins: int = 30, first_n: int = 8, order=("timestamp", "record_id")) -> DataFrame:
+    """Compliance rate for the ``first_n`` countries that appear first in time; one pass finds these and their ranges."""
+    column = "regulatory_compliance_rate"
+    seen = value_ranges(r, column, "country", F.min(F.struct(*order)).alias("first"))
+    ranges = seen.orderBy("first", "country").limit(first_n).select("country", "low", "high")
+    return histogram_by(r, column, "country", bins, ranges)
 
 
 def admissions_histogram(r: DataFrame, bins: int = 30, categories=tuple(C.ADMISSION_CATEGORIES)) -> DataFrame:
@@ -103,67 +106,98 @@ def _long(r: DataFrame, cols: list[str]) -> DataFrame:
     return wide.unpivot([], cols, "column", "value").filter("value IS NOT NULL")
 
 
-def exact_quantiles(r: DataFrame, cols: list[str], probs: list[float], steps: int = QUANTILE_BUCKET_STEPS) -> DataFrame:
+@dataclass(frozen=True)
+class _Span:
+    """Values of a column over ``low`` up to ``high`` (None: no bound), the number of smaller ones, and the ranks looked for."""
+
+    column: str
+    low: float | None
+    high: float | None
+    before: int
+    size: int
+    ranks: tuple[int, ...]
+
+
+def _in_spans(values: DataFrame, spans: list[_Span]) -> DataFrame:
+    """(span, value) rows; the spans are a few literals, so this filters the scan."""
+    rows = [(i, s.column, s.low, s.high) for i, s in enumerate(spans)]
+    table = values.sparkSession.createDataFrame(rows, "span int, of string, low double, high double")
+    inside = (F.col("low").isNull() | (F.col("value") > F.col("low"))) & (F.col("high").isNull() | (F.col("value") <= F.col("high")))
+    return values.join(F.broadcast(table), (F.col("column") == F.col("of")) & inside).select("span", "value")
+
+
+def _narrowed(values: DataFrame, spans: list[_Span], ranges: int) -> list[_Span]:
+    """The parts of the spans that hold the wanted ranks, found by a sketch of the limits and a count per range."""
+    inside = _in_spans(values, spans)
+    steps = F.expr(f"array({', '.join(f'{i / ranges}D' for i in range(1, ranges))})")
+    # one row per span: the size of both tables follows from the arguments
+    sketch = inside.groupBy("span").agg(F.percentile_approx("value", steps, 2 * ranges).alias("limits"))
+    limits = {row["span"]: sorted(set(row["limits"])) for row in sketch.collect()}
+    table = values.sparkSession.createDataFrame(list(limits.items()), "span int, limits array<double>")
+    counted = inside.join(F.broadcast(table), "span").groupBy("span", _range_of(F.col("value"), F.col("limits"), ranges).alias("range")).count()
+    sizes: dict[int, dict[int, int]] = {}
+    for row in counted.collect():
+        sizes.setdefault(row["span"], {})[row["range"]] = row["count"]
+    out = []
+    for i, span in enumerate(spans):
+        before, edges = span.before, limits.get(i, [])
+        for number, size in sorted(sizes.get(i, {}).items()):
+            ranks = tuple(r for r in span.ranks if before <= r < before + size)
+            if ranks:
+                low = edges[number - 1] if number else span.low
+                high = edges[number] if number < len(edges) else span.high
+                out.append(_Span(span.column, low, high, before, size, ranks))
+            before += size
+    return out
+
+
+def exact_quantiles(r: DataFrame, cols: list[str], probs: list[float], steps: int = QUANTILE_BUCKET_STEPS,
+                    task_rows: int = QUANTILE_TASK_ROWS) -> DataFrame:
     """Linearly interpolated quantiles of each column as (column, prob, value) rows.
 
-    Exact without ever holding a column in one task: values are counted
-    (map-side), dealt into 2**steps ranges of about equal weight, and only the
-    ranges in which a wanted rank falls are sorted. The range limits come from
-    an approximate percentile; they decide the balance, never the result.
+    Exact without ever shuffling a column: a sketch gives 2**steps ranges of
+    about equal weight, the values are counted per range (map-side), and only
+    ranges in which a wanted rank falls are kept; while one of them holds more
+    than ``task_rows`` rows it is cut up in the same way. The values of the last
+    ranges are filtered at the scan, counted and ranked. The sketch decides the
+    balance, never the result. Searching takes a few small jobs; what reaches
+    the driver is bounded by the number of columns, quantiles and ranges.
     """
-    values = _long(r, cols)
-    ranges = 2 ** steps
-    limits = F.expr(f"array({', '.join(f'{i / ranges}D' for i in range(1, ranges))})")
-    split = values.groupBy("column").agg(F.percentile_approx("value", limits, 2 * ranges).alias("split"))
-    # one row per column: the size of this broadcast is fixed by the arguments
-    counted = values.groupBy("column", "value").agg(F.count("*").alias("n")).join(F.broadcast(split), "column")
-    counted = counted.select("column", "value", "n", _range_of(F.col("value"), F.col("split"), steps).alias("range"))
-
-    # rank interval of each range, and the wanted ranks that fall into it
-    totals = counted.groupBy("column", "range").agg(F.sum("n").alias("n"))
-    by_column = Window.partitionBy("column")
-    placed = totals.withColumns({
-        "before": F.sum("n").over(by_column.orderBy("range")) - F.col("n"),
-        "size": F.sum("n").over(by_column),
-    })
-    wanted = F.array(*[_rank(p, F.col("size"), side) for p in probs for side in ("low", "high")])
-    hits = placed.withColumn("wanted", F.filter(wanted, _falls_in(F.col("before"), F.col("n"))))
-    hits = hits.filter(F.size("wanted") > 0).select("column", "range", "before", "wanted")
-
-    # at most two ranges per column and quantile: this broadcast is fixed by the arguments, too
-    sorted_values = counted.join(F.broadcast(hits), ["column", "range"])
-    running = Window.partitionBy("column", "range").orderBy("value")
-    ranked = sorted_values.withColumn("start", F.col("before") + F.sum("n").over(running) - F.col("n"))
-    found = ranked.select(
-        "column", "value", F.explode(F.filter("wanted", _falls_in(F.col("start"), F.col("n")))).alias("w")
-    )
-    low = F.max(F.when(F.col("w.side") == "low", F.col("value")))
-    high = F.max(F.when(F.col("w.side") == "high", F.col("value")))
-    return found.groupBy("column", F.col("w.prob").alias("prob")).agg(
-        (low + (high - low) * F.max("w.part")).alias("value")
-    )
-
-
-def _range_of(value: Column, split: Column, steps: int) -> Column:
-    """Number of limits below the value, by halving the sorted limits ``steps`` times."""
-    halves = F.array(*[F.lit(2 ** i) for i in reversed(range(steps))])
-    position = F.aggregate(
-        halves, F.lit(0), lambda at, half: F.when(F.get(split, at + half - 1) < value, at + half).otherwise(at)
-    )
-    return F.coalesce(position, F.lit(0))
-
-
-def _rank(prob: float, size: Column, side: str) -> Column:
-    place = (size - 1) * F.lit(float(prob))
-    rank = F.floor(place) if side == "low" else F.ceil(place)
-    return F.struct(
-        F.lit(float(prob)).alias("prob"), F.lit(side).alias("side"),
-        rank.cast("long").alias("rank"), (place - F.floor(place)).alias("part"),
-    )
-
-
-def _falls_in(start: Column, n: Column):
-    return lambda w: (w["rank"] >= start) & (w["rank"] < start + n)
+    values, ranges = _long(r, cols), 2 ** steps
+    wide = r.agg(*[F.count(nan_to_null(F.col(c).cast("double"))).alias(c) for c in cols]).first()
+    places = {(c, p): (wide[c] - 1) * p for c in cols for p in probs if wide[c]}
+    spans = []
+    for c in cols:
+        ranks = sorted({f(places[c, p]) for p in probs for f in (math.floor, math.ceil) if (c, p) in places})
+        if ranks:
+            spans.append(_Span(c, None, None, 0, wide[c], tuple(ranks)))
+    for _ in range(QUANTILE_ROUNDS):
+        if not spans:
+            break
+        last, spans = spans, _narrowed(values, spans, ranges)
+        # a range of one value only cannot be cut up, and need not be: its rows are counted into one
+        if all(s.size <= task_rows for s in spans) or {(s.column, s.size) for s in spans} == {(s.column, s.size) for s in last}:
+            break
+    rows = [(i, s.column, s.before, list(s.ranks)) for i, s in enumerate(spans)]
+    known = values.sparkSession.createDataFrame(rows, "span int, column string, before long, ranks array<long>")
+    counted = _in_spans(values, spans).groupBy("span", "value").agg(F.count("*").alias("n")).join(F.broadcast(known), "span")
+    start = F.col("before") + F.sum("n").over(Window.partitionBy("span").orderBy("value")) - F.col("n")
+    at_rank = counted.withColumn("start", start).select(
+        "column", "value",
+        F.explode(F.filter("ranks", lambda k: (k >= F.col("start")) & (k < F.col("start") + F.col("n")))).alias("rank"))
+    asked = values.sparkSession.createDataFrame(
+        [(c, p, math.floor(place), math.ceil(place), place - math.floor(place)) for (c, p), place in places.items()],
+        "column string, prob double, low long, high long, part double")
+    found = at_rank.join(F.broadcast(asked), "column").filter((F.col("rank") == F.col("low")) | (F.col("rank") == F.col("high")))
+    low = F.max(F.when(F.col("rank") == F.col("low"), F.col("value")))
+    high = F.max(F.when(F.col("rank") == F.col("high"), F.col("value")))
+    return found.groupBy("column", "prob").agg((low + (high - low) * F.max("part")).alias("value"))
+
+
+def _range_of(value: Column, limits: Column, ranges: int) -> Column:
+    """Number of the ascending limits that are below the value, by halving."""
+    halves = F.array(*[F.lit(2 ** i) for i in reversed(range(ranges.bit_length() - 1))])
+    return F.aggregate(halves, F.lit(0), lambda at, half: F.when(F.get(limits, at + half - 1) < value, at + half).otherwise(at))
 
 
 def approx_quantiles(r: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10_000) -> DataFrame:
@@ -208,12 +242,18 @@ def box_stats(r: DataFrame, cols: list[str] = ("PM2_5", "PM10", "NO2", "SO2"), a
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)
         for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
     ])
-    counted = _long(r, cols).groupBy("column", "value").agg(F.count("*").alias("n"))
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    # one row per column: the size of this broadcast is fixed by the arguments
-    return counted.join(F.broadcast(box), "column").groupBy("column", "q1", "median", "q3").agg(
-        F.least("q1", F.min(F.when(inside, F.col("value")))).alias("whisker_low"),
-        F.greatest("q3", F.max(F.when(inside, F.col("value")))).alias("whisker_high"),
-        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
-    )
+    # one row per column
+    found = {row["column"]: row for row in box.collect()}
+    if not found:
+        return box.selectExpr("column", "q1", "median", "q3", "q1 AS whisker_low", "q3 AS whisker_high", "0L AS outliers")
+    parts = []
+    for c, row in found.items():
+        value, reach = nan_to_null(F.col(c).cast("double")), 1.5 * (row["q3"] - row["q1"])
+        inside = value.between(row["q1"] - reach, row["q3"] + reach)
+        parts.append(F.struct(
+            F.lit(c).alias("column"), *[F.lit(row[n]).alias(n) for n in ("q1", "median", "q3")],
+            F.least(F.lit(row["q1"]), F.min(F.when(inside, value))).alias("whisker_low"),
+            F.greatest(F.lit(row["q3"]), F.max(F.when(inside, value))).alias("whisker_high"),
+            F.count_if(~inside).alias("outliers"),
+        ))
+    return r.agg(F.array(*parts).alias("rows")).select(F.explode("rows").alias("row")).select("row.*")

@@ -1,6 +1,6 @@
 """Group means, rankings, linear trends, correlations and normalised comparisons."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyledger import constants as C
 from skyledger.functions.derive import carbon_tax_label, dow_label, month_label
@@ -24,6 +24,11 @@ def mean_std_by(r: DataFrame, key: str, column: str = "AQI") -> DataFrame:
     return stats.withColumns({"band_low": F.col("mean") - F.col("std"), "band_high": F.col("mean") + F.col("std")})
 
 
+def global_mean(r: DataFrame, column: str = "AQI") -> DataFrame:
+    """Mean over all rows, NaN left out."""
+    return r.agg(F.avg(_value(column)).alias("global_mean_aqi"))
+
+
 def monthly_aqi(r: DataFrame) -> DataFrame:
     return mean_by(r, "month").withColumn("label", month_label("month"))
 
@@ -190,21 +195,11 @@ def standardize(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: (F.col(c) - stats[c]["mean"]) / scale[c] for c in cols})
 
 
-def pivot_mean(r: DataFrame, row: str, column: str, value: str, values: list[str]) -> DataFrame:
-    """Mean of ``value`` with one column per listed entry of ``column``."""
-    return r.dropna(subset=[row]).groupBy(row).pivot(column, values).agg(F.avg(_value(value)))
-
-
-def first_labels(r: DataFrame, column: str, n: int) -> DataFrame:
-    """The ``n`` first values of a column in alphabetical order."""
-    return r.filter(F.col(column).isNotNull()).groupBy(column).agg(F.lit(1).alias("_")).orderBy(column).limit(n).select(column)
-
-
 def investment_trend(r: DataFrame, first_n: int = 6) -> DataFrame:
-    """Mean investment by year for the first countries of the alphabet, in long form."""
+    """Mean investment by year for the first countries of the alphabet, in long form; only the means are put in order."""
     means = mean_by(r, ["year", "country"], {"mean_investment": "environmental_investment_index"})
-    # at most ``first_n`` rows
-    return means.join(F.broadcast(first_labels(means, "country", first_n)), "country").select("year", "country", "mean_investment")
+    place = F.dense_rank().over(Window.orderBy("country"))
+    return means.withColumn("_place", place).filter(F.col("_place") <= first_n).select("year", "country", "mean_investment")
 
 
 def yearly_health(r: DataFrame) -> DataFrame:
