@@ -10,50 +10,46 @@ input partitions, so that even a cut bucket full of copies is split.
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyledger.functions.hashing import row_hash
-from skyledger.plans.sizing import small_once_or_shuffled
 
-SPREAD = 64
 HASH_BUCKET_DIGITS = 4
 
 
-def smallest_per_group(df: DataFrame, group: list[str], bucket: Column, order: list[str], n: int | Column,
-                       spread: int = SPREAD) -> DataFrame:
+def smallest_per_group(df: DataFrame, group: list[str], bucket: Column, order: list[str], n: int) -> DataFrame:
     """The ``n`` first rows of each group by ``order``; all of a smaller group.
 
-    ``bucket`` must never fall while ``order`` rises. ``n`` may be an
-    expression over ``_groups``, the number of groups.
+    ``bucket`` must never fall while ``order`` rises. As ``n`` is a literal,
+    Spark keeps no more than ``n`` rows per group while it sorts.
     """
     tagged = df.withColumn("_bucket", bucket)
     counts = tagged.groupBy(*group, "_bucket").agg(F.count("*").alias("_n"))
     running = Window.partitionBy(*group).orderBy("_bucket")
-    groups = df.select(*group).distinct().agg(F.count("*")).scalar() if group else F.lit(1)
     cuts = (
-        counts.withColumns({"_before": F.sum("_n").over(running) - F.col("_n"), "_groups": groups})
-        .withColumn("_limit", (F.lit(n) if isinstance(n, int) else n).cast("long"))
-        .filter(F.col("_before") < F.col("_limit"))
-        .groupBy(*group).agg(F.max("_bucket").alias("_cut"), F.first("_limit").alias("_limit"))
+        counts.withColumn("_before", F.sum("_n").over(running) - F.col("_n"))
+        .filter(F.col("_before") < n).groupBy(*group).agg(F.max("_bucket").alias("_cut"))
     )
     if group:
         renamed = cuts.withColumnsRenamed({k: f"_cut_{k}" for k in group})
-        same_group = [F.col(k).eqNullSafe(F.col(f"_cut_{k}")) for k in group]
-        tagged = tagged.join(small_once_or_shuffled(renamed), same_group)
+        tagged = tagged.join(renamed, [F.col(k).eqNullSafe(F.col(f"_cut_{k}")) for k in group])
     else:
-        cut = cuts.select(F.struct("_cut", "_limit")).scalar()
-        tagged = tagged.withColumns({"_cut": cut["_cut"], "_limit": cut["_limit"]})
+        tagged = tagged.withColumn("_cut", cuts.select("_cut").scalar())
     ranked = tagged.filter(F.col("_bucket").isNull() | (F.col("_bucket") <= F.col("_cut")))
-    ranked = ranked.withColumn("_lane", F.spark_partition_id() % spread)
+    lanes = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = ranked.withColumn("_lane", F.spark_partition_id() % lanes)
     for partition in (group + ["_lane"], group):
         window = Window.partitionBy(*partition).orderBy(*order)
-        ranked = ranked.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= F.col("_limit"))
+        ranked = ranked.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n)
     return ranked.select(*df.columns)
 
 
 def sample_per_part(r: DataFrame, part_col: str, total: int = 500_000, seed: int = 42, floor: int = 1000,
                     id_col: str = "record_id") -> DataFrame:
-    """Random rows of every part without replacement: ``max(floor, total / parts)`` of each."""
+    """Random rows of every part without replacement: ``max(floor, total / parts)`` of each.
+
+    The number of parts is one small job over that column alone.
+    """
+    parts = r.select(part_col).distinct().count()
     hashed = r.withColumn("_hash", row_hash(id_col, seed))
-    per_part = F.greatest(F.lit(floor), F.floor(F.lit(total) / F.col("_groups")))
-    picked = smallest_per_group(hashed, [part_col], _hash_bucket(), ["_hash", id_col], per_part)
+    picked = smallest_per_group(hashed, [part_col], _hash_bucket(), ["_hash", id_col], max(floor, total // max(parts, 1)))
     return picked.select(*r.columns)
 
 
