@@ -46,8 +46,14 @@ def correlation_p_value(r: Column | str, n: Column | str) -> Column:
 
     With v = n - 2 degrees of freedom and sin(t) = |r|, the Student probability
     is a finite trigonometric sum in cos(t) for whole v (Abramowitz & Stegun
-    26.7.3 and 26.7.4), so no special function is needed. The sum has v/2
-    terms: meant for correlations of group means, not of raw rows.
+    26.7.3 and 26.7.4), so no special function is needed. Where the sum leaves
+    little of 1, the tail itself is summed: the incomplete beta function of
+    x = 1 - r^2 with a = v / 2 and b = 1 / 2 is
+
+        x^a |r| / (a B(a, b)) * sum over k of x^k * (a + b)_k / (a + 1)_k
+
+    (Abramowitz & Stegun 26.5.4), so small p-values keep their digits. The sums
+    have about v terms: meant for correlations of group means, not of raw rows.
     """
     r, n = F.abs(col(r)), col(n)
     v = (n - 2).cast("int")
@@ -66,4 +72,17 @@ def correlation_p_value(r: Column | str, n: Column | str) -> Column:
     theta = F.asin(F.least(F.lit(1.0), r))
     odd_sum = F.when(v == 1, theta).otherwise(theta + r * F.sqrt(cos2) * series) * 2 / F.pi()
     inside = F.when(odd, odd_sum).otherwise(r * series)
-    return F.when(v >= 1, F.greatest(F.lit(0.0), 1 - inside)).otherwise(F.when(v == 0, F.lit(1.0)))
+    exact = (1 - r) * (1 + r)
+    a = v / 2
+
+    def add_tail(acc, k):
+        term = acc["term"] * exact * (a + k - 0.5) / (a + k)
+        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+
+    tail = F.aggregate(F.sequence(F.lit(1), F.greatest(v, F.lit(1)) + 60), start, add_tail, lambda acc: acc["total"])
+    # B(1/2, 1/2) = pi and B(1, 1/2) = 2; two degrees more multiply B by a / (a + 1/2)
+    halves = F.when(v >= 3, F.sequence(F.lit(1), F.floor((v - 1) / 2).cast("int"))).otherwise(F.array().cast("array<int>"))
+    beta = F.aggregate(halves, F.when(odd, F.pi()).otherwise(F.lit(2.0)),
+                       lambda acc, j: acc * F.when(odd, (2 * j - 1) / (2 * j)).otherwise(2 * j / (2 * j + 1)))
+    small = F.pow(exact, a) * r / (a * beta) * tail
+    return F.when(v >= 1, F.when(inside > 0.999, small).otherwise(1 - inside)).otherwise(F.when(v == 0, F.lit(1.0)))

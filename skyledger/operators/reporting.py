@@ -86,9 +86,10 @@ def model_ranking(tuning: DataFrame) -> DataFrame:
 
 
 def best_model(tuning: DataFrame) -> DataFrame:
-    """Model with the highest test r2; the first by name on a tie."""
-    first = F.struct(-F.col("test_r2"), F.col("model_name"))
-    return tuning.agg(F.min_by("model_name", first).alias("best_model"), F.max("test_r2").alias("best_r2"))
+    """Model with the highest test r2; the first by name on a tie; NULL if no model has one."""
+    first = F.min_by(F.struct("model_name", "test_r2"), F.struct(-F.col("test_r2"), F.col("model_name")))
+    best = tuning.filter("test_r2 IS NOT NULL").agg(first.alias("best"))
+    return best.select(F.col("best.model_name").alias("best_model"), F.col("best.test_r2").alias("best_r2"))
 
 
 def overview_cards(country: DataFrame, city: DataFrame, tuning: DataFrame | None = None) -> DataFrame:

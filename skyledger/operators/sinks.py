@@ -1,6 +1,6 @@
 """Writers: result tables, readings, log, reports, and the checks on what was written."""
 
-import re
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
@@ -33,21 +33,37 @@ def assert_unique_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def write_result(df: DataFrame, name: str, base: str, keys: list[str] | None = None, stamp: str = "processed_at") -> int:
     """Replace a result table, stamped with the time; returns the number of rows.
 
-    The executors write the rows; they are counted on the way out, and the
-    primary key is checked on the small table that was stored.
+    The executors write the rows beside the old table and count them on the way
+    out; the primary key is checked there, and only then the new table takes the
+    place of the old one. A table that fails the check leaves the old one as it is.
     """
-    seen = Observation()
-    path = table_path(base, name)
+    spark, seen = df.sparkSession, Observation()
+    path, staged = table_path(base, name), table_path(base, f"_{name}-{uuid.uuid4().hex[:12]}")
     stamped = df.withColumn(stamp, F.current_timestamp()).observe(seen, F.count("*").alias("rows"))
-    stamped.write.mode("overwrite").parquet(path)
+    stamped.write.parquet(staged)
     keys = C.RESULT_KEYS.get(name) if keys is None else keys
     if keys:
-        duplicates = assert_unique_keys(df.sparkSession.read.parquet(path), keys).limit(1).collect()
+        duplicates = assert_unique_keys(spark.read.parquet(staged), keys).limit(1).collect()
         if duplicates:
+            _remove(spark, staged)
             raise DuplicateKeyError(f"{name}: more than one row for {duplicates[0].asDict()}")
+    _replace(spark, staged, path)
     return seen.get["rows"]
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _replace(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a written table in the place of another."""
+    _remove(spark, path)
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
+    if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, target):
+        raise OSError(f"{staged} could not be moved to {path}")
+
+
 def write_readings(r: DataFrame, path: str, fmt: str = "csv", max_rows: int = ROWS_PER_FILE,
                    partition_by: list[str] | None = None, mode: str = "overwrite") -> int:
     """Readings as CSV parts with a header, or as Parquet; at most ``max_rows`` rows per file."""
@@ -89,14 +105,6 @@ def result_catalog(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def stored_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """Every table that lies under ``base``, by name."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(base)
-    root = re.escape(base.rstrip("/").split("://")[-1].removeprefix("file:"))
-    names = files.select(F.regexp_extract("path", root + "/([^/]+)/", 1).alias("name")).distinct()
-    return {row["name"]: spark.read.parquet(table_path(base, row["name"])) for row in names.limit(1000).collect() if row["name"]}
-
-
 def write_csv_report(df: DataFrame, path: str) -> None:
     """A small report (one row per statistic or group) as a single CSV file with a header."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
