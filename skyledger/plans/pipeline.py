@@ -3,15 +3,17 @@
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from skyledger.operators import clusters, distributions, features, reporting, sinks, trends, tuning
 from skyledger.operators.cleaning import clean_readings
 from skyledger.operators.result_tables import RESULT_TABLES
 from skyledger.schema import READINGS_SCHEMA
+from skyledger.sources import readings as source_readings, sampling
 from skyledger.sources.readings import scan_readings
 from skyledger.sources.results import table_path
 
@@ -45,6 +47,19 @@ ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "admissions_histogram": distributions.admissions_histogram,
     "yearly_health": trends.yearly_health,
     "summary_metrics": reporting.summary_metrics,
+    "trend_line_points": lambda r: trends.trend_line(r, "industrial_output_index"),
+    "green_energy_line_points": lambda r: trends.trend_line(r, "green_energy_pct"),
+    "regulation_aqi_means": lambda r: trends.mean_by(r, "regulation_stringency_score"),
+    "industrial_scatter_sample": lambda r: sampling.sample_rows(r.select("record_id", "AQI", "industrial_output_index")),
+    "aqi_respiratory_sample": lambda r: sampling.sample_rows(
+        r.select("record_id", "AQI", "respiratory_cases_per_100k", "regulation_stringency_score")),
+    "dataset_overview": source_readings.dataset_overview,
+}
+CSV_REPORTS = ("descriptive_statistics", "summary_metrics")
+TUNERS = {
+    "RandomForest": tuning.tune_random_forest,
+    "GradientBoosting": tuning.tune_gradient_boosting,
+    "RegularizedBoosting": tuning.tune_boosted_regularized,
 }
 
 
@@ -73,13 +88,14 @@ def store_result_tables(cleaned: DataFrame, base: str, entries: list[dict] | Non
 
 
 def run_pipeline(spark: SparkSession, source: str | DataFrame, base: str, stages="all", fmt: str = "csv",
-                 scale: str = "full", at_once: int = 8, schema: StructType = READINGS_SCHEMA) -> list[dict]:
+                 searches: dict[str, dict] | None = None, at_once: int = 8, schema: StructType = READINGS_SCHEMA) -> list[dict]:
     """Run all or some stages in their fixed order and log each; returns the log entries.
 
     ``source`` is a path or a readings DataFrame, ``base`` a folder that all
     executors share. CSV is parsed once: if analyses or models follow, the
     readings are first stored as Parquet. The cleaned readings are stored, too,
-    and every later step reads only the columns it needs. Unlike a cached table
+    and every later step reads only the columns it needs. ``searches`` may give
+    arguments of the three searches by model name; without it they are full. Unlike a cached table
     these copies survive the loss of executors and do not compete for memory.
     """
     chosen = STAGES if stages == "all" else tuple(stages)
@@ -88,29 +104,49 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, base: str, stages
         raise ValueError(f"unknown stages: {sorted(unknown)}")
     raw = scan_readings(spark, source, fmt, schema) if isinstance(source, str) else source
     entries: list[dict] = []
+    logged = 0
+
+    def log() -> None:
+        """One row for every table that was finished since the last call."""
+        nonlocal logged
+        if len(entries) > logged:
+            sinks.append_log(spark, entries[logged:], base)
+            logged = len(entries)
+
     try:
         if isinstance(source, str) and fmt == "csv" and {"analysis", "models"} & set(chosen):
             stored = table_path(base, READINGS)
             csv = raw
             _timed(entries, "ingest", READINGS, lambda: sinks.write_readings(csv, stored, "parquet"))
             raw = scan_readings(spark, stored, "parquet", schema)
+            log()
         if "clean" in chosen:
             path = table_path(base, CLEANED)
             _timed(entries, "data_cleaning", CLEANED,
                    lambda: sinks.write_readings(clean_readings(raw), path, "parquet"))
+            log()
         if "tables" in chosen:
             store_result_tables(spark.read.parquet(table_path(base, CLEANED)), base, entries, at_once)
+            log()
         if "analysis" in chosen:
             _store_all(spark, entries, base, {n: (lambda f=f: f(raw)) for n, f in ANALYSES.items()}, at_once)
+            log()
             _store_clusters(raw, base, entries)
+            _store_reports(spark, base)
+            log()
         if "models" in chosen:
-            _timed(entries, "model_tuning", sinks.TUNING_TABLE, lambda: _store_models(raw, base, scale))
+            _store_models(raw, base, entries, log, searches or {})
     finally:
-        if entries:
-            sinks.append_log(spark, entries, base)
+        log()
     return entries
 
 
+def _store_reports(spark: SparkSession, base: str) -> None:
+    """The two reports that are kept as CSV as well."""
+    for name in CSV_REPORTS:
+        sinks.write_csv_report(spark.read.parquet(table_path(base, name)).drop("processed_at"), table_path(base, f"reports/{name}"))
+
+
 def _store_clusters(raw: DataFrame, base: str, entries: list[dict]) -> None:
     spark = raw.sparkSession
     _timed(entries, "city_profiles", "city_profiles",
@@ -119,14 +155,33 @@ def _store_clusters(raw: DataFrame, base: str, entries: list[dict]) -> None:
     scaled = clusters.scale_profiles(profiles)
     table = clusters.city_cluster_table(profiles, clusters.city_clusters(scaled), clusters.city_pca(scaled))
     _timed(entries, "city_clusters", "city_clusters", lambda: sinks.write_result(table, "city_clusters", base, ["city"]))
+    labelled = spark.read.parquet(table_path(base, "city_clusters"))
+    _timed(entries, "city_clusters", "cluster_examples", lambda: sinks.write_result(
+        clusters.cluster_examples(labelled), "cluster_examples", base, []))
 
 
-def _store_models(raw: DataFrame, base: str, scale: str) -> int:
+def _store_models(raw: DataFrame, base: str, entries: list[dict], log: Callable[[], None], searches: dict[str, dict]) -> None:
+    """Features, the tuning table, importances of every model, comparison and summary."""
     spark = raw.sparkSession
     path = table_path(base, "model_features")
     sinks.write_readings(features.ml_features(raw), path, "parquet")
     train, test = features.train_test_split(spark.read.parquet(path))
-    results = [tune(train, test, scale)[1] for tune in
-               (tuning.tune_random_forest, tuning.tune_gradient_boosting, tuning.tune_boosted_regularized)]
-    table = results[0].unionByName(results[1]).unionByName(results[2])
-    return sinks.write_tuning_results(table, base)
+    results, importances = [], []
+    for name, tune in TUNERS.items():
+        search, row = tune(train, test, **searches.get(name, {}))
+        results.append(row)
+        top = tuning.feature_importance(spark, search.model, features.feature_names(train))
+        importances.append(top.select(F.lit(name).alias("model_name"), "*"))
+    tables = {
+        sinks.TUNING_TABLE: lambda: sinks.write_tuning_results(reduce(DataFrame.unionByName, results), base),
+        "feature_importance": lambda: sinks.write_result(
+            reduce(DataFrame.unionByName, importances), "feature_importance", base, ["model_name", "feature"]),
+        "model_comparison": lambda: sinks.write_result(tuning.model_comparison(results), "model_comparison", base, ["model_name"]),
+    }
+    for name, job in tables.items():
+        _timed(entries, "model_tuning", name, job)
+        log()
+    tuned = spark.read.parquet(table_path(base, sinks.TUNING_TABLE))
+    _timed(entries, "model_tuning", "model_summary", lambda: sinks.write_result(
+        reporting.model_summary(tuned), "model_summary", base, ["section", "metric"]))
+    log()
