@@ -15,6 +15,8 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.sql.types import StringType  # noqa: E402
+
 from checks.queries import QUERIES  # noqa: E402
 from skyledger.operators import sinks  # noqa: E402
 from skyledger.plans.pipeline import run_pipeline  # noqa: E402
@@ -52,7 +54,7 @@ def main() -> None:
     readings = star.readings(spark, FOLDER)
     # the input of the pipeline: CSV parts as the source application writes them, not timed
     sinks.write_readings(readings.repartition(int(CPUS)), f"{work}/csv")
-    raw = scan_readings(spark, f"{work}/csv", schema=readings_schema(record_id="string"))
+    raw = scan_readings(spark, f"{work}/csv", schema=readings_schema(record_id=StringType()))
     rows = raw.count()
     pipeline = timed(lambda: run_pipeline(spark, raw, f"{work}/results", ["clean", "tables"]))
     again = timed(lambda: run_pipeline(spark, raw, f"{work}/again", ["clean", "tables"]))

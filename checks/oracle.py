@@ -4,6 +4,13 @@ Each text stands alone over the tables of the star schema. It is built from
 SQL's own functions and not from the library, so that it can find its errors.
 """
 
+import re
+
+from pyspark.sql.types import DoubleType
+
+from skyledger.plans.pipeline import ANALYSES
+from skyledger.schema import READINGS_SCHEMA
+
 REGISTRY = """
 registry AS (
   SELECT s_suppkey,
@@ -91,7 +98,8 @@ ORACLE_SQL: dict[str, str] = {}
 
 def r(expression: str, name: str | None = None, digits: int = 6) -> str:
     """A rounded double without negative zero."""
-    return f"round(CAST({expression} AS DOUBLE), {digits}) + 0.0e0 AS {name or expression}"
+    lift = " * (1 + 1e-13)" if digits <= 6 else ""
+    return f"round(CAST({expression} AS DOUBLE){lift}, {digits}) + 0.0e0 AS {name or expression}"
 
 
 def rs(*names: str, digits: int = 6) -> str:
@@ -228,7 +236,10 @@ SELECT record_id, CASE WHEN AQI <= 50 THEN 'Low' WHEN AQI <= 100 THEN 'Moderate'
                        ELSE 'Severe' END AS pollution_severity FROM readings""")
 raw("aqi_bracket", """
 SELECT record_id, CAST(AQI // 50 * 50 AS VARCHAR) || '-' || CAST((AQI // 50 + 1) * 50 AS VARCHAR) AS aqi_bracket FROM readings""")
-clean("clean_readings", f"SELECT record_id, {CAST}, pollution_severity, aqi_bracket FROM cleaned")
+CAST_NAMES = {part.split(" AS ")[-1].strip() for part in re.split(r",(?![^(]*\))", CAST)}
+OTHER = [f for f in READINGS_SCHEMA if f.name not in CAST_NAMES]
+clean("clean_readings", f"SELECT {CAST}, " + ", ".join(
+    r(f.name, digits=8) if isinstance(f.dataType, DoubleType) else f.name for f in OTHER) + ", pollution_severity, aqi_bracket FROM cleaned")
 RANGES = {"PM2_5": (2, 500), "PM10": (5, 800), "NO2": (1, 200), "SO2": (0.5, 150), "CO": (0.1, 50), "O3": (5, 300),
           "VOC": (0.01, 5), "Lead": (0, 1.5)}
 raw("clamp_pollutants", "SELECT record_id, " + ", ".join(
@@ -263,13 +274,13 @@ HOURS = ("[0.60e0, 0.55e0, 0.50e0, 0.48e0, 0.50e0, 0.58e0, 0.72e0, 0.90e0, 1.15e
          "0.92e0, 0.90e0, 0.88e0, 0.90e0, 0.95e0, 1.10e0, 1.20e0, 1.15e0, 1.05e0, 0.92e0, 0.80e0, 0.70e0]")
 WEEKDAYS = "[1.05e0, 1.08e0, 1.08e0, 1.06e0, 1.04e0, 0.88e0, 0.82e0]"
 raw("pollution_factor", f"""
-SELECT record_id, round((0.5e0 + industrial_index / 100.0e0 * 1.2e0) * (1 - regulation_score / 200.0e0)
+SELECT record_id, round((1 + 1e-13) * ((0.5e0 + industrial_index / 100.0e0 * 1.2e0) * (1 - regulation_score / 200.0e0)
   * list_extract({MONTHS}, CASE WHEN readings.latitude < 0 THEN (month + 5) % 12 + 1 ELSE month END)
   * list_extract({HOURS}, hour + 1)
   * (CASE WHEN regulation_score > 70 THEN 1 - (year - 1995) * 0.015e0 ELSE 1 - (year - 1995) * 0.008e0 END)
   * list_extract({WEEKDAYS}, day_of_week + 1)
   * CASE readings.station_type WHEN 'Traffic' THEN 1.3e0 WHEN 'Industrial' THEN 1.5e0 WHEN 'Urban Background' THEN 1.0e0
-      WHEN 'Suburban' THEN 0.8e0 WHEN 'Rural Background' THEN 0.5e0 ELSE 1.0e0 END, 6) + 0.0e0 AS pollution_factor
+      WHEN 'Suburban' THEN 0.8e0 WHEN 'Rural Background' THEN 0.5e0 ELSE 1.0e0 END), 6) + 0.0e0 AS pollution_factor
 FROM readings JOIN registry USING (station_id)""")
 raw("emission_standard", "SELECT record_id, emission_standard_level AS emission_standard FROM readings")
 raw("carbon_tax_flag", "SELECT record_id, has_carbon_tax AS carbon_tax FROM readings")
@@ -304,7 +315,7 @@ def shown(expression: str, name: str, digits: int = 1) -> str:
 
 
 clean("display_round", f"""
-SELECT country, {shown('avg(AQI)', 'avg_aqi')}, min(AQI) AS min_aqi, max(AQI) AS max_aqi,
+SELECT country, {shown('avg(AQI)', 'avg_aqi')}, {r('stddev_samp(AQI)', 'std_aqi')}, min(AQI) AS min_aqi, max(AQI) AS max_aqi,
   {shown('quantile_disc(PM2_5, 0.5)', 'median_pm25')}, {shown('avg(PM10)', 'avg_pm10')}, {shown('avg(NO2)', 'avg_no2')},
   {shown('avg(SO2)', 'avg_so2')}, {shown('avg(CO)', 'avg_co')}, {shown('avg(O3)', 'avg_o3')}, count(*) AS record_count,
   CAST(round_even(avg(regulation_stringency_score), 0) AS INT) AS regulation_score,
@@ -446,9 +457,6 @@ FROM readings GROUP BY emission_standard_level""")
 raw("investment_trend", f"""
 SELECT year, country, {r('avg(environmental_investment_index)', 'mean_investment')} FROM readings
 WHERE country IN (SELECT DISTINCT country FROM readings ORDER BY country LIMIT 6) GROUP BY year, country""")
-raw("investment_pivot", "SELECT year, " + ", ".join(
-    r(f"avg(environmental_investment_index) FILTER (country = '{c}')", c) for c in ("NATION_0", "NATION_1", "NATION_10")
-) + " FROM readings GROUP BY year")
 raw("industrial_scatter_sample", f"""
 SELECT record_id, {rs('industrial_output_index', 'green_energy_pct')}, AQI FROM
   (SELECT * FROM readings ORDER BY md5('42' || record_id), record_id LIMIT 5000)""")
@@ -475,9 +483,49 @@ SELECT {r('(a - b) / a * 100', 'reduction_pct')} FROM (
   SELECT avg(AQI) FILTER (has_carbon_tax = 0) AS a, avg(AQI) FILTER (has_carbon_tax = 1) AS b FROM readings)""")
 
 # --- reports over result tables -------------------------------------------------
-clean("overview_cards", """
+SCORED = f"""folds AS (
+  SELECT AQI, PM2_5, substr(md5('42' || record_id), 1, 8) < '33333333' AS held FROM readings
+), fit AS (
+  SELECT avg(AQI) AS mean, regr_slope(AQI, PM2_5) AS slope, regr_intercept(AQI, PM2_5) AS intercept, count(*) AS n FROM folds WHERE NOT held
+), predicted AS (
+  SELECT 'FittedLine' AS model_name, 1 AS columns, AQI, AQI - (slope * PM2_5 + intercept) AS e FROM folds, fit WHERE held
+  UNION ALL SELECT 'GivenLine', 1, AQI, AQI - (PM2_5 * 1.1e0 + 20) FROM folds WHERE held
+  UNION ALL SELECT 'Mean', 0, AQI, AQI - mean FROM folds, fit WHERE held
+), scored AS (
+  SELECT model_name, round_even(1 - sum(e * e) / (var_pop(AQI) * count(*)), 4) + 0.0e0 AS r2, round_even(sqrt(avg(e * e)), 4) + 0.0e0 AS rmse,
+         round_even(avg(abs(e)), 4) + 0.0e0 AS mae, CAST(columns AS INT) AS columns, (SELECT n FROM fit) AS train_size, count(*) AS test_size
+  FROM predicted GROUP BY model_name, columns
+), best AS (
+  SELECT model_name, r2 FROM scored ORDER BY r2 DESC, model_name LIMIT 1
+)"""
+
+
+def scored(name: str, select: str) -> None:
+    ORACLE_SQL[name] = f"WITH {CLEANED}, {SCORED}\n{select.strip()}"
+
+
+scored("overview_cards", """
 SELECT count(*) AS total_records, count(DISTINCT country) AS countries, round_even(avg(AQI), 1) AS mean_aqi,
-       count(DISTINCT (city, country)) AS cities FROM cleaned""")
+       count(DISTINCT (city, country)) AS cities, (SELECT model_name FROM best) AS best_model, (SELECT r2 FROM best) AS best_r2 FROM cleaned""")
+scored("write_tuning_results", """
+SELECT model_name, '{"columns":' || columns || '}' AS best_params, r2 AS cv_score, r2 AS test_r2, rmse AS test_rmse, mae AS test_mae,
+       0.0e0 AS duration_seconds, columns AS feature_count, train_size, test_size FROM scored""")
+scored("model_comparison", """
+SELECT model_name, r2 AS test_r2, rmse AS test_rmse, mae AS test_mae, 0.0e0 AS duration_seconds,
+       model_name = (SELECT model_name FROM best) AS is_best FROM scored""")
+scored("r2_badge", """
+SELECT model_name, CASE WHEN r2 >= 0.99 THEN 'green' WHEN r2 >= 0.95 THEN 'blue' ELSE 'orange' END AS r2_badge FROM scored""")
+scored("model_ranking", f"""
+SELECT CAST(row_number() OVER (ORDER BY r2 DESC, model_name) AS INT) AS position, model_name, r2 AS test_r2,
+       CASE WHEN r2 >= 0.99 THEN 'green' WHEN r2 >= 0.95 THEN 'blue' ELSE 'orange' END AS r2_badge,
+       rmse AS test_rmse, mae AS test_mae, r2 AS cv_score, 0.0e0 AS duration_seconds FROM scored""")
+scored("model_summary", """
+SELECT model_name AS section, metric, value, CAST(NULL AS VARCHAR) AS text FROM (
+  UNPIVOT (SELECT model_name, r2 AS test_r2, rmse AS test_rmse, mae AS test_mae, r2 AS cv_score, 0.0e0 AS duration_seconds,
+                  CAST(columns AS DOUBLE) AS feature_count, CAST(train_size AS DOUBLE) AS train_size, CAST(test_size AS DOUBLE) AS test_size FROM scored)
+  ON COLUMNS(* EXCLUDE model_name) INTO NAME metric VALUE value)
+UNION ALL SELECT model_name, 'best_params', NULL, '{"columns":' || columns || '}' FROM scored
+UNION ALL SELECT 'best', 'best_model', r2, model_name FROM best""")
 BADGE = "CASE WHEN a <= 50 THEN 'green' WHEN a <= 100 THEN 'orange' ELSE 'red' END AS aqi_badge"
 clean("country_ranking", f"""
 SELECT CAST(row_number() OVER (ORDER BY a DESC, country) AS INT) AS position, country, {shown('a', 'avg_aqi')}, {BADGE},
@@ -533,3 +581,10 @@ raw("scale_profiles", f",\n{PROFILES}\nSELECT city, " + ", ".join(
     r(f"({c} - (SELECT avg({c}) FROM profiles)) / (SELECT stddev_pop({c}) FROM profiles)", c) for c in PROFILE) + " FROM profiles")
 # a WITH list that is continued must not carry the blank between its parts
 ORACLE_SQL.update({name: sql.replace(")\n,", "),") for name, sql in ORACLE_SQL.items()})
+STORED = {name: ORACLE_SQL[{"descriptive_statistics": "describe_pollutants", "green_energy_line_points": "trend_line_points"}.get(name, name)]
+          for name in ANALYSES}
+STORED |= {"city_profiles": ORACLE_SQL["city_profiles"], "city_clusters": ORACLE_SQL["city_profiles"]}
+ANALYSED = "\n".join(f"UNION ALL SELECT '{name}', count(*) FROM ({sql})" for name, sql in STORED.items())
+ORACLE_SQL["run_pipeline"] = f"{ORACLE_SQL['result_catalog']}\n{ANALYSED}"
+LOGGED = "\n".join(f"UNION ALL SELECT '{name}', count(*), '{name}' FROM ({sql})" for name, sql in STORED.items())
+ORACLE_SQL["append_log"] = ORACLE_SQL["log_table"] = f"{ORACLE_SQL['append_log']}\n{LOGGED}"

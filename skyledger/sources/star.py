@@ -7,7 +7,6 @@ tables that exist in another shape.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.plans.sizing import small_or_shuffled
 
 # fixed values: the first year of the data and the two settings that depend on it
 FIRST_YEAR = 1995
@@ -104,15 +103,14 @@ def registry(spark: SparkSession, folder: str) -> DataFrame:
     """Station registry: one row per supplier, plus the supplier key as ``s_suppkey``."""
     supplier = spark.read.parquet(f"{folder}/supplier.parquet")
     nation = spark.read.parquet(f"{folder}/nation.parquet")
-    joined = supplier.join(small_or_shuffled(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    joined = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     return joined.selectExpr(*_items(_STATION))
 
 
 def with_stations(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items joined with the registry; the registry is broadcast only if it is small."""
+    """Line items joined with the registry."""
     lineitem = spark.read.parquet(f"{folder}/lineitem.parquet")
-    stations = small_or_shuffled(registry(spark, folder))
-    return lineitem.join(stations, F.col("l_suppkey") == F.col("s_suppkey"))
+    return lineitem.join(registry(spark, folder), F.col("l_suppkey") == F.col("s_suppkey"))
 
 
 def readings(spark: SparkSession, folder: str) -> DataFrame:

@@ -167,5 +167,22 @@ def test_p_value(spark, r, n):
     assert got == pytest.approx(_student_tail(r, n), abs=1e-4)
 
 
+@pytest.mark.parametrize("r, n", [(0.999, 30), (0.99999, 60), (0.9, 200), (0.9, 201), (0.3, 2000), (0.9999, 4), (0.999999, 3)])
+def test_small_p_values_keep_their_digits(spark, r, n):
+    """Against the density of r under independence, integrated numerically."""
+    from math import lgamma, log, pi, exp
+    got = spark.range(1).select(correlation_p_value(F.lit(r), F.lit(n))).first()[0]
+    v, steps = n - 2, 200_000
+    log_c = lgamma((v + 1) / 2) - lgamma(v / 2) - 0.5 * log(pi)
+    width = 1 - r
+    # p = 2 c * integral over t from r to 1 of (1 - t^2)^(v/2 - 1); with t = 1 - width * u^2 the end point is smooth
+    total = 0.0
+    for k in range(steps):
+        u = (k + 0.5) / steps
+        gap = width * u * u
+        total += 2 * u * width * exp((v / 2 - 1) * log(gap * (2 - gap)) + log_c) / steps
+    assert got == pytest.approx(2 * total, rel=1e-6)
+
+
 def test_p_value_needs_two_points(spark):
     assert spark.range(1).select(correlation_p_value(F.lit(0.5), F.lit(1))).first()[0] is None

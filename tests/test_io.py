@@ -1,18 +1,19 @@
-"""Readers and writers: round trips, manifests, stored results, the pipeline."""
+"""Readers and writers: round trips, stored results, the pipeline."""
 
-import hashlib
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from skyledger.operators import result_tables, sinks
-from skyledger.plans.pipeline import run_pipeline
-from skyledger.plans.sizing import shared_folder, small_once_or_shuffled, small_or_shuffled
+from skyledger.plans.pipeline import CSV_REPORTS, run_pipeline
+from skyledger.plans.folders import shared_folder
 from skyledger.schema import READINGS_COLUMNS, READINGS_SCHEMA, readings_schema
-from skyledger.sources import files, readings as source, results, star
+from skyledger.sources import readings as source, results, star
 
-TEXT_ID = readings_schema(record_id="string")
+TEXT_ID = readings_schema(record_id=StringType())
 
 
 def same_rows(a, b):
@@ -59,32 +60,6 @@ def test_unparsable_times_become_null(spark):
     assert rows[0]["timestamp"] is None and rows[0]["date"] is None and str(rows[1]["date"]) == "2020-02-29"
 
 
-def test_manifest_against_hashlib(spark, tmp_path):
-    for i in range(1, 6):
-        (tmp_path / f"f{i}.bin").write_bytes(bytes([i]) * (i * 1000))
-    rows = {r["name"]: r for r in files.file_manifest(spark, str(tmp_path), "raw/").collect()}
-    assert len(rows) == 5
-    for name, row in rows.items():
-        content = (tmp_path / name).read_bytes()
-        assert (row["key"], row["size_bytes"], row["sha256"]) == (f"raw/{name}", len(content), hashlib.sha256(content).hexdigest())
-    totals = files.object_totals(spark, str(tmp_path)).first()
-    assert tuple(totals) == (5, 15_000, 3000.0)
-    assert files.object_inventory(spark, str(tmp_path), "raw/").count() == 5
-
-
-def test_listing_does_not_read_the_contents(spark, folder):
-    plan = files.object_totals(spark, folder, "*.parquet")._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan
-
-
-def test_verify_manifest(spark):
-    schema = "name string, size_bytes long, sha256 string"
-    expected = spark.createDataFrame([("a", 1, "x"), ("b", 1, "x"), ("c", 1, "x"), ("d", 1, "x")], schema)
-    actual = spark.createDataFrame([("a", 1, "x"), ("b", 2, "x"), ("c", 1, "y"), ("e", 1, "x")], schema)
-    got = {r["name"]: r["status"] for r in files.verify_manifest(expected, actual).collect()}
-    assert got == {"a": "ok", "b": "size_mismatch", "c": "checksum_mismatch", "d": "missing", "e": "unexpected"}
-
-
 def test_write_result_replaces_and_stamps(spark, tmp_path):
     base = str(tmp_path)
     first = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "country string, avg_aqi double")
@@ -100,6 +75,15 @@ def test_write_result_rejects_duplicate_keys(spark, tmp_path):
         sinks.write_result(twice, "country_aqi_stats", str(tmp_path))
 
 
+def test_a_rejected_table_leaves_the_old_one(spark, tmp_path):
+    good = spark.createDataFrame([("a", 1.0)], "country string, avg_aqi double")
+    sinks.write_result(good, "country_aqi_stats", str(tmp_path))
+    with pytest.raises(sinks.DuplicateKeyError):
+        sinks.write_result(good.union(good), "country_aqi_stats", str(tmp_path))
+    assert [r["country"] for r in results.read_result_table(spark, str(tmp_path), "country_aqi_stats").collect()] == ["a"]
+    assert [p.name for p in tmp_path.iterdir()] == ["country_aqi_stats"]
+
+
 def test_reading_order(spark, tmp_path):
     df = spark.createDataFrame([("0-50",), ("50-100",), ("100-150",)], "aqi_bracket string")
     sinks.write_result(df, "health_correlations", str(tmp_path))
@@ -134,20 +118,28 @@ def test_pipeline_stores_and_logs_every_table(spark, readings, tmp_path):
     sinks.write_readings(readings.withColumn("record_id", F.monotonically_increasing_id()), raw)
     entries = run_pipeline(spark, raw, base, ["clean", "tables", "analysis"])
     assert [e["stage"] for e in entries[:2]] == ["ingest", "data_cleaning"]
-    catalog = {r["table_name"]: r["row_count"] for r in sinks.result_catalog(sinks.stored_tables(spark, base)).collect()}
+    tables = {e["output_table"]: spark.read.parquet(f"{base}/{e['output_table']}") for e in entries}
+    tables["processing_log"] = spark.read.parquet(f"{base}/processing_log")
+    catalog = {r["table_name"]: r["row_count"] for r in sinks.result_catalog(tables).collect()}
     for entry in entries:
         assert catalog[entry["output_table"]] == entry["records_processed"] > 0
     assert catalog["processing_log"] == len(entries)
-    assert set(result_tables.RESULT_TABLES) <= set(catalog) and "city_clusters" in catalog
+    assert set(result_tables.RESULT_TABLES) <= set(catalog) and {"city_clusters", "cluster_examples", "trend_line_points"} <= set(catalog)
+    for name in CSV_REPORTS:
+        assert spark.read.option("header", True).csv(f"{base}/reports/{name}").count() == catalog[name]
     with pytest.raises(ValueError):
         run_pipeline(spark, raw, base, ["paint"])
 
 
 def test_pipeline_tunes_models(spark, readings, tmp_path):
-    entries = run_pipeline(spark, readings, str(tmp_path), ["models"], scale="small")
-    assert [(e["stage"], e["records_processed"]) for e in entries] == [("model_tuning", 3)]
+    from checks.queries import TRIAL_BOOSTING, TRIAL_FOREST, TRIAL_REGULARIZED
+    searches = {"RandomForest": TRIAL_FOREST, "GradientBoosting": TRIAL_BOOSTING, "RegularizedBoosting": TRIAL_REGULARIZED}
+    entries = run_pipeline(spark, readings, str(tmp_path), ["models"], searches=searches)
+    found = {e["output_table"]: e["records_processed"] for e in entries}
+    assert found == {"model_tuning_results": 3, "feature_importance": 45, "model_comparison": 3, "model_summary": 28}
     stored = results.read_result_table(spark, str(tmp_path), sinks.TUNING_TABLE)
     assert stored.count() == 3 and stored.first()["test_r2"] > 0.8
+    assert spark.read.parquet(str(tmp_path / "processing_log")).count() == 4
 
 
 def test_pipeline_logs_what_was_done_before_a_failure(spark, readings, tmp_path):
@@ -157,18 +149,17 @@ def test_pipeline_logs_what_was_done_before_a_failure(spark, readings, tmp_path)
     assert "data_cleaning" in {r["stage"] for r in results.read_result_table(spark, str(tmp_path), "processing_log").collect()}
 
 
-def test_broadcast_only_when_small(spark, folder):
-    stations = star.registry(spark, folder)
-    bare = star.bare_readings(spark, folder)
+@pytest.mark.parametrize("threshold, join", [("10MB", "BroadcastHashJoin"), ("-1", "SortMergeJoin")])
+def test_registry_of_any_size(spark, folder, threshold, join):
+    """A registry known to be small is broadcast; else both sides are shuffled, with the same rows."""
     from skyledger.operators.joins import enrich_with_registry
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    enriched = enrich_with_registry(star.bare_readings(spark, folder), star.registry(spark, folder))
+    before = enriched.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        small = enrich_with_registry(bare, stations)
-        large = enrich_with_registry(bare, stations, max_rows=3)
-        assert "SortMergeJoin" not in small._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
-        same_rows(small, large)
-        assert small_once_or_shuffled(stations, 3) is stations and small_or_shuffled(stations, 3) is stations
+        again = enrich_with_registry(star.bare_readings(spark, folder), star.registry(spark, folder))
+        plan = again._jdf.queryExecution().executedPlan().toString()
+        assert join in plan and "SinglePartition" not in plan and again.count() == before
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -179,11 +170,13 @@ class _Session:
     def __init__(self, master, folder=None):
         self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: folder)})
         self.made = []
-        self.sparkContext = type("Context", (), {"master": master, "applicationId": master, "setCheckpointDir": self.made.append})
+        self.sparkContext = SimpleNamespace(**{"master": master, "applicationId": master, "setCheckpointDir": self.made.append,
+                                               "getCheckpointDir": lambda: None})
 
 
 def test_shared_folder_comes_from_the_session():
-    assert shared_folder(_Session("yarn", "hdfs://host/shared/")) == "hdfs://host/shared"
+    remote = _Session("yarn", "hdfs://host/shared/")
+    assert shared_folder(remote) == "hdfs://host/shared" and remote.made == ["hdfs://host/shared/"]
     local = _Session("local[2]")
     assert shared_folder(local) == shared_folder(local) == local.made[0]
     with pytest.raises(RuntimeError):

@@ -1,10 +1,13 @@
 """Tuning, clusters and components."""
 
+from functools import reduce
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.operators import clusters, features, sinks, tuning
+from checks.queries import TRIAL_BOOSTING, TRIAL_FOREST, TRIAL_REGULARIZED
+from skyledger.operators import clusters, features, sinks, tuning, reporting
 
 
 @pytest.fixture(scope="module")
@@ -47,10 +50,10 @@ def test_split_is_stable_and_about_one_fifth(split, readings):
     assert set(folds) == {0, 1, 2}
 
 
-@pytest.mark.parametrize("tune, floor", [
-    (tuning.tune_random_forest, 0.8), (tuning.tune_gradient_boosting, 0.8), (tuning.tune_boosted_regularized, 0.8)])
-def test_tuned_model_beats_the_mean(split, tune, floor):
-    search, table = tune(*split, scale="small", folds=2)
+@pytest.mark.parametrize("tune, trial", [
+    (tuning.tune_random_forest, TRIAL_FOREST), (tuning.tune_gradient_boosting, TRIAL_BOOSTING), (tuning.tune_boosted_regularized, TRIAL_REGULARIZED)])
+def test_tuned_model_beats_the_mean(split, tune, trial, floor=0.8):
+    search, table = tune(*split, **trial)
     row = table.first()
     assert row["test_r2"] > floor and row["test_rmse"] >= row["test_mae"] > 0
     assert row["train_size"] == split[0].count() and row["feature_count"] == 28
@@ -64,6 +67,23 @@ def test_unsupported_parameters_are_recorded(split):
     assert set(search.params) == {"n_estimators", "max_depth", "not_applied"}
 
 
+def test_points_of_one_model_are_fitted_once(split):
+    from pyspark.ml.regression import RandomForestRegressor
+    fits = []
+
+    class Counted(RandomForestRegressor):
+        def _fit(self, dataset):
+            fits.append(1)
+            return super()._fit(dataset)
+
+    grid = {"n_estimators": [2], "max_depth": [3, 30, None], "min_samples_split": [2, 5]}
+    estimator = Counted(seed=1, maxBins=32)
+    assert len({tuning._map_key(tuning._param_map(estimator, p, tuning.FOREST_PARAMS)) for p in tuning.sample_grid(grid, 6)}) == 2
+    small = features.assemble(split[0].limit(300), 2)
+    search = tuning.random_search(estimator, grid | {"max_depth": [3]}, tuning.FOREST_PARAMS, small, 2, 2, parallelism=1)
+    assert len(search.scores) == 2 and search.scores[0] == search.scores[1] and len(fits) <= 3
+
+
 def test_importance(spark, split):
     from pyspark.ml.regression import RandomForestRegressor
     model = RandomForestRegressor(numTrees=5, maxDepth=4, seed=1).fit(features.assemble(split[0]))
@@ -83,6 +103,19 @@ def test_comparison_marks_one_model(spark):
     assert {r["model_name"]: r["is_best"] for r in tuning.model_comparison(rows).collect()} == {"A": False, "B": True}
 
 
+@pytest.mark.parametrize("scores, best", [
+    ({"A": 0.9, "B": 0.9}, "A"), ({"C": None, "B": 0.9, "A": 0.9}, "A"), ({"A": None, "B": -0.5}, "B"), ({"A": None}, None)])
+def test_one_winner_everywhere(spark, scores, best):
+    """The first name wins a tie, a model without r2 never wins, and all reports name the same one."""
+    rows = [spark.createDataFrame([(n, "{}", 0.9, r2, 1.0, 1.0, 1.0, 2, 10, 2)], tuning.TUNING_SCHEMA) for n, r2 in scores.items()]
+    marked = [r["model_name"] for r in tuning.model_comparison(rows).filter("is_best").collect()]
+    table = reduce(lambda a, b: a.union(b), rows)
+    assert marked == ([best] if best else [])
+    assert tuple(reporting.best_model(table).first()) == (best, scores.get(best))
+    if best:
+        assert reporting.model_ranking(table).filter("position = 1").first()["model_name"] == best
+
+
 def test_clusters_and_components(readings):
     profiles = clusters.city_profiles(readings)
     scaled = clusters.scale_profiles(profiles)

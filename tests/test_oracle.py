@@ -1,6 +1,7 @@
 """Every query with an SQL counterpart gives the same schema and values in both engines."""
 
 import pytest
+from pyspark.sql.types import StringType
 
 from checks.compare import compare
 from checks.oracle import ORACLE_SQL
@@ -25,7 +26,7 @@ def test_query_equals_sql(name, spark, db, folder):
 
 def test_fixture_has_the_declared_columns(readings):
     from skyledger.schema import readings_schema
-    declared = readings_schema(record_id="string")
+    declared = readings_schema(record_id=StringType())
     assert [(f.name, f.dataType) for f in readings.schema] == [(f.name, f.dataType) for f in declared]
 
 

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql.types import StringType
 
 from skyledger.operators import sinks
 from skyledger.operators.cleaning import clean_readings
@@ -17,7 +18,7 @@ def plan_of(df):
 def table(spark, readings, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("plans") / "readings")
     sinks.write_readings(readings, path, "parquet")
-    return scan_readings(spark, path, "parquet", readings_schema(record_id="string"))
+    return scan_readings(spark, path, "parquet", readings_schema(record_id=StringType()))
 
 
 def test_filter_and_columns_reach_the_scan(table, capsys):
@@ -44,7 +45,7 @@ def test_station_count_needs_no_expand(table):
 def test_sample_ranks_only_rows_below_the_cut(table):
     from skyledger.sources.sampling import sample_rows
     plan = plan_of(sample_rows(table.select("record_id", "AQI"), 10))
-    assert re.search(r"Filter .*ubquery.*_cut", plan)
+    assert re.search(r"Filter .*<= .*ubquery", plan)
 
 
 def final_plan(df):
@@ -52,11 +53,28 @@ def final_plan(df):
     return plan_of(df)
 
 
-def test_quantiles_count_the_values_once(table):
-    """The counted values are shuffled once and used for the ranks and for the values."""
-    from skyledger.operators.distributions import box_stats, exact_quantiles
-    assert "ReusedExchange" in final_plan(exact_quantiles(table, ["PM2_5", "NO2"], [0.25, 0.5]))
-    assert "ReusedExchange" in final_plan(box_stats(table))
+def test_quantiles_shuffle_no_column(spark, table):
+    """Between the scan and the filter of the hit ranges only sketches and counts per range are exchanged."""
+    from skyledger.operators.distributions import exact_quantiles
+    plan = final_plan(exact_quantiles(table, ["PM2_5", "NO2"], [0.25, 0.5]))
+    assert plan.index("BroadcastNestedLoopJoin" if "BroadcastNestedLoopJoin" in plan else "BroadcastHashJoin") and "SortMergeJoin" not in plan
+    metrics = [line for line in plan.splitlines() if "hashpartitioning(column" in line and "value" in line]
+    assert metrics == []
+
+
+def test_samples_keep_a_bounded_number_of_rows(table):
+    from skyledger.sources.sampling import head_per_part, sample_per_part, sample_rows
+    for df in (sample_rows(table.select("record_id", "AQI"), 10), head_per_part(table.select("record_id", "year", "timestamp"), "year", n=10),
+               sample_per_part(table.select("record_id", "year"), "year", 100, floor=5)):
+        plan = plan_of(df)
+        assert "WindowGroupLimit" in plan and plan.count("FileScan parquet") <= 2 * plan_of(table.select("record_id")).count("FileScan parquet") + 6
+
+
+def test_compliance_reads_twice(table):
+    from skyledger.operators.distributions import compliance_histogram
+    from skyledger.operators.trends import investment_trend
+    assert plan_of(investment_trend(table)).count("FileScan parquet") == 1
+    assert final_plan(compliance_histogram(table)).partition("== Initial Plan")[0].count("FileScan parquet") <= 3
 
 
 def test_hot_station_is_split_by_the_shuffled_join(spark, table):
@@ -72,7 +90,7 @@ def test_hot_station_is_split_by_the_shuffled_join(spark, table):
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
-        kept = commissioned_only(facts, registry, max_rows=10)
+        kept = commissioned_only(facts, registry)
         assert kept.groupBy().count().first()[0] == 400_000
         assert "skew=true" in final_plan(kept.select(F.length("m").alias("n")))
     finally:
