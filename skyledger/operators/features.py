@@ -1,12 +1,11 @@
 """Feature table of the index model: columns, encoding, split."""
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.sql import DataFrame, functions as F
 
 from skyledger import constants as C
 from skyledger.functions.hashing import fold_number, in_fraction, row_hash
 from skyledger.functions.numeric import nan_to_null
-from skyledger.plans.sizing import small_once_or_shuffled
 
 LABEL = "AQI"
 CATEGORY = "station_type"
@@ -14,20 +13,15 @@ ENCODED = "station_type_enc"
 MISSING_LABEL = "nan"
 
 
-def label_codes(r: DataFrame, column: str, missing: str = MISSING_LABEL) -> DataFrame:
-    """(value, code): alphabetical number of each distinct value from 0; NULL is the value ``'nan'``.
+def encode_label(r: DataFrame, column: str, output: str, missing: str = MISSING_LABEL) -> DataFrame:
+    """``r`` with the alphabetical number, from 0, of each distinct value of a text column; NULL is the value ``'nan'``.
 
-    The distinct values are found map-side, so only they are numbered.
+    The values are counted map-side; the list of distinct ones is held by the
+    driver, so the column must be a category, not an identifier.
     """
-    values = r.select(F.coalesce(F.col(column).cast("string"), F.lit(missing)).alias("value")).distinct()
-    return values.withColumn("code", (F.row_number().over(Window.orderBy("value")) - 1).cast("int"))
-
-
-def encode_label(r: DataFrame, column: str, output: str, missing: str = MISSING_LABEL) -> DataFrame:
-    """``r`` with the code of a text column."""
-    codes = label_codes(r, column, missing).withColumnsRenamed({"value": "_value", "code": output})
     keyed = r.withColumn("_value", F.coalesce(F.col(column).cast("string"), F.lit(missing)))
-    return keyed.join(small_once_or_shuffled(codes), "_value").drop("_value")
+    indexer = StringIndexer(inputCol="_value", outputCol="_code", stringOrderType="alphabetAsc")
+    return indexer.fit(keyed).transform(keyed).withColumn(output, F.col("_code").cast("int")).drop("_value", "_code")
 
 
 def ml_features(r: DataFrame, id_col: str = "record_id", columns=tuple(C.FEATURE_COLUMNS)) -> DataFrame:

@@ -1,8 +1,11 @@
-"""Registry lookups as joins, and the grid of expected observations."""
+"""Registry lookups as joins, and the grid of expected observations.
 
-from pyspark.sql import DataFrame, functions as F
+No side is marked for broadcast: Spark broadcasts a registry whose size in bytes
+is known to be small, before or while the job runs, and otherwise shuffles both
+sides and splits the partitions of hot stations.
+"""
 
-from skyledger.plans.sizing import BROADCAST_ROWS, small_or_shuffled
+from pyspark.sql import DataFrame, functions as F
 
 REGISTRY_COLUMNS = [
     "station_name", "country", "city", "latitude", "longitude", "elevation_m", "station_type",
@@ -10,18 +13,15 @@ REGISTRY_COLUMNS = [
 ]
 
 
-def enrich_with_registry(readings: DataFrame, registry: DataFrame, columns=REGISTRY_COLUMNS,
-                         max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def enrich_with_registry(readings: DataFrame, registry: DataFrame, columns=REGISTRY_COLUMNS) -> DataFrame:
     """Station attributes attached to each reading; readings of unknown stations drop out."""
-    stations = registry.select("station_id", *columns)
-    return readings.join(small_or_shuffled(stations, max_rows), "station_id")
+    return readings.join(registry.select("station_id", *columns), "station_id")
 
 
-def commissioned_only(r: DataFrame, registry: DataFrame, year: str = "year",
-                      max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def commissioned_only(r: DataFrame, registry: DataFrame, year: str = "year") -> DataFrame:
     """Readings dated in or after the year their station went into service."""
     since = registry.select("station_id", F.col("commissioning_year").alias("_since"))
-    return r.join(small_or_shuffled(since, max_rows), "station_id").filter(F.col(year) >= F.col("_since")).select(*r.columns)
+    return r.join(since, "station_id").filter(F.col(year) >= F.col("_since")).select(*r.columns)
 
 
 def observation_spine(registry: DataFrame, start: str, end: str, step_h: int = 3) -> DataFrame:
