@@ -581,6 +581,10 @@ raw("scale_profiles", f",\n{PROFILES}\nSELECT city, " + ", ".join(
     r(f"({c} - (SELECT avg({c}) FROM profiles)) / (SELECT stddev_pop({c}) FROM profiles)", c) for c in PROFILE) + " FROM profiles")
 # a WITH list that is continued must not carry the blank between its parts
 ORACLE_SQL.update({name: sql.replace(")\n,", "),") for name, sql in ORACLE_SQL.items()})
+raw("cluster_examples", """
+SELECT city, cluster, CAST(place AS INT) AS place FROM (
+  SELECT city, cluster, row_number() OVER (PARTITION BY cluster ORDER BY city) AS place
+  FROM (SELECT DISTINCT city, CAST(right(city, 1) AS INT) AS cluster FROM readings WHERE city IS NOT NULL)) WHERE place <= 5""")
 STORED = {name: ORACLE_SQL[{"descriptive_statistics": "describe_pollutants", "green_energy_line_points": "trend_line_points"}.get(name, name)]
           for name in ANALYSES}
 STORED |= {"city_profiles": ORACLE_SQL["city_profiles"], "city_clusters": ORACLE_SQL["city_profiles"]}
