@@ -6,10 +6,10 @@ SQL's own functions and not from the library, so that it can find its errors.
 
 import re
 
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StringType
 
 from skyledger.plans.pipeline import ANALYSES
-from skyledger.schema import READINGS_SCHEMA
+from skyledger.schema import READINGS_SCHEMA, readings_schema
 
 REGISTRY = """
 registry AS (
@@ -177,7 +177,11 @@ UNION ALL SELECT 'total', 'start', NULL, CAST(min(date) AS VARCHAR) FROM reading
 UNION ALL SELECT 'total', 'end', NULL, CAST(max(date) AS VARCHAR) FROM readings
 UNION ALL SELECT 'country', country, count(*), NULL FROM readings GROUP BY country
 UNION ALL SELECT 'city', city, count(*), NULL FROM readings GROUP BY city
-UNION ALL SELECT 'part', CAST(year AS VARCHAR), count(*), NULL FROM readings GROUP BY year""")
+UNION ALL SELECT 'sector', dominant_industry_sector, count(*), NULL FROM readings GROUP BY dominant_industry_sector
+UNION ALL (SELECT 'station', station_id, count(*), NULL FROM readings GROUP BY station_id ORDER BY station_id LIMIT 5)
+UNION ALL SELECT 'part', CAST(year AS VARCHAR), count(*), NULL FROM readings GROUP BY year""" + "".join(
+    f"\nUNION ALL SELECT 'column', '{f.name}', {i}, '{f.dataType.simpleString()}'"
+    for i, f in enumerate(readings_schema(record_id=StringType()), start=1)))
 raw("dataset_overview", """
 SELECT count(*) AS total_records, count(DISTINCT country) AS countries, count(DISTINCT city) AS cities,
        count(DISTINCT station_id) AS stations, min(date) AS first_date, max(date) AS last_date FROM readings""")

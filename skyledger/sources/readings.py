@@ -62,29 +62,34 @@ def dataset_overview(r: DataFrame) -> DataFrame:
     )
 
 
-def dataset_metadata(r: DataFrame, part_col: str) -> DataFrame:
+def dataset_metadata(r: DataFrame, part_col: str, examples: int = 5) -> DataFrame:
     """The dataset description as (section, item, records, detail) rows.
 
     Sections: ``total`` (records, columns, countries, cities, stations, start,
-    end), ``country``, ``city`` and ``part`` with their record counts. Readings
-    are reduced once to one row per station and part; everything else is
-    grouped from there, and no list is gathered into a single row.
+    end), ``country``, ``city``, ``sector`` and ``part`` with their record counts,
+    ``station`` with the first ``examples`` stations of the alphabet, and
+    ``column`` with the position and type of each column. Readings are reduced
+    once to one row per station, sector and part; everything else is grouped
+    from there, and no list is gathered into a single row.
     """
-    base = r.groupBy("country", "city", "station_id", F.col(part_col).cast("string").alias("part")).agg(
+    sector = F.col("dominant_industry_sector").alias("sector")
+    base = r.groupBy("country", "city", "station_id", sector, F.col(part_col).cast("string").alias("part")).agg(
         F.count("*").alias("n"), F.min("date").alias("first"), F.max("date").alias("last")
     )
-    sections = [F.col("country"), F.col("city"), F.col("part")]
+    names = ["country", "city", "sector", "part"]
+    sections = [F.col(c) for c in names]
     counted = base.groupingSets([[c] for c in sections], *sections).agg(
-        F.sum("n").alias("records"), F.grouping_id().alias("gid")
+        F.sum("n").alias("records"), *[F.grouping(c).alias(f"without_{c}") for c in names]
     )
-    # in the grouping id the first column is the highest bit, and a set bit means "not grouped by"
-    items = counted.select(
-        F.when(F.col("gid") == 0b011, "country").when(F.col("gid") == 0b101, "city").otherwise("part").alias("section"),
-        F.when(F.col("gid") == 0b011, F.col("country")).when(F.col("gid") == 0b101, F.col("city"))
-        .otherwise(F.col("part")).alias("item"),
-        "records",
-        F.lit(None).cast("string").alias("detail"),
-    ).filter(F.col("item").isNotNull())
+    section = F.coalesce(*[F.when(F.col(f"without_{c}") == 0, F.lit(c)) for c in names])
+    item = F.coalesce(*[F.when(F.col(f"without_{c}") == 0, F.col(c)) for c in names])
+    none = F.lit(None).cast("string").alias("detail")
+    items = counted.select(section.alias("section"), item.alias("item"), "records", none).filter(F.col("item").isNotNull())
+    stations = base.filter("station_id IS NOT NULL").groupBy("station_id").agg(F.sum("n").alias("records"))
+    first = stations.orderBy("station_id").limit(examples).select(F.lit("station").alias("section"), F.col("station_id").alias("item"), "records", none)
+    columns = r.sparkSession.createDataFrame(
+        [("column", f.name, i, f.dataType.simpleString()) for i, f in enumerate(r.schema, start=1)],
+        "section string, item string, records long, detail string")
     one_row = base.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("records"),
         F.countDistinct("country").alias("countries"),
@@ -101,4 +106,4 @@ def dataset_metadata(r: DataFrame, part_col: str) -> DataFrame:
         named_struct('section', 'total', 'item', 'stations', 'records', stations, 'detail', CAST(NULL AS STRING)),
         named_struct('section', 'total', 'item', 'start', 'records', CAST(NULL AS BIGINT), 'detail', start),
         named_struct('section', 'total', 'item', 'end', 'records', CAST(NULL AS BIGINT), 'detail', `end`)))""")
-    return totals.unionByName(items)
+    return totals.unionByName(items).unionByName(first).unionByName(columns)
