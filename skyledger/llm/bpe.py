@@ -221,7 +221,7 @@ def count(texts: list[str], path: str) -> np.ndarray:
 class Known:
     """Ids of the distinct pre-tokens a worker has met, found by hash; dropped as a whole when it is full."""
 
-    def __init__(self, table: Merger, most: int = 1_500_000):
+    def __init__(self, table: Merger, most: int = 1_000_000):
         self.table, self.most = table, most
         self.clear()
 

@@ -121,7 +121,7 @@ def plan(lengths: np.ndarray, window: int, max_padding: int) -> list[list[tuple[
 
 
 def pack(docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2, max_padding: int = 16,
-         group_tokens: int = 4_000_000) -> DataFrame:
+         group_tokens: int = 2_000_000) -> DataFrame:
     """One row per piece: the piece of which document, its ids (unsigned 32-bit, little-endian) and its place.
 
     Every document's ids, with ``end_id`` behind them, lie in its pieces exactly

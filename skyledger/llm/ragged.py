@@ -20,7 +20,7 @@ WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x20
 # fixed values: white space as the contracts of the words and shingles name it
 ASCII_SPACE = [0x20, *range(0x09, 0x0E)]
 
-CHUNK = 3_000_000
+CHUNK = 1_500_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 

@@ -17,7 +17,7 @@ import numpy as np
 
 from skyledger.llm import components, ragged
 
-PAIRS = 200_000
+PAIRS = 100_000
 
 
 class Level:
@@ -74,7 +74,7 @@ class Join:
         need = self.num * (at.small[x[left]] + at.small[y[left]])
         spare = np.minimum(at.shared[x[left]], at.shared[y[left]])
         words = at.bits.shape[1]
-        step = max(1, 8_000_000 // words)
+        step = max(1, 1_000_000 // words)
         bound = np.concatenate([
             np.bitwise_count(at.bits[x[left[k : k + step]]] & at.bits[y[left[k : k + step]]]).sum(1).astype(np.int64) for k in range(0, len(left), step)
         ]) if len(left) else np.zeros(0, np.int64)

@@ -214,7 +214,7 @@ def scorer(model: Model):
     return score
 
 
-def train(docs: DataFrame, labels: DataFrame, toxic: int = 1000, clean: int = 2500, max_chars: int = 6000, **options) -> Model:
+def train(docs: DataFrame, labels: DataFrame, toxic: int = 1000, clean: int = 2500, max_chars: int = 4000, **options) -> Model:
     """The model learnt from at most ``toxic`` and ``clean`` labelled documents of the kinds, outside the held-out fold.
 
     The bounded sample goes to one task, which is fitted there; the driver gets
