@@ -9,9 +9,9 @@ from skyledger import constants as C
 from skyledger.functions.numeric import half_even, nan_to_null
 
 STATISTICS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
-QUANTILE_BUCKET_STEPS = 10  # 2**10 value ranges per column
-QUANTILE_TASK_ROWS = 4_000_000  # a range with more rows is cut up again
-QUANTILE_ROUNDS = 6  # 2**60 ranges are enough for any table
+QUANTILE_ACCURACY = 1_000  # of the sketch behind the limits
+QUANTILE_TASK_ROWS = 4_000_000  # limits with more values between them are narrowed again
+QUANTILE_ROUNDS = 6  # each round leaves a few thousandths of the values
 
 
 def value_counts(r: DataFrame, column: str, count: str = "n") -> DataFrame:
@@ -106,98 +106,119 @@ def _long(r: DataFrame, cols: list[str]) -> DataFrame:
     return wide.unpivot([], cols, "column", "value").filter("value IS NOT NULL")
 
 
-@dataclass(frozen=True)
+@dataclass
 class _Span:
-    """Values of a column over ``low`` up to ``high`` (None: no bound), the number of smaller ones, and the ranks looked for."""
+    """Where a quantile is looked for: values over ``low`` up to ``high`` (None: no bound), how many there are and how many come before."""
 
     column: str
-    low: float | None
-    high: float | None
-    before: int
-    size: int
-    ranks: tuple[int, ...]
-
-
-def _in_spans(values: DataFrame, spans: list[_Span]) -> DataFrame:
-    """(span, value) rows; the spans are a few literals, so this filters the scan."""
-    rows = [(i, s.column, s.low, s.high) for i, s in enumerate(spans)]
-    table = values.sparkSession.createDataFrame(rows, "span int, of string, low double, high double")
-    inside = (F.col("low").isNull() | (F.col("value") > F.col("low"))) & (F.col("high").isNull() | (F.col("value") <= F.col("high")))
-    return values.join(F.broadcast(table), (F.col("column") == F.col("of")) & inside).select("span", "value")
-
-
-def _narrowed(values: DataFrame, spans: list[_Span], ranges: int) -> list[_Span]:
-    """The parts of the spans that hold the wanted ranks, found by a sketch of the limits and a count per range."""
-    inside = _in_spans(values, spans)
-    steps = F.expr(f"array({', '.join(f'{i / ranges}D' for i in range(1, ranges))})")
-    # one row per span: the size of both tables follows from the arguments
-    sketch = inside.groupBy("span").agg(F.percentile_approx("value", steps, 2 * ranges).alias("limits"))
-    limits = {row["span"]: sorted(set(row["limits"])) for row in sketch.collect()}
-    table = values.sparkSession.createDataFrame(list(limits.items()), "span int, limits array<double>")
-    counted = inside.join(F.broadcast(table), "span").groupBy("span", _range_of(F.col("value"), F.col("limits"), ranges).alias("range")).count()
-    sizes: dict[int, dict[int, int]] = {}
-    for row in counted.collect():
-        sizes.setdefault(row["span"], {})[row["range"]] = row["count"]
-    out = []
+    prob: float
+    place: float  # rank with its fraction, from 0
+    low: float | None = None
+    high: float | None = None
+    before: int = 0
+    size: int = 0
+
+    @property
+    def ranks(self) -> tuple[int, int]:
+        return math.floor(self.place), math.ceil(self.place)
+
+    def inside(self, value: Column) -> Column:
+        over = F.lit(True) if self.low is None else value > self.low
+        return value.isNotNull() & over & (F.lit(True) if self.high is None else value <= self.high)
+
+
+def _present(name: str) -> Column:
+    return nan_to_null(F.col(name).cast("double"))
+
+
+def _count_spans(r: DataFrame, spans: list[_Span]) -> None:
+    """Size and number of smaller values of every span, exactly, in one wide aggregate."""
+    if not spans:
+        return
+    row = r.agg(*[
+        F.struct(
+            (F.lit(0) if s.low is None else F.count_if(_present(s.column) <= s.low)).alias("before"),
+            F.count_if(s.inside(_present(s.column))).alias("size"),
+        ).alias(f"s{i}") for i, s in enumerate(spans)
+    ]).first()
     for i, span in enumerate(spans):
-        before, edges = span.before, limits.get(i, [])
-        for number, size in sorted(sizes.get(i, {}).items()):
-            ranks = tuple(r for r in span.ranks if before <= r < before + size)
-            if ranks:
-                low = edges[number - 1] if number else span.low
-                high = edges[number] if number < len(edges) else span.high
-                out.append(_Span(span.column, low, high, before, size, ranks))
-            before += size
-    return out
-
-
-def exact_quantiles(r: DataFrame, cols: list[str], probs: list[float], steps: int = QUANTILE_BUCKET_STEPS,
+        span.before, span.size = row[f"s{i}"]["before"], row[f"s{i}"]["size"]
+
+
+def _settle(r: DataFrame, spans: list[_Span]) -> None:
+    """Count the spans, and open the side of those that miss their ranks, which a sketch may cause."""
+    open_ = spans
+    while open_:
+        _count_spans(r, open_)
+        missed = []
+        for s in open_:
+            if s.ranks[0] < s.before:
+                s.low = None
+            elif s.ranks[1] >= s.before + s.size:
+                s.high = None
+            else:
+                continue
+            missed.append(s)
+        open_ = missed
+
+
+def _bounds(r: DataFrame, spans: list[_Span], accuracy: int) -> None:
+    """Limits around the wanted ranks from sketches of the values inside the spans."""
+    margin = 2 / accuracy
+    asked = []
+    for s in spans:
+        middle = (s.place - s.before) / max(s.size - 1, 1)
+        asked.append((max(middle - margin, 0.0), min(middle + margin, 1.0)))
+    # one sketch for all spans of a column with the same limits
+    groups: dict[tuple, list[int]] = {}
+    for i, s in enumerate(spans):
+        groups.setdefault((s.column, s.low, s.high), []).append(i)
+    row = r.agg(*[
+        F.percentile_approx(F.when(spans[own[0]].inside(_present(c)), _present(c)), F.array(*[F.lit(p) for i in own for p in asked[i]]), accuracy)
+        for (c, _, _), own in groups.items()
+    ]).first()
+    for limits, own in zip(row, groups.values()):
+        for k, i in enumerate(own):
+            low, high = asked[i]
+            spans[i].low = limits[2 * k] if low > 0 else spans[i].low
+            spans[i].high = limits[2 * k + 1] if high < 1 else spans[i].high
+
+
+def exact_quantiles(r: DataFrame, cols: list[str], probs: list[float], accuracy: int = QUANTILE_ACCURACY,
                     task_rows: int = QUANTILE_TASK_ROWS) -> DataFrame:
     """Linearly interpolated quantiles of each column as (column, prob, value) rows.
 
-    Exact without ever shuffling a column: a sketch gives 2**steps ranges of
-    about equal weight, the values are counted per range (map-side), and only
-    ranges in which a wanted rank falls are kept; while one of them holds more
-    than ``task_rows`` rows it is cut up in the same way. The values of the last
-    ranges are filtered at the scan, counted and ranked. The sketch decides the
-    balance, never the result. Searching takes a few small jobs; what reaches
-    the driver is bounded by the number of columns, quantiles and ranges.
+    Exact without ever shuffling a column: a sketch gives narrow limits around
+    each wanted rank, one wide aggregate counts what lies below and between
+    them and so proves that the rank is there, and only values between the
+    limits, filtered at the scan, are counted and ranked. While more than
+    ``task_rows`` values lie between two limits these are narrowed again. The
+    sketch decides the balance, never the result. The limits are found by a few
+    jobs of one row each.
     """
-    values, ranges = _long(r, cols), 2 ** steps
-    wide = r.agg(*[F.count(nan_to_null(F.col(c).cast("double"))).alias(c) for c in cols]).first()
-    places = {(c, p): (wide[c] - 1) * p for c in cols for p in probs if wide[c]}
-    spans = []
-    for c in cols:
-        ranks = sorted({f(places[c, p]) for p in probs for f in (math.floor, math.ceil) if (c, p) in places})
-        if ranks:
-            spans.append(_Span(c, None, None, 0, wide[c], tuple(ranks)))
+    wide = r.agg(*[F.count(_present(c)).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    spans = [_Span(c, p, (wide[f"c{i}"] - 1) * p, size=wide[f"c{i}"]) for i, c in enumerate(cols) for p in probs if wide[f"c{i}"]]
+    wide_open, before = spans, {}
     for _ in range(QUANTILE_ROUNDS):
-        if not spans:
+        if not wide_open:
             break
-        last, spans = spans, _narrowed(values, spans, ranges)
-        # a range of one value only cannot be cut up, and need not be: its rows are counted into one
-        if all(s.size <= task_rows for s in spans) or {(s.column, s.size) for s in spans} == {(s.column, s.size) for s in last}:
-            break
-    rows = [(i, s.column, s.before, list(s.ranks)) for i, s in enumerate(spans)]
-    known = values.sparkSession.createDataFrame(rows, "span int, column string, before long, ranks array<long>")
-    counted = _in_spans(values, spans).groupBy("span", "value").agg(F.count("*").alias("n")).join(F.broadcast(known), "span")
+        _bounds(r, wide_open, accuracy)
+        _settle(r, wide_open)
+        # a span of one value only cannot be narrowed, and need not be: its rows are counted into one
+        wide_open = [s for s in wide_open if s.size > task_rows and before.get(id(s)) != s.size]
+        before = {id(s): s.size for s in wide_open}
+    rows = [(i, s.column, s.prob, s.low, s.high, s.before, *s.ranks, s.place - s.ranks[0]) for i, s in enumerate(spans)]
+    known = r.sparkSession.createDataFrame(
+        rows, "span int, column string, prob double, low double, high double, before long, first long, last long, part double")
+    values = _long(r, cols)
+    between = (F.col("low").isNull() | (F.col("value") > F.col("low"))) & (F.col("high").isNull() | (F.col("value") <= F.col("high")))
+    # one row per column and quantile: the size of this broadcast is fixed by the arguments
+    counted = values.join(F.broadcast(known), "column").filter(between).groupBy(
+        "span", "column", "prob", "before", "first", "last", "part", "value").agg(F.count("*").alias("n"))
     start = F.col("before") + F.sum("n").over(Window.partitionBy("span").orderBy("value")) - F.col("n")
-    at_rank = counted.withColumn("start", start).select(
-        "column", "value",
-        F.explode(F.filter("ranks", lambda k: (k >= F.col("start")) & (k < F.col("start") + F.col("n")))).alias("rank"))
-    asked = values.sparkSession.createDataFrame(
-        [(c, p, math.floor(place), math.ceil(place), place - math.floor(place)) for (c, p), place in places.items()],
-        "column string, prob double, low long, high long, part double")
-    found = at_rank.join(F.broadcast(asked), "column").filter((F.col("rank") == F.col("low")) | (F.col("rank") == F.col("high")))
-    low = F.max(F.when(F.col("rank") == F.col("low"), F.col("value")))
-    high = F.max(F.when(F.col("rank") == F.col("high"), F.col("value")))
-    return found.groupBy("column", "prob").agg((low + (high - low) * F.max("part")).alias("value"))
-
-
-def _range_of(value: Column, limits: Column, ranges: int) -> Column:
-    """Number of the ascending limits that are below the value, by halving."""
-    halves = F.array(*[F.lit(2 ** i) for i in reversed(range(ranges.bit_length() - 1))])
-    return F.aggregate(halves, F.lit(0), lambda at, half: F.when(F.get(limits, at + half - 1) < value, at + half).otherwise(at))
+    placed = counted.withColumn("start", start)
+    at = lambda rank: F.max(F.when((F.col(rank) >= F.col("start")) & (F.col(rank) < F.col("start") + F.col("n")), F.col("value")))
+    return placed.groupBy("column", "prob").agg((at("first") + (at("last") - at("first")) * F.max("part")).alias("value"))
 
 
 def approx_quantiles(r: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10_000) -> DataFrame:

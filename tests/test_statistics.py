@@ -50,7 +50,7 @@ def test_correlations_with_gaps_and_constants(spark):
 @given(values=st.lists(st.one_of(st.none(), st.integers(-5, 5).map(float), st.floats(-1e6, 1e6)), min_size=1, max_size=80))
 def test_exact_quantiles_of_any_values(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = {r["prob"]: r["value"] for r in distributions.exact_quantiles(df, ["x"], [0.0, 0.25, 0.5, 0.9, 1.0], steps=3).collect()}
+    got = {r["prob"]: r["value"] for r in distributions.exact_quantiles(df, ["x"], [0.0, 0.25, 0.5, 0.9, 1.0], accuracy=8, task_rows=3).collect()}
     kept = [v for v in values if v is not None]
     if not kept:
         assert got == {}
