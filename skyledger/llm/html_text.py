@@ -8,9 +8,11 @@ of its C characters, T tags, LC characters and LT tags of links and N = C - LC,
 a character-per-tag ratio that links pull down. The densities of a node's
 children are summed; the threshold is the smallest density on the path from
 body to the node with the largest sum. In every subtree that reaches it the node
-with the largest sum is the article's, and the smallest subtree around all of
-these is the article, so that its headings and short lines stay. Elements that
-never hold article text are left out when the tree is built.
+with the largest sum is the article's, as is every node outside it that has a
+quarter of the largest sum or more; the smallest subtree around all of these is
+the article, so that its headings and short lines stay. All of this is measured
+from body on every page, whatever its elements are called. Elements that never
+hold article text are left out when the tree is built.
 """
 
 from __future__ import annotations
@@ -194,23 +196,6 @@ def _measure(body: Node) -> list[Node]:
     return nodes
 
 
-def _scope(body: Node, nodes: list[Node]) -> Node:
-    """The main or article element if one holds most of the text of its kind, else the body."""
-    for tag in ("main", "article"):
-        own = [n for n in nodes if n.tag == tag and n.chars]
-        if own:
-            largest = max(own, key=lambda n: n.chars)
-            if 2 * largest.chars > sum(n.chars for n in own if not _below(n.parent, tag)):
-                return largest
-    return body
-
-
-def _below(node: Node | None, tag: str) -> bool:
-    while node is not None and node.tag != tag:
-        node = node.parent
-    return node is not None
-
-
 def _path(node: Node, top: Node) -> list[Node]:
     """The nodes from ``top`` down to ``node``, both included."""
     path = [node]
@@ -221,25 +206,41 @@ def _path(node: Node, top: Node) -> list[Node]:
 
 def article(body: Node) -> Node | None:
     """The smallest subtree that holds the article, with lists of links in it barred; None without text."""
-    top = _scope(body, _measure(body))
-    nodes = _measure(top)
-    if not top.chars:
+    nodes = _measure(body)
+    if not body.chars:
         return None
     best = max(nodes, key=lambda n: n.total)
-    threshold = min(n.density for n in _path(best, top))
+    threshold = min(n.density for n in _path(best, body))
     # in every subtree that reaches the threshold the node with the largest sum is the article's
     most: dict[int, Node] = {}
     for node in reversed(nodes):
         most[id(node)] = max([node, *(most[id(c)] for c in _elements(node))], key=lambda n: n.total)
     marked = {id(n): n for n in (most[id(n)] for n in nodes if n.density >= threshold and n.chars and 2 * n.link_chars <= n.chars)}
+    # so are nodes beside the best whose sum is a good part of its own: a text may stand in several elements
+    path = _path(best, body)
+    below, above = {id(best)}, {id(n) for n in path}
+    for node in nodes:
+        if node.parent is not None and id(node.parent) in below:
+            below.add(id(node))
+        elif 4 * node.total >= best.total and 2 * node.link_chars <= node.chars and id(node) not in above:
+            marked[id(node)] = node
     marked[id(best)] = best
-    shared = _path(best, top)
-    for node in marked.values():
-        shared = [a for a, b in zip(shared, _path(node, top), strict=False) if a is b]
+    held: Counter[int] = Counter(marked.keys())  # marked nodes of every subtree
+    for node in reversed(nodes):
+        if node is not body:
+            held[id(node.parent)] += held[id(node)]
+    top = next(n for n in reversed(path) if held[id(n)] == held[id(body)])
+    inside = set(marked)  # marked nodes and all below them
     for node in nodes:
-        if node.link_tags >= 3 and 5 * node.link_chars > 4 * node.chars and id(node) not in marked and node is not shared[-1] and node.tag not in INLINE:
+        if id(node.parent) in inside:
+            inside.add(id(node))
+    for node in nodes:
+        if node.tag in INLINE or id(node) in marked or node is top:
+            continue
+        # lists of links anywhere, and links that stand in no marked node
+        if node.link_tags >= 3 and 5 * node.link_chars > 4 * node.chars or not held[id(node)] and id(node) not in inside and 2 * node.link_chars > node.chars:
             node.barred = True
-    return shared[-1]
+    return top
 
 
 def _elements(node: Node) -> list[Node]:

@@ -28,6 +28,23 @@ def test_sections_headings_and_link_lists():
     assert html_text.main_text(page).split("\n") == ["Top", *["Some text of a paragraph that is long enough."] * 5, "Sub", "Short part."]
 
 
+SENTENCE = "Some sentence of the running text, long enough to weigh."
+
+
+def test_density_chooses_from_the_whole_body():
+    text = f"<div id=content><h1>Title</h1>{f'<p>{SENTENCE}</p>' * 8}</div>"
+    teaser = "<div id=extra><article class=card><h3>Teaser</h3><p>Read this other piece.</p><a href=/o>more</a></article></div>"
+    for page in (f"<body><div id=top><a href=/>Home</a></div>{text}{teaser}</body>", f"<body>{teaser}{text}</body>"):
+        lines = html_text.main_text(page).split("\n")
+        assert "Title" in lines and lines.count(SENTENCE) == 8 and "Home" not in lines
+
+
+@pytest.mark.parametrize("first,second", [(6, 4), (4, 6), (5, 5), (8, 4)])
+def test_a_text_in_two_articles_is_whole(first, second):
+    page = f"<body><article><h1>One</h1>{f'<p>{SENTENCE}</p>' * first}</article><article><h2>Two</h2>{f'<p>{SENTENCE}</p>' * second}</article></body>"
+    assert html_text.main_text(page).split("\n") == ["One", *[SENTENCE] * first, "Two", *[SENTENCE] * second]
+
+
 @pytest.mark.parametrize("page,text", [("", ""), (None, ""), ("plain", "plain"), ("<p>a<b>b</p>", "ab"), ("<div><p>x", "x"), ("<script>x", ""), ("<!-- x", ""),
                                        ("<article><h1>T</h1></article>", "T"), ("a&nbsp;\t b&lt;p&gt;", "a b<p>"), ("<p>&amp;amp;</p>", "&amp;")])
 def test_broken_and_small_pages(page, text):
