@@ -51,6 +51,10 @@ FURNITURE = {
     "subscribe", "subscription", "signup", "login", "search", "pagination", "pager", "tags", "copyright", "legal", "toolbar", "complementary", "contentinfo",
     "dialog", "alert", "alertdialog", "skip", "hidden",
 }
+# fixed values: of these only the whole name counts, as in "hidden" but not "overflow-hidden", "header" but not "entry-header"
+WHOLE = {"header", "hidden", "side"}
+# fixed values: words that turn the furniture word behind them into a state of an element that is none
+STATES = {"has", "have", "no", "not", "non", "with", "without"}
 # fixed values: HTML elements that an opening tag closes if one of them is open
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
            "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
@@ -65,27 +69,42 @@ TEXT, BREAK = "#text", "#break"
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "text", "barred", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "text", "barred", "chars", "tags", "link_chars", "link_tags", "density", "total", "named")
 
     def __init__(self, tag: str, parent: Node | None, barred: bool, text: str = ""):
-        self.tag, self.parent, self.barred, self.text = tag, parent, barred, text
+        self.tag, self.parent, self.barred, self.text, self.named = tag, parent, barred, text, False
         self.children: list[Node] = []
         if parent is not None:
             parent.children.append(self)
 
 
-def furniture(attributes: str) -> bool:
-    """Whether class, id, role or state name a part that is not article text."""
+def hidden(attributes: str) -> bool:
+    """Whether the attributes take the element out of sight."""
     for found in ATTRIBUTE.finditer(attributes):
-        name = found[1].lower()
-        value = found[2] or found[3] or found[4] or ""
-        if name in ("class", "id", "role"):
-            for token in value.split():
-                if any(w.lower() in FURNITURE for w in NAME_WORDS.findall(token)):
-                    return True
-        elif name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+        name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            return True
+        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-    return bool(re.search(r"(?:^|\s)hidden(?=[\s/=]|$)", attributes))
+    # what is left has no values
+    return "hidden" in re.split(r"[\s/]+", ATTRIBUTE.sub(" ", attributes).lower())
+
+
+def furniture(attributes: str, inner: bool = False) -> bool:
+    """Whether class, id or role name a part that is not article text: a whole name, or the last word of one; ``inner`` headers belong to an article."""
+    for found in ATTRIBUTE.finditer(attributes):
+        if found[1].lower() not in ("class", "id", "role"):
+            continue
+        for token in (found[2] or found[3] or found[4] or "").split():
+            whole = token.lower()
+            if whole in FURNITURE:
+                if not (inner and whole == "header"):
+                    return True
+                continue
+            words = [w.lower() for w in NAME_WORDS.findall(token)]
+            if words and words[-1] in FURNITURE - WHOLE and not STATES.intersection(words[:-1]):
+                return True
+    return False
 
 
 def parse(page: str) -> Node:
@@ -146,8 +165,9 @@ def parse(page: str) -> Node:
             Node(tag, here, True)
             continue
         # a page header is furniture, the header of an article is not
-        outer = tag == "header" and not opened["article"] and not opened["main"]
-        node = Node(tag, here, here.barred or tag in BARRED or outer or furniture(found[3]))
+        inner = bool(opened["article"] or opened["main"])
+        node = Node(tag, here, here.barred or tag in BARRED or tag == "header" and not inner or hidden(found[3]))
+        node.named = furniture(found[3], inner)
         if tag in RAW:
             end_tag = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             at = end_tag.end() if end_tag else len(page)
@@ -204,8 +224,31 @@ def _path(node: Node, top: Node) -> list[Node]:
     return path[::-1]
 
 
+def _bar_named(body: Node) -> Node | None:
+    """Bar what class, id or role name as furniture, but no ancestor of the node with the largest sum of the page.
+
+    That node itself stays barred only if the rest of the page has a text of a
+    quarter of its sum. Where names on its path are overruled, the node with the
+    largest sum outside them is returned, as it belongs to the article too.
+    """
+    nodes = _measure(body)
+    named = [n for n in nodes if n.named]
+    if not named:
+        return None
+    best = max(nodes, key=lambda n: n.total)
+    most, path = best.total, _path(best, body)
+    for node in named:
+        node.barred = True
+    rest = max(_measure(body), key=lambda n: n.total)
+    overruled = [n for n in path if n.named and (n is not best or 4 * rest.total < most)]
+    for node in overruled:
+        node.barred = False
+    return rest if overruled and rest.chars and 2 * rest.link_chars <= rest.chars else None
+
+
 def article(body: Node) -> Node | None:
     """The smallest subtree that holds the article, with lists of links in it barred; None without text."""
+    rest = _bar_named(body)
     nodes = _measure(body)
     if not body.chars:
         return None
@@ -224,7 +267,7 @@ def article(body: Node) -> Node | None:
             below.add(id(node))
         elif 4 * node.total >= best.total and 2 * node.link_chars <= node.chars and id(node) not in above:
             marked[id(node)] = node
-    marked[id(best)] = best
+    marked |= {id(n): n for n in (best, rest) if n is not None}
     held: Counter[int] = Counter(marked.keys())  # marked nodes of every subtree
     for node in reversed(nodes):
         if node is not body:

@@ -45,6 +45,28 @@ def test_a_text_in_two_articles_is_whole(first, second):
     assert html_text.main_text(page).split("\n") == ["One", *[SENTENCE] * first, "Two", *[SENTENCE] * second]
 
 
+@pytest.mark.parametrize("opening", [
+    "<main class='has-sidebar'>", "<div class='content no-comments'>", "<article class='post with-header'>", "<div class=withSidebar>", "<div title='the hidden cost'>",
+    '<div class="overflow-hidden">', "<main class='search'>", "<div id=page class='search'><div class=inner>"])
+def test_names_do_not_bar_the_text(opening):
+    page = f"<body>{opening}<div class='entry-header'><h1>Title</h1></div>{f'<p>{SENTENCE}</p>' * 5}<div class='share'>Share it</div></body>"
+    assert html_text.main_text(page).split("\n") == ["Title", *[SENTENCE] * 5]
+
+
+@pytest.mark.parametrize("opening", ["<div hidden>", "<div title=x hidden=''>", "<div aria-hidden=true>", "<div class='hidden'>", "<div class=left-sidebar>", "<p class='site ad'>",
+                                     "<div class='comments'>", "<div role=search>", "<div class=cookieNotice>"])
+def test_named_furniture_is_left_out(opening):
+    page = f"<body><div class=text>{f'<p>{SENTENCE}</p>' * 5}{opening}Not of the text, though long enough to be seen.</div></div></body>"
+    assert html_text.main_text(page).split("\n") == [SENTENCE] * 5
+
+
+def test_long_comments_do_not_replace_the_text():
+    for many in (6, 60):
+        page = f"<body><article><h1>Title</h1>{f'<p>{SENTENCE}</p>' * 5}</article><div class=comments>{'<p>A reader wrote this down here.</p>' * many}</div></body>"
+        lines = html_text.main_text(page).split("\n")
+        assert lines[0] == "Title" and lines.count(SENTENCE) == 5
+
+
 @pytest.mark.parametrize("page,text", [("", ""), (None, ""), ("plain", "plain"), ("<p>a<b>b</p>", "ab"), ("<div><p>x", "x"), ("<script>x", ""), ("<!-- x", ""),
                                        ("<article><h1>T</h1></article>", "T"), ("a&nbsp;\t b&lt;p&gt;", "a b<p>"), ("<p>&amp;amp;</p>", "&amp;")])
 def test_broken_and_small_pages(page, text):
