@@ -36,9 +36,9 @@ from skyledger.llm.shingles import set_ids, shingle_sets
 from skyledger.llm.signature_tree import Join
 
 TOKENS, HEADER, REPLY, FREQUENT = 0, 1, 2, 3
-ROW = "kind int, part int, chunk long, numbers binary, hashes binary, doc_ids array<long>, sizes array<long>, set_ids array<long>"
-ROW_NAMES = ["kind", "part", "chunk", "numbers", "hashes", "doc_ids", "sizes", "set_ids"]
-ROW_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+ROW = "kind int, part int, chunk long, numbers binary, hashes binary, doc_ids array<long>, text_keys array<long>, sizes array<long>, set_ids array<long>"
+ROW_NAMES = ["kind", "part", "chunk", "numbers", "hashes", "doc_ids", "text_keys", "sizes", "set_ids"]
+ROW_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), *[pa.list_(pa.int64())] * 4]
 
 
 def _table(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
@@ -58,11 +58,11 @@ def _deal(docs: DataFrame, bits: int, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            ids, texts, keys = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()], batch.column(2).to_pylist()
             for a, b in ragged.chunks(texts):
                 tokens, sizes = shingle_sets(texts[a:b], width)
                 names = set_ids(tokens, sizes)
-                rows = [(HEADER, chunk % (1 << bits), chunk, None, None, ids[a:b], sizes.tolist(), names.tolist())]
+                rows = [(HEADER, chunk % (1 << bits), chunk, None, None, ids[a:b], keys[a:b], sizes.tolist(), names.tolist())]
                 distinct, first = np.unique(names, return_index=True)
                 begin = (np.cumsum(sizes) - sizes)[first]
                 numbers = np.repeat(np.arange(len(distinct), dtype=np.uint32), sizes[first])
@@ -71,7 +71,7 @@ def _deal(docs: DataFrame, bits: int, width: int) -> DataFrame:
                 order = np.argsort(parts, kind="stable")
                 numbers, low = numbers[order], hashes.astype(np.uint32)[order]
                 for part, x, y in _slices(parts[order]):
-                    rows.append((TOKENS, part, chunk, numbers[x:y].tobytes(), low[x:y].tobytes(), None, None, None))
+                    rows.append((TOKENS, part, chunk, numbers[x:y].tobytes(), low[x:y].tobytes(), None, None, None, None))
                 yield _table(rows, ROW_NAMES, ROW_TYPES)
                 chunk += 1
 
@@ -97,18 +97,18 @@ def _count(dealt: DataFrame, frequent: int, most: int) -> DataFrame:
                 sets, times = np.unique(owner[shared[at : at + len(owner)]], return_counts=True)
                 at += len(owner)
                 if len(sets):
-                    rows.append((REPLY, part, chunk, sets.tobytes(), times.astype(np.uint32).tobytes(), None, None, None))
+                    rows.append((REPLY, part, chunk, sets.tobytes(), times.astype(np.uint32).tobytes(), None, None, None, None))
             top = np.flatnonzero(counts >= frequent)
             top = top[np.argsort(-counts[top], kind="stable")[:most]]
             if len(top):
-                rows.append((FREQUENT, part, None, counts[top].astype(np.uint32).tobytes(), values[top].tobytes(), None, None, None))
+                rows.append((FREQUENT, part, None, counts[top].astype(np.uint32).tobytes(), values[top].tobytes(), None, None, None, None))
         return pa.concat_tables([headers, pa.Table.from_batches([_table(rows, ROW_NAMES, ROW_TYPES)], headers.schema)])
 
     return dealt.groupBy("part").applyInArrow(run, ROW)
 
 
 def _sizes(counted: DataFrame) -> DataFrame:
-    """Per document: doc_id, size of its set, set_id, and how many of the shingles occur elsewhere too."""
+    """Per document: doc_id, text_key, size of its set, set_id, and how many of the shingles occur elsewhere too."""
 
     def run(table: pa.Table) -> pa.Table:
         kinds = table.column("kind").to_pylist()
@@ -120,11 +120,11 @@ def _sizes(counted: DataFrame) -> DataFrame:
             if kind == REPLY:
                 shared[np.frombuffer(sets, np.uint32)] += np.frombuffer(times, np.uint32)
         return pa.table({
-            "doc_id": pa.array(table.column("doc_ids")[head].as_py(), pa.int64()), "size": pa.array(table.column("sizes")[head].as_py(), pa.int64()),
+            "doc_id": pa.array(table.column("doc_ids")[head].as_py(), pa.int64()), "text_key": pa.array(table.column("text_keys")[head].as_py(), pa.int64()), "size": pa.array(table.column("sizes")[head].as_py(), pa.int64()),
             "set_id": names, "shared": shared[inverse],
         })
 
-    return counted.where(F.col("kind").isin(HEADER, REPLY)).groupBy("chunk").applyInArrow(run, "doc_id long, size long, set_id long, shared long")
+    return counted.where(F.col("kind").isin(HEADER, REPLY)).groupBy("chunk").applyInArrow(run, "doc_id long, text_key long, size long, set_id long, shared long")
 
 
 def _frequent(counted: DataFrame, bits: int, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +143,11 @@ def _frequent(counted: DataFrame, bits: int, most: int) -> tuple[np.ndarray, np.
 
 
 def _payload(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """set_id, size and sorted hashes of the wanted sets, from the texts of one document each."""
+    """set_id, size and sorted hashes of the wanted sets, each once, from the text of one document of ``wanted``.
+
+    ``wanted`` names that document by id and text_key together, as one id (or
+    null) may stand for several texts, and says how many rows have both.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,14 +156,15 @@ def _payload(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 tokens, sizes = shingle_sets(texts[a:b], width)
                 names = set_ids(tokens, sizes)
                 edges = np.append(0, np.cumsum(sizes))
-                _, first = np.unique(names, return_index=True)
-                rows = [(int(names[i]), int(sizes[i]), tokens[edges[i] : edges[i + 1]].tobytes()) for i in first if names[i] == asked[a + i]]
+                rows = [(int(names[i]), int(sizes[i]), tokens[edges[i] : edges[i + 1]].tobytes()) for i in np.flatnonzero(names == asked[a:b])]
                 yield _table(rows, ["set_id", "size", "tokens"], [pa.int64(), pa.int64(), pa.binary()])
 
-    return (
-        docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("text", "set_id")
-        .mapInArrow(run, "set_id long, size long, tokens binary")
-    )
+    found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["at_id"]) & (docs["text_key"] == wanted["at_key"]))
+    texts = found.where("times = 1").select("text", "set_id")
+    if wanted.where("times > 1").limit(1).count():
+        repeated = found.where("times > 1").groupBy("set_id").agg(F.first("text").alias("text"))
+        texts = texts.union(repeated.select("text", "set_id"))
+    return texts.mapInArrow(run, "set_id long, size long, tokens binary")
 
 
 def _family_edges(payload: DataFrame, hot: tuple[np.ndarray, np.ndarray], bits: int, num: int, den: int) -> DataFrame:
@@ -245,13 +250,26 @@ def link_documents(docs: DataFrame, width: int = 5, numerator: int = 4, denomina
     links but is never smallest; a component of null ids only has a null id.
     Other columns are left out; an empty table gives no rows.
     """
-    docs = pick(docs, doc_id="long", text="string")
+    linked = _linked(pick(docs, doc_id="long", text="string"), width, numerator, denominator, tile, tile_tokens)
+    return linked.select("doc_id", "n_shingles", "component_id")
+
+
+def _linked(docs: DataFrame, width: int = 5, numerator: int = 4, denominator: int = 5, tile: int = 2000, tile_tokens: int = 2_000_000) -> DataFrame:
+    """The rows of ``link_documents`` with text_key and class, one number per component; texts without words have no class."""
+    docs = docs.withColumn("text_key", F.xxhash64("text"))
     parallel = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = max(8, (2 * parallel - 1).bit_length())
     counted = stored(_count(_deal(docs, bits, width), frequent=8, most=max(1, (1 << 20) >> bits)))
     sized = stored(_sizes(counted))
-    sets = sized.where("size > 0").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.max("shared").alias("shared"), F.first("size").alias("size"))
-    wanted = sets.where(F.col("shared") * denominator >= F.col("size") * numerator).select("rep", "set_id")
+    sets = (
+        sized.where("size > 0").groupBy("set_id", "doc_id", "text_key").agg(F.count("*").alias("times"), F.max("shared").alias("shared"), F.first("size").alias("size"))
+        .groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.min(F.struct("times", "doc_id", "text_key")).alias("at"), F.max("shared").alias("shared"),
+                               F.first("size").alias("size"))
+    )
+    wanted = stored(
+        sets.where(F.col("shared") * denominator >= F.col("size") * numerator)
+        .select("set_id", F.col("at.doc_id").alias("at_id"), F.col("at.text_key").alias("at_key"), "at.times")
+    )
     payload = stored(_payload(docs, wanted, width))
     family = components(_family_edges(payload, _frequent(counted, bits, 1 << 18), bits, numerator, denominator))
     linked = components(_tree_edges(payload, family, numerator, denominator, tile, tile_tokens))
@@ -260,29 +278,39 @@ def link_documents(docs: DataFrame, width: int = 5, numerator: int = 4, denomina
         .select("set_id", "rep", F.coalesce("root", "set_id").alias("root"))
     )
     smallest = classed.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_set = classed.join(smallest, "root").select("set_id", "component_id")
-    worded = sized.where("size > 0").join(of_set, "set_id").select("doc_id", F.col("size").alias("n_shingles"), "component_id")
-    return worded.unionByName(sized.where("size = 0").select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    of_set = classed.join(smallest, "root").select("set_id", "component_id", F.col("root").alias("class"))
+    own = ["doc_id", "text_key", F.col("size").alias("n_shingles")]
+    worded = sized.where("size > 0").join(of_set, "set_id").select(*own, "component_id", "class")
+    return worded.unionByName(sized.where("size = 0").select(*own, F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("class")))
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The documents whose id is the smallest of their class, with all their columns.
 
-    Of rows that repeat such an id one stays (the one with the smallest text).
-    Documents without an id stay only where a class has no id at all, and all of
-    its rows do.
+    Of rows of a class that repeat such an id one stays (the one with the smallest text).
+    Of a class that has no id at all one row stays; texts without an id and
+    without words are linked with nothing, so all of them stay.
     """
-    linked = link_documents(docs, **options)
-    kept = linked.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    nameless = linked.where("component_id IS NULL").limit(1).count()
-    place = docs.columns.index("doc_id"), docs.columns.index("text")
+    linked = _linked(pick(docs, doc_id="long", text="string"), **options)
+    kept = linked.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"), "class").distinct()
+    nameless = linked.where("component_id IS NULL")
+    id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
     plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
-    mine = plain.join(kept, F.col(f"_c{place[0]}") == F.col("kept_id"), "left_semi")
-    others = [f"_c{i}" for i in range(len(docs.columns)) if i not in place]
-    single = mine.groupBy(f"_c{place[0]}").agg(F.min(F.struct(f"_c{place[1]}", *others)).alias("row")).select(f"_c{place[0]}", "row.*")
-    single = single.select(*plain.columns)
-    if nameless:
-        single = single.unionByName(plain.where(F.col(f"_c{place[0]}").isNull()))
+    keyed = plain.withColumn("_key", F.xxhash64(F.col(f"_c{text_at}").cast("string")))
+    same = F.col("_key") == F.col("kept_key")
+    others = [f"_c{i}" for i in range(len(docs.columns)) if i not in (id_at, text_at)]
+
+    def one_row(rows: DataFrame, *key: str) -> DataFrame:
+        single = rows.groupBy(*key).agg(F.min(F.struct(f"_c{text_at}", f"_c{id_at}", *others)).alias("row"))
+        return single.select("row.*").select(*plain.columns)
+
+    single = one_row(keyed.join(kept, (F.col(f"_c{id_at}") == F.col("kept_id")) & same), "kept_id", "class")
+    if nameless.limit(1).count():
+        without_id = keyed.where(F.col(f"_c{id_at}").isNull())
+        worded = nameless.where("n_shingles > 0").groupBy("class").agg(F.min("text_key").alias("kept_key")).select("kept_key")
+        blank = nameless.where("n_shingles = 0").select(F.col("text_key").alias("kept_key")).distinct()
+        single = single.unionByName(one_row(without_id.join(worded, same, "left_semi"), "_key"))
+        single = single.unionByName(without_id.join(blank, same, "left_semi").drop("_key"))
     return single.toDF(*docs.columns)
 
 

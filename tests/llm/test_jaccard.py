@@ -83,6 +83,34 @@ def test_one_document_of_each_class_stays(odd):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 3, 4, 5, 6, 8, 9]
 
 
+def near(start, changed=(), count=60):
+    return " ".join("changed" if i in changed else f"n{start + i}" for i in range(count))
+
+
+#: near copies under null and under one id, one of them equal to a text with an id of its own, and rows repeated as they are
+SHARED_IDS = [(5, near(0)), (None, near(0, [59])), (None, near(0, [0])), (None, near(100)), (None, near(100, [59])), (None, near(100, [59])), (7, near(200)),
+              (7, near(200, [0])), (7, near(300)), (6, near(300, [59])), (None, near(400)), (None, ""), (None, None), (9, near(500)), (9, near(500)), (8, near(500, [0]))]
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_ids_that_stand_for_several_texts(spark, parts):
+    found = [tuple(r) for r in jaccard.link_documents(spark.createDataFrame(SHARED_IDS, SCHEMA).repartition(parts)).collect()]
+    assert sorted(found, key=repr) == brute(SHARED_IDS)
+
+
+def test_an_id_stays_with_each_class_it_is_smallest_of(spark):
+    rows = [(3, near(0)), (3, near(0, [59])), (3, near(100)), (4, near(100, [0])), (2, near(200)), (3, near(200, [59]))]
+    kept = [tuple(r) for r in jaccard.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert sorted(kept) == [(2, near(200)), (3, near(0, [59])), (3, near(100))]
+
+
+def test_one_row_of_each_class_without_id(spark):
+    kept = [tuple(r) for r in jaccard.one_of_each(spark.createDataFrame(SHARED_IDS, SCHEMA)).collect()]
+    assert sorted(d for d, _ in kept if d is not None) == [5, 6, 7, 8]
+    nameless = [t for d, t in kept if d is None]
+    assert len(nameless) == 4 and {None, "", near(400)} <= set(nameless) and {near(100), near(100, [59])} & set(nameless)
+
+
 def test_the_limit_itself_is_a_link(spark):
     rows = [(1, " ".join(f"a{i}" for i in range(13))), (2, " ".join(f"a{i}" for i in range(12)) + " z"), (3, " ".join(f"a{i}" for i in range(11)))]
     # 9 shingles each, 8 common: 8 / 10; and 7 of 9
