@@ -209,18 +209,24 @@ def _family_edges(payload: DataFrame, hot: tuple[np.ndarray, np.ndarray], bits:
     )
 
 
+def shared_groups(sets: int, tokens: int, tile: int, tile_tokens: int) -> int:
+    """Number of groups in which small families share trees: half a tile of sets or of shingles a group on average."""
+    return max(1, 2 * sets // tile, 2 * tokens // tile_tokens)
+
+
 def _tree_edges(payload: DataFrame, family: DataFrame, num: int, den: int, tile: int, tile_tokens: int) -> DataFrame:
     """A spanning forest (a, b) of the links inside the families."""
     held = payload.join(family.withColumnRenamed("node", "set_id"), "set_id")
     sizes = (
         payload.select("set_id", "size").join(family.withColumnRenamed("node", "set_id"), "set_id")
         .groupBy("root").agg(F.count("*").alias("sets"), F.sum("size").alias("tokens"))
-        .select("root", F.greatest(F.ceil(F.col("sets") / tile), F.ceil(F.col("tokens") / tile_tokens)).alias("tiles"))
+        .select("root", "sets", "tokens", F.greatest(F.ceil(F.col("sets") / tile), F.ceil(F.col("tokens") / tile_tokens)).alias("tiles"))
     )
-    # small families share a tree: about one tile of sets a group
-    groups = max(1, int(family.count()) * 2 // tile)
+    sizes = stored(sizes)
+    small = sizes.where("tiles <= 1").agg(F.sum("sets").alias("sets"), F.sum("tokens").alias("tokens")).first()
+    groups = shared_groups(small.sets or 0, small.tokens or 0, tile, tile_tokens)
     placed = (
-        held.join(sizes, "root")
+        held.join(sizes.select("root", "tiles"), "root")
         .withColumn("tile", F.when(F.col("tiles") > 1, F.pmod(F.xxhash64("set_id"), F.col("tiles"))).otherwise(0))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
         .withColumn("group", F.when(F.col("tiles") > 1, F.col("root")).otherwise(F.pmod(F.xxhash64("root"), F.lit(groups))))

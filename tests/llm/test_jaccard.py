@@ -83,6 +83,15 @@ def test_one_document_of_each_class_stays(odd):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 3, 4, 5, 6, 8, 9]
 
 
+def test_small_families_are_dealt_out_by_weight(spark):
+    assert jaccard.shared_groups(1_999, 1_000, 2_000, 2_000_000) == 1
+    assert jaccard.shared_groups(20_000, 1_000_000, 2_000, 2_000_000) == 20
+    assert jaccard.shared_groups(1_000, 200_000_000, 2_000, 2_000_000) == 200
+    rows = corpus(7)
+    found = [tuple(r) for r in jaccard.link_documents(spark.createDataFrame(rows, SCHEMA), tile_tokens=300).collect()]
+    assert sorted(found, key=repr) == brute(rows)
+
+
 def near(start, changed=(), count=60):
     return " ".join("changed" if i in changed else f"n{start + i}" for i in range(count))
 
