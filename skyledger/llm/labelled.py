@@ -13,25 +13,27 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, most_yes: int, most_no: int, max_chars: int) -> DataFrame:
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, most_yes: int, most_no: int, max_chars: int | None = None) -> DataFrame:
     """At most ``most_yes`` documents of label 1 and ``most_no`` of label 0 outside the held-out fold: doc_id, text, label.
 
     Null ids, null labels and null texts take no part. If an id is labelled more
     than once the majority counts (label 1 on a tie); if documents repeat an id
     the smallest text stands for it. Documents of over ``max_chars`` characters
-    are not learnt from (all are scored). The order is that of a hash of the id.
+    are not learnt from (all are scored), and others take their places. The
+    order is that of a hash of the id.
     """
     known = (
         pick(labels, **{"doc_id": "long", label: "int"}).toDF("id", "label").where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
         .groupBy("id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
     )
     by_hash = [F.xxhash64("id"), F.col("id")]
+    texts = pick(docs, doc_id="long", text="string").where(F.col("text").isNotNull() if max_chars is None else F.length("text") <= max_chars)
+    known = known.join(texts.select("doc_id"), F.col("doc_id") == F.col("id"), "left_semi")
     chosen = known.where("label = 1").orderBy(*by_hash).limit(most_yes).union(known.where("label = 0").orderBy(*by_hash).limit(most_no))
     # at most most_yes + most_no rows of two numbers, whatever the size of the tables
     chosen = F.broadcast(chosen)
     return (
-        pick(docs, doc_id="long", text="string").join(chosen, F.col("doc_id") == F.col("id"))
-        .where(F.length("text") <= max_chars)
+        texts.join(chosen, F.col("doc_id") == F.col("id"))
         .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
     )
 

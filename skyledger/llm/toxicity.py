@@ -8,6 +8,10 @@ single insult in a long text is not averaged away; training first lets all
 windows carry the label of their document, then goes on with the window that
 stands out in each document; small samples are gone over more often.
 
+Of a long text a bounded number of windows is learnt from: first some spread by
+hash, then also those that the first model finds most toxic in the whole text.
+The curve from logit to score is fitted to the top windows of whole texts.
+
 As average and layer are linear, scoring needs one number per n-gram row, which
 is all that executors receive.
 """
@@ -23,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm import ragged
-from skyledger.llm.inputs import pick
+from skyledger.llm.inputs import pick, stored
 from skyledger.llm.labelled import class_shares, held_out, platt, training_sample
 
 SIZES = (3, 4, 5)
@@ -214,22 +218,59 @@ def scorer(model: Model):
     return score
 
 
+def shortened(text: str, max_chars: int, window: int, model: Model | None = None, most: int = 8) -> str:
+    """A text of about ``max_chars`` characters: itself, or windows of a longer text by hash, after the ``most`` most toxic ones if a model is given."""
+    if len(text) <= max_chars:
+        return text
+    words = text.split()
+    pieces = [" ".join(words[i : i + window]) for i in range(0, len(words), window)]
+    # in order of a hash of their place, which no pattern in a text can follow
+    order = np.argsort(ragged.mix(np.arange(len(pieces), dtype=np.uint64)), kind="stable")
+    if model is not None:
+        top = np.argsort(-top_logits(pieces, model), kind="stable")[:most]
+        order = np.append(top, order[~np.isin(order, top)])
+    held = np.cumsum([len(pieces[i]) + 1 for i in order])
+    return " ".join(pieces[i] for i in np.sort(order[: max(1, most if model else 1, int(np.searchsorted(held, max_chars)))]))
+
+
 def train(docs: DataFrame, labels: DataFrame, toxic: int = 1000, clean: int = 2500, max_chars: int = 4000, **options) -> Model:
     """The model learnt from at most ``toxic`` and ``clean`` labelled documents of the kinds, outside the held-out fold.
 
     The bounded sample goes to one task, which is fitted there; the driver gets
-    the numbers of the model only.
+    the numbers of the model only. Texts of over ``max_chars`` characters go
+    there shortened to windows of theirs; the curve is fitted on the driver to
+    one logit of each whole text of the sample.
     """
-    sample, shares = training_sample(docs, labels, "toxic", toxic, clean, max_chars), class_shares(labels, "toxic")
+    sample, shares = stored(training_sample(docs, labels, "toxic", toxic, clean)), class_shares(labels, "toxic")
+    model = _fit_in_task(sample, max_chars, None, shares, **options)
+    if not model.rows.any() or not sample.where(F.length("text") > max_chars).limit(1).count():
+        return model
+    model = _fit_in_task(sample, max_chars, model, shares, **options)
+
+    @F.pandas_udf("double")
+    def logit(texts: pd.Series) -> pd.Series:
+        return pd.Series(top_logits(texts.tolist(), model))
+
+    known = sample.select("doc_id", "label", logit("text").alias("logit")).toPandas().sort_values("doc_id")
+    slope, shift = platt(known["logit"].to_numpy(), known["label"].to_numpy(np.int64), shares)
+    return Model(model.rows, model.offset, slope, shift, model.window)
+
+
+def _fit_in_task(sample: DataFrame, max_chars: int, before: Model | None, shares: tuple[int, int], window: int = 8, **options) -> Model:
+    """The model of the sample with its long texts shortened, with the help of the model ``before`` if there is one."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(text=[shortened(t, max_chars, window, before) for t in batch["text"]])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "label": []}), *batches]).sort_values("doc_id", ignore_index=True)
-        model = fit(known["text"].tolist(), known["label"].to_numpy(np.int64), shares, **options)
+        model = fit(known["text"].tolist(), known["label"].to_numpy(np.int64), shares, window=window, **options)
         yield pd.DataFrame([(model.rows.astype("<f4").tobytes(), model.offset, model.slope, model.shift, model.window)], columns=FIELDS)
 
-    row = sample.repartition(1).mapInPandas(run, "rows binary, offset double, slope double, shift double, window int").first()
+    row = sample.mapInPandas(cut, sample.schema).repartition(1).mapInPandas(run, "rows binary, offset double, slope double, shift double, window int").first()
     if row is None:  # no labelled rows, no task
-        return fit([], np.zeros(0, np.int64), shares, **options)
+        return fit([], np.zeros(0, np.int64), shares, window=window, **options)
     return Model(np.frombuffer(row.rows, "<f4"), row.offset, row.slope, row.shift, row.window)
 
 

@@ -70,6 +70,30 @@ def test_held_out_labels_are_not_learnt_from(spark, tables):
     assert first == second
 
 
+def test_long_texts_take_part(spark, tables):
+    docs, labels, _ = tables
+    # texts too long for the sample make room for others
+    longer = docs.selectExpr("doc_id", "if(doc_id % 2 = 0, repeat(concat(text, ' '), 50), text) AS text")
+    few = training_sample(longer, labels, "toxic", 5, 40, 2000).collect()
+    assert sum(r.label == 0 for r in few) == 40 and all(len(r.text) <= 2000 for r in few)
+    # a sample of long texts only still tells them apart
+    padded = docs.selectExpr("doc_id", "concat_ws(' ', transform(sequence(1, 12), i -> regexp_replace(text, '(idjot|morron|scumm)[a-z]*', ''))) || ' ' || text AS text")
+    model = toxicity.train(padded, labels)
+    rows = toxicity.score_toxicity(padded, labels).join(labels.select("doc_id", "toxic"), "doc_id").where("held_out").collect()
+    assert model.rows.any() and np.mean([r.predicted == r.toxic for r in rows]) > 0.9
+
+
+def test_shortened_texts_keep_their_top_windows():
+    rows = np.zeros(1 << 17, np.float32)
+    text, starts, ends, *_ = toxicity._words(["morron"])
+    for at in toxicity._grams(text, starts, ends, len(rows))[0]:
+        rows[at] = 1
+    model = toxicity.Model(rows, 0.0, 1.0, 0.0, 8)
+    text = " ".join(sentence(20) for _ in range(100)) + " morron " + " ".join(sentence(20) for _ in range(100))
+    assert "morron" in toxicity.shortened(text, 1000, 8, model) and len(toxicity.shortened(text, 1000, 8)) <= 1100
+    assert toxicity.shortened("short", 1000, 8, model) == "short"
+
+
 @pytest.mark.parametrize("score", [quality.score_quality, toxicity.score_toxicity])
 def test_odd_rows(spark, tables, odd, empty, clashing, score):
     _, labels, _ = tables
