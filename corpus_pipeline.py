@@ -33,8 +33,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the weights of their sources ask for."""
-    return mixing.mixed_documents(docs)
+    """Whole documents as often as the weights of their sources ask for."""
+    return mixing.mixed_documents(docs, whole_only=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

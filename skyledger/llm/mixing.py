@@ -100,17 +100,22 @@ def mix(docs: DataFrame, seed: str = "mix", slices: int = 4096, carry: dict[str,
     return rest.select(*columns).unionByName(close.select(*columns))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, whole_only: bool = False, **options) -> DataFrame:
     """The documents as the mix takes them: whole copies as repeated rows, and at the edge of a source's sample the words still missing.
 
     The columns are those of documents; n_chars is counted anew where a text is
     cut. Documents without words come as often as their source's whole copies.
+    With ``whole_only`` no text is cut: the document at the edge is taken or left
+    whole, whichever brings its source nearer to the target.
     """
     columns = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
     taken = mix(docs, carry=columns, **options)
     size = F.greatest("size", F.lit(1))
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / size)).otherwise(F.col("whole_copies")).cast("int")
     more = (F.col("taken") % size).cast("int")
+    if whole_only:
+        times = whole + (2 * more >= size).cast("int")
+        return taken.select("doc_id", "text", "lang", "source", "n_chars", F.explode(F.array_repeat(F.lit(1), times))).drop("col")
     # the text behind the last word to keep is what a split into one part more leaves over; white space in front makes an empty first part
     rest = F.element_at(F.split("text", r"[\x20\x09-\x0D]+", more + 1 + F.col("text").rlike(r"^[\x20\x09-\x0D]").cast("int")), -1)
     cut = F.expr("substring(text, 1, length(text) - length(rest))")

@@ -64,6 +64,25 @@ def test_odd_rows(odd, empty, clashing):
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
 
 
+def test_only_whole_texts_leave_the_stage(spark):
+    # long tail: most sources have one document
+    docs = [(i, " ".join(f"w{k}" for k in range(1 + i % 17)), "en", f"s{min(i, 40)}", 5) for i in range(70)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    made = mixing.mixed_documents(df, whole_only=True)
+    assert made.columns == df.columns
+    rows = made.collect()
+    assert {tuple(r) for r in rows} <= set(docs)
+    words, largest = {}, {}
+    for r in rows:
+        words[r.source] = words.get(r.source, 0) + len(r.text.split())
+    for _, text, _, source, _ in docs:
+        largest[source] = max(largest.get(source, 0), len(text.split()))
+    for r in mixing.mix(df, carry={"source": "string"}).select("source", "target").distinct().collect():
+        assert abs(words.get(r.source, 0) - r.target) <= largest[r.source] / 2 + 0.5
+    import corpus_pipeline
+    assert {tuple(r) for r in dict(corpus_pipeline.STAGES)["mixing"](spark, df, "").collect()} <= set(docs)
+
+
 def test_documents_come_as_often_as_taken(spark):
     docs = [(i, " \n".join(f"w{k}" for k in range(1 + i % 17)) + " ", "en", f"s{i % 3}", 5) for i in range(60)]
     docs += [(100, "\tlead in " + " ".join(["x"] * 40), "en", "s0", 1), (101, None, None, None, None)]
