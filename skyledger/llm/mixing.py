@@ -4,6 +4,8 @@ Every document of a source is expected to be taken target / source size times.
 The whole part is allocated for certain; for the rest documents are ranked by
 random odds divided by inclusion odds, and the lowest ranks are taken until the
 words still missing are reached, so the size of each source's sample is fixed.
+Inclusion is the same for all documents of a source and ranks are compared only
+inside a source, so there the order is plain random order.
 
 Ranks are never sorted as a whole: words are summed per source and slice of the
 rank, which finds the one slice in which a source's sample ends, and only the
