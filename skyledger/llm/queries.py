@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from skyledger.llm import html_text, jaccard, mixing, neardup, packing, quality, token_counts, topk, toxicity, warc
+from skyledger.llm import (
+    collocations, html_text, jaccard, mixing, neardup, packing, prefix_trie, quality, token_counts, topk, toxicity, url_filter, warc,
+)
 from skyledger.llm.inputs import read
 
 
@@ -59,6 +61,21 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_url_filter(spark, sf_dir):
+    """Verdicts on the urls of all pages."""
+    return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
+def op12_collocations(spark, sf_dir):
+    """The best phrases of every language of all documents."""
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark, sf_dir):
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_exact_top_k": op2_exact_top_k,
@@ -70,6 +87,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_token_counts": op10_token_counts,
+    "op11_url_filter": op11_url_filter,
+    "op12_collocations": op12_collocations,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE_SQL = {
@@ -77,4 +97,7 @@ ORACLE_SQL = {
     "op2_exact_top_k": topk.TOP_K_SQL,
     "op5_jaccard_join": jaccard.LINK_SQL,
     "op9_mixing": mixing.MIX_SQL,
+    "op11_url_filter": url_filter.URL_SQL,
+    "op12_collocations": collocations.COLLOCATIONS_SQL,
+    "op13_prefix_trie": prefix_trie.TRIE_SQL,
 }
