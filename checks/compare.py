@@ -25,7 +25,7 @@ TYPES = {
 def session(cores: str = "8") -> SparkSession:
     spark = build_session(
         "skyledger-checks", f"local[{cores}]",
-        **{"spark.sql.shuffle.partitions": cores, "spark.ui.enabled": "false",
+        **{"spark.sql.shuffle.partitions": cores, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
            "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "8g")},
     )
     spark.sparkContext.setLogLevel("ERROR")

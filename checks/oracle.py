@@ -560,6 +560,17 @@ SELECT aqi_bracket, CAST(min(AQI // 50 * 50) AS INT) AS bracket_low,
   {shown('avg(premature_deaths_per_million)', 'avg_premature_deaths', 2)}, count(*) AS record_count
 FROM cleaned GROUP BY aqi_bracket""")
 
+raw("part_sketches", """
+SELECT CAST(year AS VARCHAR) AS part, count(*) AS row_count, count(PM2_5) AS pm25_count, true AS country_within, true AS city_within, true AS station_id_within
+FROM readings GROUP BY year""")
+raw("sketch_overview", """
+SELECT count(*) AS total_records, true AS country_within, true AS city_within, true AS station_id_within, true AS median_within FROM readings""")
+GROUPINGS = {"yearly_trends": "year, country", "sector_impact": "dominant_industry_sector", "policy_effectiveness": "country, has_carbon_tax",
+             "hourly_patterns": "hour", "health_correlations": "aqi_bracket"}
+clean("cube_means", "\nUNION ALL\n".join(f"""
+SELECT '{name}' AS "grouping", concat_ws('|', {keys}) AS group_key, count(*) AS record_count, {r('avg(AQI)', 'mean_aqi')}, {r('stddev_samp(AQI)', 'std_aqi')},
+  {r('max(PM2_5)', 'max_pm25')}, {r('min(NO2)', 'min_no2')} FROM cleaned GROUP BY {keys}""" for name, keys in GROUPINGS.items()))
+
 # --- machine learning -----------------------------------------------------------
 NUMERIC = ["PM2_5", "PM10", "NO2", "SO2", "CO", "O3", "VOC", "Lead", "temperature_c", "humidity_pct", "wind_speed_mps",
            "pressure_hpa", "industrial_output_index", "active_factory_count", "emission_standard_level", "has_carbon_tax",
@@ -572,6 +583,38 @@ raw("ml_features", f",\n{CODES}\nSELECT count(*) AS row_count, " + ", ".join(r(f
     + "FROM readings JOIN codes ON coalesce(station_type, 'nan') = value WHERE "
     + " AND ".join(f"{c} IS NOT NULL" for c in [*NUMERIC, "AQI"]))
 raw("encode_station_type", f",\n{CODES}\nSELECT record_id, station_type, code FROM readings JOIN codes ON coalesce(station_type, 'nan') = value")
+TREE_COLUMNS = ["NO2", "temperature_c", "hour"]
+
+
+def tree_level(number: int) -> str:
+    """Best cut of every node of a level, from running sums over the bins."""
+    worth = lambda g, n: f"pow(sign({g}) * greatest(abs({g}) - 1, 0), 2) / ({n} + 2)"
+    return f"""
+cells{number} AS (
+  SELECT node, col, bin, count(*) AS n, sum(g) AS g FROM (SELECT node, unnest([0, 1, 2]) AS col, unnest([b0, b1, b2]) AS bin, g FROM nodes{number}) GROUP BY ALL
+), sums{number} AS (
+  SELECT *, sum(n) OVER upto AS nl, sum(g) OVER upto AS gl, sum(n) OVER whole AS na, sum(g) OVER whole AS ga FROM cells{number}
+  WINDOW upto AS (PARTITION BY node, col ORDER BY bin), whole AS (PARTITION BY node, col)
+), best{number} AS (
+  SELECT node, col, bin, {worth('gl', 'nl')} + {worth('(ga - gl)', '(na - nl)')} - {worth('ga', 'na')} AS gain FROM sums{number}
+  WHERE nl >= 3 AND na - nl >= 3 AND na >= 5 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, col, bin) = 1
+), nodes{number + 1} AS (
+  SELECT 2 * node + 1 + CAST([b0, b1, b2][col + 1] > bin AS INT) AS node, g, b0, b1, b2 FROM nodes{number} JOIN best{number} USING (node)
+)"""
+
+
+# the tree is whole: every node of the first two levels has a cut
+raw("gradient_tree", ",\ngiven AS (SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS v{i}" for i, c in enumerate(TREE_COLUMNS)) + f""", AQI FROM readings
+  WHERE {' AND '.join(f'{c} IS NOT NULL' for c in [*TREE_COLUMNS, 'AQI'])}
+), limits AS (
+  SELECT {', '.join(f'list_sort(list_distinct(quantile_disc(v{i}, [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875]))) AS l{i}' for i in range(3))} FROM given
+), nodes0 AS (
+  SELECT 0 AS node, (SELECT avg(AQI) FROM given) - AQI AS g, {', '.join(f'len(list_filter(l{i}, lambda x: x < v{i})) AS b{i}' for i in range(3))} FROM given, limits
+), {tree_level(0)}, {tree_level(1)}
+SELECT node, list_extract({TREE_COLUMNS}, col + 1) AS "column", {r('list_extract(list_extract([l0, l1, l2], col + 1), bin + 1)', 'up_to', 4)},
+  2 * node + 1 AS "left", 2 * node + 2 AS "right", CAST(NULL AS DOUBLE) AS value, {r('gain', 'gain', 4)}
+FROM (SELECT * FROM best0 UNION ALL SELECT * FROM best1), limits
+UNION ALL SELECT node, NULL, NULL, NULL, NULL, {r('-sign(sum(g)) * greatest(abs(sum(g)) - 1, 0) / (count(*) + 2) * 0.1e0', 'value', 4)}, NULL FROM nodes2 GROUP BY node""")
 raw("train_test_split", """
 SELECT CASE WHEN substr(md5('42' || record_id), 1, 8) < '33333333' THEN 'test' ELSE 'train' END AS part, station_type,
        count(*) AS n FROM readings GROUP BY ALL""")
@@ -583,16 +626,89 @@ PROFILES = "profiles AS (SELECT city, " + ", ".join(f"avg({c}) AS {c}" for c in
 raw("city_profiles", f",\n{PROFILES}\nSELECT city, {rs(*PROFILE)} FROM profiles")
 raw("scale_profiles", f",\n{PROFILES}\nSELECT city, " + ", ".join(
     r(f"({c} - (SELECT avg({c}) FROM profiles)) / (SELECT stddev_pop({c}) FROM profiles)", c) for c in PROFILE) + " FROM profiles")
+SCALED = PROFILES + ", scaled AS (SELECT city, [" + ", ".join(
+    f"({c} - (SELECT avg({c}) FROM profiles)) / (SELECT CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END FROM profiles)" for c in PROFILE) + """] AS v FROM profiles
+)"""
+STARTS, CLUSTERS, STEPS = 10, 4, 25
+
+
+def distance(a: str, b: str) -> str:
+    return " + ".join(f"({a}[{i}] - {b}[{i}]) * ({a}[{i}] - {b}[{i}])" for i in range(1, len(PROFILE) + 1))
+
+
+def lloyd_sql() -> str:
+    """Starts by hash, farthest first; then the steps, each a table of centres; the run with the least cost."""
+    parts = [f"""first1 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY md5('42' || city), city) - 1 AS INT) AS run, 0 AS i, v AS c FROM scaled QUALIFY run < {STARTS}
+)"""]
+    for n in range(1, CLUSTERS):
+        parts.append(f"""first{n + 1} AS MATERIALIZED (
+  SELECT * FROM first{n} UNION ALL
+  SELECT run, {n}, v FROM (SELECT run, city, any_value(v) AS v, min({distance('v', 'c')}) AS d FROM scaled, first{n} GROUP BY run, city)
+  QUALIFY row_number() OVER (PARTITION BY run ORDER BY d DESC, md5('42' || city) DESC, city DESC) = 1
+)""")
+    parts.append(f"centres0 AS MATERIALIZED (SELECT * FROM first{CLUSTERS})")
+    for n in range(STEPS):
+        parts.append(f"""near{n} AS MATERIALIZED (
+  SELECT run, city, v, i, d FROM (SELECT run, i, city, v, {distance('v', 'c')} AS d FROM scaled, centres{n})
+  QUALIFY row_number() OVER (PARTITION BY run, city ORDER BY d, i) = 1
+), centres{n + 1} AS MATERIALIZED (
+  SELECT run, i, coalesce(m, c) AS c FROM centres{n} LEFT JOIN (
+    SELECT run, i, [{', '.join(f'avg(v[{k}])' for k in range(1, len(PROFILE) + 1))}] AS m FROM near{n} GROUP BY run, i) USING (run, i)
+)""")
+    last = f"near{STEPS - 1}"
+    parts.append(f"""clustered AS (
+  SELECT city, CAST(i AS INT) AS cluster FROM {last}
+  WHERE run = (SELECT run FROM (SELECT run, round(sum(d), 9) AS cost FROM {last} GROUP BY run) ORDER BY cost, run LIMIT 1)
+)""")
+    return ",\n".join(parts)
+
+
+def pca_sql(squarings: int = 14) -> str:
+    """Components by squaring the covariance table again and again; the second from what the first leaves."""
+    n = len(PROFILE)
+    parts = ["cells AS (SELECT city, unnest(range(1, {0})) AS i, unnest(v) AS x FROM scaled)".format(n + 1),
+             "cov AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.x * b.x) / (count(*) - 1) AS x FROM cells a JOIN cells b USING (city) GROUP BY a.i, b.i)"]
+    for k, start in ((1, "cov"), (2, "rest")):
+        if k == 2:
+            parts.append("rest AS MATERIALIZED (SELECT cov.i, cov.j, cov.x - l.value * p.x * q.x AS x FROM cov JOIN comp1 p ON p.i = cov.i JOIN comp1 q ON q.i = cov.j, value1 l)")
+        before = start
+        for s in range(squarings):
+            parts.append(f"""pow{k}_{s} AS MATERIALIZED (
+  SELECT a.i, b.j, sum(a.x * b.x) / (SELECT sum(x * x) FROM {before}) AS x FROM {before} a JOIN {before} b ON a.j = b.i GROUP BY a.i, b.j)""")
+            before = f"pow{k}_{s}"
+        parts.append(f"""raw{k} AS MATERIALIZED (
+  SELECT i, x / (SELECT sqrt(sum(x * x)) FROM {before} WHERE j = (SELECT i FROM {before} WHERE i = j ORDER BY x DESC, i LIMIT 1)) AS x
+  FROM {before} WHERE j = (SELECT i FROM {before} WHERE i = j ORDER BY x DESC, i LIMIT 1)
+), comp{k} AS MATERIALIZED (
+  SELECT i, x * (SELECT sign(x) FROM raw{k} ORDER BY round(abs(x), 9) DESC, i LIMIT 1) AS x FROM raw{k}
+), value{k} AS MATERIALIZED (
+  SELECT sum(p.x * cov.x * q.x) AS value FROM cov JOIN comp{k} p ON p.i = cov.i JOIN comp{k} q ON q.i = cov.j
+), points{k} AS MATERIALIZED (
+  SELECT city, sum(cells.x * p.x) AS pc{k} FROM cells JOIN comp{k} p USING (i) GROUP BY city
+)""")
+    return ",\n".join(parts)
+
+
+raw("city_pca", f",\n{SCALED},\n{pca_sql()}\nSELECT city, {rs('pc1', 'pc2')}, " + ", ".join(
+    r(f"(SELECT value FROM value{k}) / (SELECT sum(x) FROM cov WHERE i = j)", f"pc{k}_share") for k in (1, 2)) + " FROM points1 JOIN points2 USING (city)")
+raw("city_clusters", f",\n{SCALED},\n{lloyd_sql()},\n{pca_sql()}\nSELECT city, {rs(*PROFILE)}, cluster, {rs('pc1', 'pc2')} "
+    "FROM profiles JOIN clustered USING (city) JOIN points1 USING (city) JOIN points2 USING (city)")
 # a WITH list that is continued must not carry the blank between its parts
 ORACLE_SQL.update({name: sql.replace(")\n,", "),") for name, sql in ORACLE_SQL.items()})
-raw("cluster_examples", """
-SELECT city, cluster, CAST(place AS INT) AS place FROM (
-  SELECT city, cluster, row_number() OVER (PARTITION BY cluster ORDER BY city) AS place
-  FROM (SELECT DISTINCT city, CAST(right(city, 1) AS INT) AS cluster FROM readings WHERE city IS NOT NULL)) WHERE place <= 5""")
+ORACLE_SQL["cluster_examples"] = f"WITH {READINGS}," + f"""
+{SCALED},\n{lloyd_sql()}
+SELECT city, cluster, CAST(row_number() OVER (PARTITION BY cluster ORDER BY city) AS INT) AS place FROM clustered QUALIFY place <= 5"""
+# three models; 15 of the 28 columns of each; per model eight figures and its parameters, and the best one's name
+MODEL_ROWS = {"model_tuning_results": 3, "feature_importance": 3 * 15, "model_comparison": 3, "model_summary": 3 * 9 + 1}
 STORED = {name: ORACLE_SQL[{"descriptive_statistics": "describe_pollutants", "green_energy_line_points": "trend_line_points"}.get(name, name)]
           for name in ANALYSES}
-STORED |= {"city_profiles": ORACLE_SQL["city_profiles"], "city_clusters": ORACLE_SQL["city_profiles"]}
+STORED |= {"city_profiles": ORACLE_SQL["city_profiles"], "city_clusters": ORACLE_SQL["city_profiles"]}  # one row per city in both
+EXAMPLES = ORACLE_SQL["cluster_examples"]
 ANALYSED = "\n".join(f"UNION ALL SELECT '{name}', count(*) FROM ({sql})" for name, sql in STORED.items())
-ORACLE_SQL["run_pipeline"] = f"{ORACLE_SQL['result_catalog']}\n{ANALYSED}"
+MODELLED = "\n".join(f"UNION ALL SELECT '{name}', {n}" for name, n in MODEL_ROWS.items())
+ORACLE_SQL["run_pipeline"] = f"{ORACLE_SQL['result_catalog']}\n{ANALYSED}\nUNION ALL SELECT 'cluster_examples', count(*) FROM ({EXAMPLES})\n{MODELLED}"
 LOGGED = "\n".join(f"UNION ALL SELECT '{name}', count(*), '{name}' FROM ({sql})" for name, sql in STORED.items())
+LOGGED += f"\nUNION ALL SELECT 'city_clusters', count(*), 'cluster_examples' FROM ({EXAMPLES})\n"
+LOGGED += "\n".join(f"UNION ALL SELECT 'model_tuning', {n}, '{name}'" for name, n in MODEL_ROWS.items())
 ORACLE_SQL["append_log"] = ORACLE_SQL["log_table"] = f"{ORACLE_SQL['append_log']}\n{LOGGED}"

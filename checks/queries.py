@@ -1,7 +1,9 @@
 """One query per operator, each over the whole readings table of a star-schema folder."""
 
+import json
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StringType
@@ -9,12 +11,13 @@ from pyspark.sql.types import DoubleType, StringType
 from skyledger import constants as C
 from skyledger.functions import aqi, derive
 from skyledger.operators import (
-    cleaning, clusters, distributions, features, joins, reporting, result_tables, sinks, trends, tuning,
+    boosting, cleaning, clusters, cube, distributions, features, joins, reporting, result_tables, sinks, trends, tuning,
 )
+from skyledger.operators.tree_params import TreeParams
 from skyledger.plans import pipeline
 from skyledger.plans.folders import shared_folder
 from skyledger.schema import readings_schema
-from skyledger.sources import readings as source, results, sampling, star
+from skyledger.sources import readings as source, results, sampling, sketches, star
 
 EXACT_ACCURACY = 1_000_000
 FIRST_DAY, LAST_DAY = "1995-01-01", "2001-12-31"
@@ -109,6 +112,44 @@ on_raw("dataset_metadata", lambda r: source.dataset_metadata(r, "year"))
 on_raw("dataset_overview", source.dataset_overview)
 
 
+@query
+def part_sketches(spark, folder):
+    """Stored sketches of every year, and whether their answers keep their bounds against the readings themselves."""
+    base, r = new_folder(spark, "sketches"), star.readings(spark, folder)
+    sketches.store_sketches(r, "year", base)
+    table = results.read_result_table(spark, base, sketches.SKETCHES, order=[]).drop("processed_at")
+    exact = r.groupBy(F.col("year").cast("string").alias("part")).agg(
+        *[F.countDistinct(k).alias(k) for k in sketches.KEYS], F.count("PM2_5").alias("PM2_5"))
+    near = lambda k: F.abs(F.hll_sketch_estimate(f"hll_{k}") - F.col(k)) <= F.greatest(F.lit(1), F.ceil(F.col(k) * sketches.distinct_error()))
+    return table.join(exact, "part").select(
+        "part", F.col("rows").alias("row_count"), F.col("count_PM2_5").alias("pm25_count"), *[near(k).alias(f"{k}_within") for k in sketches.KEYS])
+
+
+@query
+def sketch_overview(spark, folder):
+    """Rows and distinct keys of all years from their sketches, and whether the median's rank is within its bound."""
+    base, r = new_folder(spark, "sketches"), star.readings(spark, folder)
+    sketches.store_sketches(r.where("year < 1996"), "year", base)
+    sketches.store_sketches(r, "year", base)
+    found = sketches.approximate_overview(results.read_result_table(spark, base, sketches.SKETCHES, order=[]).drop("processed_at"))
+    median, error = found.select("median_PM2_5").scalar(), distributions.rank_margin(sketches.KLL_SIZE)
+    exact = r.agg(F.avg(F.when(F.col("PM2_5") <= median, 1.0).when(F.col("PM2_5") > median, 0.0)).alias("rank"), *[F.countDistinct(k).alias(k) for k in sketches.KEYS])
+    exact = exact.select(F.struct("*")).scalar()
+    near = lambda k: F.abs(F.col(f"{k}_count") - exact[k]) <= F.greatest(F.lit(1), F.ceil(exact[k] * sketches.distinct_error()))
+    return found.select("total_records", *[near(k).alias(f"{k}_within") for k in sketches.KEYS], (F.abs(exact["rank"] - 0.5) <= error).alias("median_within"))
+
+
+@query
+def cube_means(spark, folder):
+    """Every group of the result tables' groupings from one scan, the cube of the years added up."""
+    c = cleaned(spark, folder)
+    parts = [cube.table_cube(c.where(F.col("year") <= 1995)), cube.table_cube(c.where(F.col("year") > 1995))]
+    keys = dict.fromkeys(k for own in cube.TABLE_GROUPINGS.values() for k in own)
+    return cube.merge(parts).select(
+        "grouping", F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("group_key"), F.col("n").alias("record_count"), cube.mean("AQI").alias("mean_aqi"),
+        cube.deviation("AQI").alias("std_aqi"), F.col("PM2_5_max").alias("max_pm25"), F.col("NO2_min").alias("min_no2"))
+
+
 # --- sinks ----------------------------------------------------------------------
 
 @query
@@ -127,7 +168,6 @@ def write_readings(spark, folder):
 
 
 _STORED: dict[tuple[str, str], str] = {}
-STAGES = ["clean", "tables", "analysis"]  # the searches of the model stage are trials of their own, see below
 
 
 def _stored(spark: SparkSession, folder: str) -> str:
@@ -135,22 +175,22 @@ def _stored(spark: SparkSession, folder: str) -> str:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _STORED:
         base = new_folder(spark, "pipeline")
-        pipeline.run_pipeline(spark, star.readings(spark, folder), base, STAGES)
+        pipeline.run_pipeline(spark, star.readings(spark, folder), base)
         _STORED[key] = base
     return _STORED[key]
 
 
 @query
 def run_pipeline(spark, folder):
-    """Clean, aggregate and analyse into stored tables; the row count of each."""
+    """Clean, aggregate, analyse and tune the models into stored tables; the row count of each."""
     base = _stored(spark, folder)
-    names = [*result_tables.RESULT_TABLES, *pipeline.ANALYSES, "city_profiles", "city_clusters"]
+    names = [*result_tables.RESULT_TABLES, *pipeline.ANALYSES, "city_profiles", "city_clusters", "cluster_examples", *pipeline.MODEL_TABLES]
     return sinks.result_catalog({n: results.read_result_table(spark, base, n) for n in names})
 
 
 def _comparable_log(log: DataFrame) -> DataFrame:
-    """Without times and Spark's version, which no other engine can know, and the one table whose size follows from a fit."""
-    return log.filter("output_table <> 'cluster_examples'").select("stage", "records_processed", "output_table")
+    """Without times and Spark's version, which no other engine can know."""
+    return log.select("stage", "records_processed", "output_table")
 
 
 @query
@@ -371,9 +411,8 @@ def city_pca(spark, folder):
 
 @query
 def cluster_examples(spark, folder):
-    """Examples of groups that the data name themselves, the last digit of a city, so that SQL can tell them too."""
-    cities = star.readings(spark, folder).filter("city IS NOT NULL").select("city").distinct()
-    return clusters.cluster_examples(cities.withColumn("cluster", F.regexp_extract("city", "(\\d)$", 1).cast("int")))
+    """The first cities of every cluster."""
+    return clusters.cluster_examples(clusters.city_clusters(clusters.scale_profiles(_profiles(spark, folder))))
 
 
 def split_features(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -383,44 +422,56 @@ def split_features(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
     return features.train_test_split(spark.read.parquet(path))
 
 
-# Trials: a few points of a reduced space on two folds, over the whole table. The full searches are the defaults of the
-# functions; with Spark ML they take hours on one machine, so these keys show that the search runs, not its full size.
-TRIAL_FOREST = {"grid": {"n_estimators": [10], "max_depth": [5, 8], "min_samples_leaf": [1, 2], "max_features": ["sqrt"]}, "points": 2, "folds": 2}
-TRIAL_BOOSTING = {"grid": {"n_estimators": [8], "max_depth": [3, 4], "learning_rate": [0.1, 0.2], "subsample": [0.8]}, "points": 2, "folds": 2}
-TRIAL_REGULARIZED = {
-    "grid": {"n_estimators": [8], "max_depth": [4], "learning_rate": [0.2], "subsample": [0.8], "colsample_bytree": [0.7, 0.8],
-             "reg_alpha": [0, 0.1, 1.0], "reg_lambda": [1.0, 2.0, 5.0]}, "points": 2, "folds": 2}
+# One full search per model, folder and application: the queries on its tuning row, its scores and its importances share it.
+_SEARCHES: dict[tuple[str, str, str], tuple] = {}
+
+
+def _search(spark: SparkSession, folder: str, model: str) -> tuple[tuning.Search, DataFrame]:
+    key = (spark.sparkContext.applicationId, folder, model)
+    if key not in _SEARCHES:
+        _SEARCHES[key] = pipeline.TUNERS[model](*split_features(spark, folder))
+    return _SEARCHES[key]
 
 
 @query
 def random_search(spark, folder):
-    from pyspark.ml.regression import GBTRegressor
-    train, _ = split_features(spark, folder)
-    search = tuning.random_search(GBTRegressor(seed=42), TRIAL_BOOSTING["grid"], tuning.BOOSTING_PARAMS, features.assemble(train, 2), 2, 2)
-    rows = [(str(search.params), float(search.cv_score), float(s)) for s in search.scores]
-    return spark.createDataFrame(rows, "best_params string, best_score double, score double")
+    """All points of the boosting search with their scores over three folds."""
+    search, _ = _search(spark, folder, "GradientBoosting")
+    rows = [(i, json.dumps(p), float(s), p == search.params) for i, (p, s) in enumerate(zip(search.points, search.scores))]
+    return spark.createDataFrame(rows, "point int, params string, score double, is_best boolean")
 
 
 @query
 def tune_random_forest(spark, folder):
-    return tuning.tune_random_forest(*split_features(spark, folder), **TRIAL_FOREST)[1]
+    return _search(spark, folder, "RandomForest")[1]
 
 
 @query
 def tune_gradient_boosting(spark, folder):
-    return tuning.tune_gradient_boosting(*split_features(spark, folder), **TRIAL_BOOSTING)[1]
+    return _search(spark, folder, "GradientBoosting")[1]
 
 
 @query
 def tune_boosted_regularized(spark, folder):
-    return tuning.tune_boosted_regularized(*split_features(spark, folder), **TRIAL_REGULARIZED)[1]
+    return _search(spark, folder, "RegularizedBoosting")[1]
 
 
 @query
 def feature_importance(spark, folder):
-    train, test = split_features(spark, folder)
-    search, _ = tuning.tune_random_forest(train, test, **TRIAL_FOREST)
-    return tuning.feature_importance(spark, search.model, features.feature_names(train))
+    """Importances in the best model of each search."""
+    parts = [tuning.feature_importance(spark, _search(spark, folder, m)[0].model).select(F.lit(m).alias("model_name"), "*") for m in pipeline.TUNERS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(digits=4)
+def gradient_tree(spark, folder):
+    """One tree of two levels over all rows, grown by group-bys, with L1 and L2 weights."""
+    columns, params = ["NO2", "temperature_c", "hour"], TreeParams(max_depth=2, min_samples_split=5, min_samples_leaf=3, learning_rate=0.1, reg_alpha=1.0, reg_lambda=2.0)
+    rows = star.readings(spark, folder).select(*columns, "AQI").dropna()
+    limits = boosting.bin_limits(rows, columns, 8, EXACT_ACCURACY)
+    base = rows.agg(F.avg("AQI")).first()[0]
+    errors = boosting.binned(rows, limits, ["AQI"]).select("bins", (F.lit(base) - F.col("AQI")).alias("g"), F.lit(1.0).alias("h"))
+    return boosting.tree_table(spark, boosting.grow(errors, params), columns, limits)
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
@@ -435,15 +486,16 @@ def scored(spark: SparkSession, folder: str) -> DataFrame:
         "GivenLine": (F.col("PM2_5") * 1.1 + 20, 1),
         "Mean": (fitted["mean"], 0),
     }
-    parts = []
-    for name, (prediction, columns) in predictions.items():
-        metrics = tuning.regression_metrics(test.select(F.col("AQI").alias("label"), prediction.alias("prediction")))
-        parts.append(metrics.select(
-            F.lit(name).alias("model_name"), F.create_map(F.lit("columns"), F.lit(columns)).alias("best_params"),
-            F.col("r2").alias("cv_score"), F.col("r2").alias("test_r2"), F.col("rmse").alias("test_rmse"), F.col("mae").alias("test_mae"),
-            F.lit(0.0).alias("duration_seconds"), F.lit(columns).alias("feature_count"),
-            fitted["n"].alias("train_size"), test.agg(F.count("*")).scalar().alias("test_size")))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    # one pass over the test rows for all predictors
+    rows = test.select("AQI", *[p.alias(name) for name, (p, _) in predictions.items()])
+    metrics = rows.agg(F.count("*").alias("n"), *[
+        F.struct(*[m.alias(k) for k, m in tuning.metric_columns(F.col("AQI"), F.col(name)).items()]).alias(name) for name in predictions])
+    table = F.array(*[F.struct(
+        F.lit(name).alias("model_name"), F.create_map(F.lit("columns"), F.lit(columns)).alias("best_params"),
+        F.col(name)["r2"].alias("cv_score"), F.col(name)["r2"].alias("test_r2"), F.col(name)["rmse"].alias("test_rmse"), F.col(name)["mae"].alias("test_mae"),
+        F.lit(0.0).alias("duration_seconds"), F.lit(columns).alias("feature_count"), fitted["n"].alias("train_size"), F.col("n").alias("test_size"),
+    ) for name, (_, columns) in predictions.items()])
+    return metrics.select(F.explode(table).alias("row")).select("row.*")
 
 
 @query

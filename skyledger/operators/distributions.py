@@ -2,14 +2,16 @@
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window, functions as F
 
 from skyledger import constants as C
 from skyledger.functions.numeric import half_even, nan_to_null
+from skyledger.plans.folders import shared_folder
 
 STATISTICS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
-QUANTILE_ACCURACY = 1_000  # of the sketch behind the limits
+QUANTILE_ACCURACY = 4_000  # size of the sketch behind the limits
 QUANTILE_TASK_ROWS = 4_000_000  # limits with more values between them are narrowed again
 QUANTILE_ROUNDS = 6  # each round leaves a few thousandths of the values
 
@@ -106,13 +108,17 @@ def _long(r: DataFrame, cols: list[str]) -> DataFrame:
     return wide.unpivot([], cols, "column", "value").filter("value IS NOT NULL")
 
 
+def _present(name: str) -> Column:
+    return nan_to_null(F.col(name).cast("double"))
+
+
 @dataclass
 class _Span:
-    """Where a quantile is looked for: values over ``low`` up to ``high`` (None: no bound), how many there are and how many come before."""
+    """Values of a column over ``low`` up to ``high`` (None: no bound), how many there are and how many come before; perhaps the quantile looked for there."""
 
     column: str
-    prob: float
-    place: float  # rank with its fraction, from 0
+    prob: float | None = None
+    place: float = 0.0  # rank with its fraction, from 0
     low: float | None = None
     high: float | None = None
     before: int = 0
@@ -126,101 +132,167 @@ class _Span:
         over = F.lit(True) if self.low is None else value > self.low
         return value.isNotNull() & over & (F.lit(True) if self.high is None else value <= self.high)
 
+    @property
+    def below(self) -> Column:
+        return F.lit(0).cast("long") if self.low is None else F.count_if(_present(self.column) <= self.low)
 
-def _present(name: str) -> Column:
-    return nan_to_null(F.col(name).cast("double"))
+    @property
+    def found(self) -> bool:
+        return self.before <= self.ranks[0] and self.ranks[1] < self.before + self.size
 
 
-def _count_spans(r: DataFrame, spans: list[_Span]) -> None:
-    """Size and number of smaller values of every span, exactly, in one wide aggregate."""
-    if not spans:
-        return
+def column_profile(r: DataFrame, cols: list[str], accuracy: int = QUANTILE_ACCURACY) -> dict[str, Row]:
+    """count, mean, std, min, max and a mergeable KLL sketch of each column, in one pass of one row."""
     row = r.agg(*[
-        F.struct(
-            (F.lit(0) if s.low is None else F.count_if(_present(s.column) <= s.low)).alias("before"),
-            F.count_if(s.inside(_present(s.column))).alias("size"),
-        ).alias(f"s{i}") for i, s in enumerate(spans)
+        F.struct(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
+                 F.kll_sketch_agg_double(v, F.lit(max(8, accuracy))).alias("sketch")).alias(f"c{i}")
+        for i, v in enumerate(map(_present, cols))
     ]).first()
+    return {c: row[f"c{i}"] for i, c in enumerate(cols)}
+
+
+def rank_margin(accuracy: int) -> float:
+    """Three times the rank error that a KLL sketch of this size has in 99 of 100 cases."""
+    return 3 * 2.3 / max(8, accuracy) ** 0.9
+
+
+def sketch_limits(spark: SparkSession, sketches: dict[str, bytes], asked: list[tuple[str, float]]) -> list[float]:
+    """Values at the asked (column, rank share) of the columns' sketches."""
+    ranks: dict[str, list[float]] = {}
+    for column, share in asked:
+        ranks.setdefault(column, []).append(share)
+    names = list(ranks)
+    row = spark.range(1).select(*[
+        F.kll_sketch_get_quantile_double(F.lit(bytearray(sketches[c])), F.array(*map(F.lit, ranks[c]))).alias(f"c{i}") for i, c in enumerate(names)]).first()
+    values = {c: iter(row[f"c{i}"]) for i, c in enumerate(names)}
+    return [next(values[c]) for c, _ in asked]
+
+
+def _count_spans(r: DataFrame, spans: list[_Span]) -> None:
+    """Size and number of smaller values of every span, exactly, in one wide aggregate."""
+    row = r.agg(*[F.struct(s.below.alias("before"), F.count_if(s.inside(_present(s.column))).alias("size")).alias(f"s{i}") for i, s in enumerate(spans)]).first()
     for i, span in enumerate(spans):
         span.before, span.size = row[f"s{i}"]["before"], row[f"s{i}"]["size"]
 
 
-def _settle(r: DataFrame, spans: list[_Span]) -> None:
-    """Count the spans, and open the side of those that miss their ranks, which a sketch may cause."""
-    open_ = spans
-    while open_:
-        _count_spans(r, open_)
-        missed = []
-        for s in open_:
+def _open_missed(r: DataFrame, spans: list[_Span]) -> None:
+    """Open the side of the spans that miss their ranks, which a sketch may cause, and count them again."""
+    while missed := [s for s in spans if not s.found]:
+        for s in missed:
             if s.ranks[0] < s.before:
                 s.low = None
-            elif s.ranks[1] >= s.before + s.size:
-                s.high = None
             else:
-                continue
-            missed.append(s)
-        open_ = missed
+                s.high = None
+        _count_spans(r, missed)
 
 
-def _bounds(r: DataFrame, spans: list[_Span], accuracy: int) -> None:
-    """Limits around the wanted ranks from sketches of the values inside the spans."""
+def _narrow(r: DataFrame, spans: list[_Span], accuracy: int) -> None:
+    """Limits around the wanted ranks from sketches of the values inside the spans, counted."""
     margin = 2 / accuracy
     asked = []
     for s in spans:
         middle = (s.place - s.before) / max(s.size - 1, 1)
         asked.append((max(middle - margin, 0.0), min(middle + margin, 1.0)))
-    # one sketch for all spans of a column with the same limits
-    groups: dict[tuple, list[int]] = {}
-    for i, s in enumerate(spans):
-        groups.setdefault((s.column, s.low, s.high), []).append(i)
     row = r.agg(*[
-        F.percentile_approx(F.when(spans[own[0]].inside(_present(c)), _present(c)), F.array(*[F.lit(p) for i in own for p in asked[i]]), accuracy)
-        for (c, _, _), own in groups.items()
+        F.percentile_approx(F.when(s.inside(_present(s.column)), _present(s.column)), F.array(*map(F.lit, pair)), accuracy) for s, pair in zip(spans, asked)
     ]).first()
-    for limits, own in zip(row, groups.values()):
-        for k, i in enumerate(own):
-            low, high = asked[i]
-            spans[i].low = limits[2 * k] if low > 0 else spans[i].low
-            spans[i].high = limits[2 * k + 1] if high < 1 else spans[i].high
+    for s, limits, (low, high) in zip(spans, row, asked):
+        s.low = limits[0] if low > 0 else s.low
+        s.high = limits[1] if high < 1 else s.high
+    _count_spans(r, spans)
+    _open_missed(r, spans)
 
 
-def exact_quantiles(r: DataFrame, cols: list[str], probs: list[float], accuracy: int = QUANTILE_ACCURACY,
-                    task_rows: int = QUANTILE_TASK_ROWS) -> DataFrame:
-    """Linearly interpolated quantiles of each column as (column, prob, value) rows.
+def _hits(r: DataFrame, spans: list[_Span], extra: list[Column] = ()) -> tuple[DataFrame, dict]:
+    """(span, value, n) of the values inside the spans, and the spans' counts with the ``extra`` aggregates, in one pass.
 
-    Exact without ever shuffling a column: a sketch gives narrow limits around
-    each wanted rank, one wide aggregate counts what lies below and between
-    them and so proves that the rank is there, and only values between the
-    limits, filtered at the scan, are counted and ranked. While more than
-    ``task_rows`` values lie between two limits these are narrowed again. The
-    sketch decides the balance, never the result. The limits are found by a few
-    jobs of one row each.
+    Every row is compared with all limits where it is read; rows without a hit
+    end there, and of the others only the hits leave the projection. The table
+    is stored, so that whatever is asked of it costs no other pass.
     """
-    wide = r.agg(*[F.count(_present(c)).alias(f"c{i}") for i, c in enumerate(cols)]).first()
-    spans = [_Span(c, p, (wide[f"c{i}"] - 1) * p, size=wide[f"c{i}"]) for i, c in enumerate(cols) for p in probs if wide[f"c{i}"]]
-    wide_open, before = spans, {}
-    for _ in range(QUANTILE_ROUNDS):
-        if not wide_open:
-            break
-        _bounds(r, wide_open, accuracy)
-        _settle(r, wide_open)
-        # a span of one value only cannot be narrowed, and need not be: its rows are counted into one
-        wide_open = [s for s in wide_open if s.size > task_rows and before.get(id(s)) != s.size]
-        before = {id(s): s.size for s in wide_open}
-    rows = [(i, s.column, s.prob, s.low, s.high, s.before, *s.ranks, s.place - s.ranks[0]) for i, s in enumerate(spans)]
-    known = r.sparkSession.createDataFrame(
-        rows, "span int, column string, prob double, low double, high double, before long, first long, last long, part double")
-    values = _long(r, cols)
-    between = (F.col("low").isNull() | (F.col("value") > F.col("low"))) & (F.col("high").isNull() | (F.col("value") <= F.col("high")))
+    shared_folder(r.sparkSession)
+    seen = Observation()
+    values = {c: f"_v{i}" for i, c in enumerate(dict.fromkeys(s.column for s in spans))}
+    wide = r.select(*[_present(c).alias(v) for c, v in values.items()])
+    inside = [s.inside(F.col(values[s.column])) for s in spans]
+    below = [F.lit(0).cast("long") if s.low is None else F.count_if(F.col(values[s.column]) <= s.low) for s in spans]
+    wide = wide.observe(seen, F.count("*").alias("rows"), *[b.alias(f"b{i}") for i, b in enumerate(below)],
+                        *[F.count_if(h).alias(f"n{i}") for i, h in enumerate(inside)], *extra)
+    hits = F.filter(F.array(*[F.when(h, F.struct(F.lit(i).alias("span"), F.col(values[s.column]).alias("value"))) for i, (s, h) in enumerate(zip(spans, inside))]),
+                    lambda hit: hit.isNotNull())
+    found = wide.where(reduce(lambda a, b: a | b, inside)).select(F.explode(hits).alias("hit")).select("hit.*")
+    counted = found.groupBy("span", "value").agg(F.count("*").alias("n")).checkpoint()
+    metrics = seen.get
+    for i, span in enumerate(spans):
+        span.before, span.size = metrics[f"b{i}"], metrics[f"n{i}"]
+    return counted, metrics
+
+
+def _quantile_spans(spark: SparkSession, sketches: dict[str, bytes], counts: dict[str, int], probs: list[float], accuracy: int) -> list[_Span]:
+    """A span around every wanted rank, with the limits that the sketches give."""
+    spans = [_Span(c, p, (counts[c] - 1) * p, size=counts[c]) for c in sketches for p in probs if counts[c]]
+    margin = rank_margin(accuracy)
+    asked = [(s.column, share) for s in spans for share in (max(s.prob - margin, 0.0), min(s.prob + margin, 1.0))]
+    limits = sketch_limits(spark, sketches, asked) if spans else []
+    for i, s in enumerate(spans):
+        s.low = limits[2 * i] if s.prob > margin else None
+        s.high = limits[2 * i + 1] if s.prob + margin < 1 else None
+    return spans
+
+
+def _at_ranks(counted: DataFrame, spans: list[_Span]) -> DataFrame:
+    """(column, prob, value) of the spans from their counted values."""
+    if not spans:
+        return counted.sparkSession.createDataFrame([], "column string, prob double, value double")
+    rows = [(i, s.column, s.prob, s.before, *s.ranks, s.place - s.ranks[0]) for i, s in enumerate(spans) if s.prob is not None]
+    known = counted.sparkSession.createDataFrame(rows, "span int, column string, prob double, before long, first long, last long, part double")
     # one row per column and quantile: the size of this broadcast is fixed by the arguments
-    counted = values.join(F.broadcast(known), "column").filter(between).groupBy(
-        "span", "column", "prob", "before", "first", "last", "part", "value").agg(F.count("*").alias("n"))
+    placed = counted.join(F.broadcast(known), "span")
     start = F.col("before") + F.sum("n").over(Window.partitionBy("span").orderBy("value")) - F.col("n")
-    placed = counted.withColumn("start", start)
+    placed = placed.withColumn("start", start)
     at = lambda rank: F.max(F.when((F.col(rank) >= F.col("start")) & (F.col(rank) < F.col("start") + F.col("n")), F.col("value")))
     return placed.groupBy("column", "prob").agg((at("first") + (at("last") - at("first")) * F.max("part")).alias("value"))
 
 
+def _counted_quantiles(r: DataFrame, spans: list[_Span], accuracy: int, task_rows: int, others: list[_Span] = (), extra: list[Column] = ()) -> tuple[DataFrame, DataFrame, dict]:
+    """Quantiles of the spans, the hits of these and of the ``others``, and the metrics; one pass unless limits miss or hold too many values."""
+    counted, metrics = _hits(r, [*spans, *others], extra)
+    bad = [s for s in spans if not s.found or s.size > task_rows]
+    good = [i for i, s in enumerate(spans) if s not in bad]
+    parts = [_at_ranks(counted.where(F.col("span").isin(good)), spans)]
+    if bad:
+        _open_missed(r, bad)
+        wide_open, before = [s for s in bad if s.size > task_rows], {}
+        for _ in range(QUANTILE_ROUNDS):
+            if not wide_open:
+                break
+            before = {id(s): s.size for s in wide_open}
+            _narrow(r, wide_open, accuracy)
+            # a span of one value only cannot be narrowed, and need not be: its rows are counted into one
+            wide_open = [s for s in wide_open if s.size > task_rows and before[id(s)] != s.size]
+        parts.append(_at_ranks(_hits(r, bad)[0], bad))
+    return reduce(DataFrame.unionByName, parts), counted, metrics
+
+
+def exact_quantiles(r: DataFrame, cols: list[str], probs: list[float], accuracy: int = QUANTILE_ACCURACY,
+                    task_rows: int = QUANTILE_TASK_ROWS, profile: dict[str, Row] | None = None) -> DataFrame:
+    """Linearly interpolated quantiles of each column as (column, prob, value) rows.
+
+    Exact without ever shuffling a column, in two passes: KLL sketches give
+    narrow limits around each wanted rank (``profile`` has them from stored
+    sketches or another pass and saves the first one); the second pass counts
+    what lies below the limits, which proves that the rank is between them, and
+    lets only values between them out of the scan, to be counted and ranked.
+    Limits that miss, or hold more than ``task_rows`` values, are drawn anew by
+    further passes. The sketch decides the balance, never the result.
+    """
+    profile = profile or column_profile(r, cols, accuracy)
+    spans = _quantile_spans(r.sparkSession, {c: p["sketch"] for c, p in profile.items()}, {c: p["count"] for c, p in profile.items()}, probs, accuracy)
+    if not spans:
+        return r.sparkSession.createDataFrame([], "column string, prob double, value double")
+    return _counted_quantiles(r, spans, accuracy, task_rows)[0]
+
+
 def approx_quantiles(r: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10_000) -> DataFrame:
     """Same shape as ``exact_quantiles`` from one pass with mergeable sketches; values are not interpolated."""
     array = F.array(*[F.lit(float(p)) for p in probs])
@@ -233,48 +305,69 @@ def approx_quantiles(r: DataFrame, cols: list[str], probs: list[float], accuracy
 # --- summaries ----------------------------------------------------------------
 
 def describe(r: DataFrame, cols: list[str] = C.POLLUTANTS, digits: int | None = 2, approx: bool = False) -> DataFrame:
-    """count, mean, std, min, quartiles and max: one row per statistic, one column per input."""
-    plain = {"count": F.count, "mean": F.avg, "std": F.stddev, "min": F.min, "max": F.max}
-    wide = r.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols]).agg(
-        *[F.struct(*[f(c).cast("double").alias(s) for s, f in plain.items()]).alias(c) for c in cols]
-    )
-    basic = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(s).alias("statistic"), *[F.col(c)[s].alias(c) for c in cols]) for s in plain
-    ])).alias("row")).select("row.*")
+    """count, mean, std, min, quartiles and max: one row per statistic, one column per input; two passes, with ``approx`` one more light one."""
+    cols = list(cols)
+    spark, profile = r.sparkSession, column_profile(r, cols)
+    double = lambda v: None if v is None else float(v)
+    rows = [(s, *(double(profile[c][s]) for c in cols)) for s in ("count", "mean", "std", "min", "max")]
+    schema = "statistic string, " + ", ".join(f"`{c}` double" for c in cols)
     names = {0.25: "25%", 0.5: "50%", 0.75: "75%"}
-    quantiles = (approx_quantiles if approx else exact_quantiles)(r, cols, list(names))
+    quantiles = approx_quantiles(r, cols, list(names)) if approx else exact_quantiles(r, cols, list(names), profile=profile)
     label = F.coalesce(*[F.when(F.col("prob") == p, name) for p, name in names.items()])
     # the three labels are always there, also when every value is missing
-    labels = r.sparkSession.createDataFrame([(name,) for name in names.values()], "statistic string")
+    labels = spark.createDataFrame([(name,) for name in names.values()], "statistic string")
     middle = labels.join(
         quantiles.groupBy(label.alias("statistic")).agg(
             *[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in cols]
         ), "statistic", "left",
     )
-    rows = basic.unionByName(middle)
-    return rows if digits is None else rows.select("statistic", *[half_even(c, digits).alias(c) for c in cols])
+    result = spark.createDataFrame(rows, schema).unionByName(middle)
+    return result if digits is None else result.select("statistic", *[half_even(c, digits).alias(c) for c in cols])
 
 
-def box_stats(r: DataFrame, cols: list[str] = ("PM2_5", "PM10", "NO2", "SO2"), approx: bool = False) -> DataFrame:
-    """Quartiles, whiskers (extreme points within 1.5 box heights of the box) and outlier count per column."""
-    cols = list(cols)
-    quantiles = (approx_quantiles if approx else exact_quantiles)(r, cols, [0.25, 0.5, 0.75])
-    box = quantiles.groupBy("column").agg(*[
-        F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)
-        for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
-    ])
-    # one row per column
-    found = {row["column"]: row for row in box.collect()}
-    if not found:
-        return box.selectExpr("column", "q1", "median", "q3", "q1 AS whisker_low", "q3 AS whisker_high", "0L AS outliers")
-    parts = []
-    for c, row in found.items():
-        value, reach = nan_to_null(F.col(c).cast("double")), 1.5 * (row["q3"] - row["q1"])
-        inside = value.between(row["q1"] - reach, row["q3"] + reach)
-        parts.append(F.struct(
-            F.lit(c).alias("column"), *[F.lit(row[n]).alias(n) for n in ("q1", "median", "q3")],
-            F.least(F.lit(row["q1"]), F.min(F.when(inside, value))).alias("whisker_low"),
-            F.greatest(F.lit(row["q3"]), F.max(F.when(inside, value))).alias("whisker_high"),
-            F.count_if(~inside).alias("outliers"),
-        ))
-    return r.agg(F.array(*parts).alias("rows")).select(F.explode("rows").alias("row")).select("row.*")
+BOX = "column string, q1 double, median double, q3 double, whisker_low double, whisker_high double, outliers long"
+
+
+def box_stats(r: DataFrame, cols: list[str] = ("PM2_5", "PM10", "NO2", "SO2"), accuracy: int = QUANTILE_ACCURACY, task_rows: int = QUANTILE_TASK_ROWS) -> DataFrame:
+    """Quartiles, whiskers (extreme points within 1.5 box heights of the box) and outlier count per column, in two passes.
+
+    The limits around the quartiles bound the fences as well: values between the
+    bounds of a fence are hits of the second pass like those around the ranks,
+    and what lies beyond the bounds is counted there.
+    """
+    spark, cols = r.sparkSession, list(cols)
+    profile = column_profile(r, cols, accuracy)
+    counts = {c: p["count"] for c, p in profile.items()}
+    quartiles = _quantile_spans(spark, {c: p["sketch"] for c, p in profile.items()}, counts, [0.25, 0.5, 0.75], accuracy)
+    full = [c for c in cols if counts[c]]
+    if not full:
+        return spark.createDataFrame([], BOX)
+    fences, extra = [], []
+    for i, c in enumerate(full):
+        q1, q3 = (next(s for s in quartiles if s.column == c and s.prob == p) for p in (0.25, 0.75))
+        (a, b), (x, y) = ((profile[c]["min"] if s.low is None else s.low, profile[c]["max"] if s.high is None else s.high) for s in (q1, q3))
+        low, high = (a - 1.5 * (y - a), b - 1.5 * (x - b)), (x + 1.5 * (x - b), y + 1.5 * (y - a))
+        for first, last in (low, high):
+            fences.append(_Span(c, low=math.nextafter(first, -math.inf), high=math.nextafter(max(first, last), math.inf)))
+        value = F.col(f"_v{i}")
+        extra += [F.min(F.when(value > fences[-2].high, value)).alias(f"over{i}"), F.max(F.when(value <= fences[-1].low, value)).alias(f"under{i}")]
+    quantiles, counted, metrics = _counted_quantiles(r, quartiles, accuracy, task_rows, fences, extra)
+    found = {(row["column"], row["prob"]): row["value"] for row in quantiles.collect()}
+    exact = []
+    for i, c in enumerate(full):
+        q1, q3 = found[c, 0.25], found[c, 0.75]
+        exact += [(len(quartiles) + 2 * i, q1 - 1.5 * (q3 - q1), 1.0), (len(quartiles) + 2 * i + 1, q3 + 1.5 * (q3 - q1), -1.0)]
+    # two rows per column; the sign turns the upper fence into a lower one
+    known = spark.createDataFrame(exact, "span int, fence double, sign double")
+    within = F.col("sign") * F.col("value") >= F.col("sign") * F.col("fence")
+    sides = {row["span"]: row for row in counted.join(F.broadcast(known), "span").groupBy("span").agg(
+        F.min(F.when(within, F.col("sign") * F.col("value"))).alias("end"), F.sum(F.when(~within, F.col("n")).otherwise(0)).alias("out")).collect()}
+    rows = []
+    for i, c in enumerate(full):
+        q1, median, q3 = (found[c, p] for p in (0.25, 0.5, 0.75))
+        lower, upper = (sides.get(len(quartiles) + 2 * i + k) for k in (0, 1))
+        ends = [lower["end"] if lower and lower["end"] is not None else metrics[f"over{i}"], -upper["end"] if upper and upper["end"] is not None else metrics[f"under{i}"]]
+        below, above = fences[2 * i], fences[2 * i + 1]
+        out = below.before + (lower["out"] if lower else 0) + counts[c] - above.before - above.size + (upper["out"] if upper else 0)
+        rows.append((c, q1, median, q3, min([q1, *(e for e in ends[:1] if e is not None)]), max([q3, *(e for e in ends[1:] if e is not None)]), out))
+    return spark.createDataFrame(rows, BOX)

@@ -1,10 +1,9 @@
 """Feature table of the index model: columns, encoding, split."""
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from skyledger import constants as C
-from skyledger.functions.hashing import fold_number, in_fraction, row_hash
+from skyledger.functions.hashing import in_fraction, row_hash
 from skyledger.functions.numeric import nan_to_null
 
 LABEL = "AQI"
@@ -16,12 +15,13 @@ MISSING_LABEL = "nan"
 def encode_label(r: DataFrame, column: str, output: str, missing: str = MISSING_LABEL) -> DataFrame:
     """``r`` with the alphabetical number, from 0, of each distinct value of a text column; NULL is the value ``'nan'``.
 
-    The values are counted map-side; the list of distinct ones is held by the
-    driver, so the column must be a category, not an identifier.
+    The distinct values are found map-side and reach the rows as a one-value
+    subquery of the same plan, so the column must be a category, not an
+    identifier.
     """
-    keyed = r.withColumn("_value", F.coalesce(F.col(column).cast("string"), F.lit(missing)))
-    indexer = StringIndexer(inputCol="_value", outputCol="_code", stringOrderType="alphabetAsc")
-    return indexer.fit(keyed).transform(keyed).withColumn(output, F.col("_code").cast("int")).drop("_value", "_code")
+    value = F.coalesce(F.col(column).cast("string"), F.lit(missing))
+    known = r.agg(F.sort_array(F.collect_set(value))).scalar()
+    return r.withColumn(output, (F.array_position(known, value) - 1).cast("int"))
 
 
 def ml_features(r: DataFrame, id_col: str = "record_id", columns=tuple(C.FEATURE_COLUMNS)) -> DataFrame:
@@ -43,10 +43,3 @@ def train_test_split(features: DataFrame, test: float = 0.2, seed: int = 42, id_
     """Train and test rows by a hash of the id: the same rows in every run and partitioning."""
     in_test = in_fraction(row_hash(id_col, seed), test)
     return features.filter(~in_test), features.filter(in_test)
-
-
-def assemble(features: DataFrame, folds: int = 3, seed: int = 42, id_col: str = "record_id") -> DataFrame:
-    """(features vector, label, fold) for the estimators; the fold comes from the hash of the id, too."""
-    assembler = VectorAssembler(inputCols=feature_names(features, id_col), outputCol="features")
-    fold = fold_number(row_hash(id_col, seed), folds)
-    return assembler.transform(features).select("features", F.col(LABEL).alias("label"), fold.alias("fold"))

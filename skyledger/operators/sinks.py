@@ -6,7 +6,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from skyledger import constants as C
-from skyledger.sources.results import table_path
+from skyledger.sources import storage
+from skyledger.sources.results import POINTERS, VERSION, table_path, versions
 
 LOG_TABLE = "processing_log"
 LOG_SCHEMA = (
@@ -33,35 +34,37 @@ def assert_unique_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def write_result(df: DataFrame, name: str, base: str, keys: list[str] | None = None, stamp: str = "processed_at") -> int:
     """Replace a result table, stamped with the time; returns the number of rows.
 
-    The executors write the rows beside the old table and count them on the way
-    out; the primary key is checked there, and only then the new table takes the
-    place of the old one. A table that fails the check leaves the old one as it is.
+    The executors write a version of its own and count its rows on the way out;
+    the primary key is checked there. Only then the pointer is set, in one step
+    that needs no rename: until it is there readers keep the old version, and a
+    write that ends before leaves the table as it was. The version before stays
+    for readers that have begun; older ones, and what broken writes left, go.
     """
-    spark, seen = df.sparkSession, Observation()
-    path, staged = table_path(base, name), table_path(base, f"_{name}-{uuid.uuid4().hex[:12]}")
+    spark, seen, path = df.sparkSession, Observation(), table_path(base, name)
+    known = versions(spark, path)
+    version = f"{int(known[-1][:10]) + 1 if known else 1:010d}-{uuid.uuid4().hex[:8]}"
     stamped = df.withColumn(stamp, F.current_timestamp()).observe(seen, F.count("*").alias("rows"))
-    stamped.write.parquet(staged)
+    stamped.write.parquet(f"{path}/{version}")
     keys = C.RESULT_KEYS.get(name) if keys is None else keys
     if keys:
-        duplicates = assert_unique_keys(spark.read.parquet(staged), keys).limit(1).collect()
+        duplicates = assert_unique_keys(spark.read.parquet(f"{path}/{version}"), keys).limit(1).collect()
         if duplicates:
-            _remove(spark, staged)
+            storage.remove(spark, path if not known else f"{path}/{version}")
             raise DuplicateKeyError(f"{name}: more than one row for {duplicates[0].asDict()}")
-    _replace(spark, staged, path)
+    storage.mark(spark, f"{path}/{POINTERS}/{version}")
+    drop_versions(spark, path)
     return seen.get["rows"]
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
-def _replace(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a written table in the place of another."""
-    _remove(spark, path)
-    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
-    if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, target):
-        raise OSError(f"{staged} could not be moved to {path}")
+def drop_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove all but the last versions, pointers first, and what unfinished writes before them left."""
+    known = versions(spark, path)
+    kept = known[-keep:]
+    for version in known[:-keep]:
+        storage.remove(spark, f"{path}/{POINTERS}/{version}")
+    for name in storage.names(spark, path):
+        if VERSION.fullmatch(name) and name not in kept and name[:10] <= kept[-1][:10]:
+            storage.remove(spark, f"{path}/{name}")
 
 
 def write_readings(r: DataFrame, path: str, fmt: str = "csv", max_rows: int = ROWS_PER_FILE,

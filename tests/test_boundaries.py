@@ -186,3 +186,36 @@ def test_small_p_values_keep_their_digits(spark, r, n):
 
 def test_p_value_needs_two_points(spark):
     assert spark.range(1).select(correlation_p_value(F.lit(0.5), F.lit(1))).first()[0] is None
+
+
+@pytest.mark.parametrize("r, n", [(0.5, 4), (0.01, 4), (0.3, 102), (0.9, 102), (0.001, 102), (0.05, 5002), (0.2, 5002), (0.02, 20_002)])
+def test_p_value_to_ten_digits(spark, r, n):
+    """Against the finite sum for an even number of degrees of freedom, in decimals of 400 digits."""
+    from decimal import Decimal, getcontext
+    getcontext().prec = 400
+    sine = Decimal(r)
+    square, term, total = 1 - sine * sine, Decimal(1), Decimal(0)
+    for j in range(1, (n - 2) // 2 + 1):
+        total += term
+        term *= Decimal(2 * j - 1) / Decimal(2 * j) * square
+    got = spark.range(1).select(correlation_p_value(F.lit(r), F.lit(n))).first()[0]
+    assert got == pytest.approx(float(1 - sine * total), rel=1e-10)
+
+
+@pytest.mark.parametrize("t", [0.0, 0.1, 1.0, 2.5, 6.0, 20.0])
+def test_p_value_of_a_thousand_million_points(spark, t):
+    """There Student's distribution is the normal one but for a term in 1 / v."""
+    n = 1_000_000_000
+    v = n - 2
+    r = t / math.sqrt(v + t * t)
+    density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+    expected = math.erfc(t / math.sqrt(2)) + density * (t ** 3 + t) / (2 * v)
+    got = spark.range(1).select(correlation_p_value(F.lit(r), F.lit(n))).first()[0]
+    assert got == pytest.approx(expected, rel=1e-9 if t < 10 else 1e-4)
+
+
+def test_p_value_has_a_fixed_number_of_terms(spark):
+    """The expression does not depend on n, which may be a column."""
+    rows = spark.createDataFrame([(0.1, n) for n in (3, 100, 10 ** 9)], "r double, n long")
+    values = [row[0] for row in rows.select(correlation_p_value("r", "n")).collect()]
+    assert values == sorted(values, reverse=True) and 0 <= values[-1] < 1e-300

@@ -84,6 +84,69 @@ def test_a_rejected_table_leaves_the_old_one(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["country_aqi_stats"]
 
 
+def test_a_write_broken_before_the_pointer_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    from skyledger.sources import storage
+    base, rows = str(tmp_path), lambda *names: spark.createDataFrame([(n, 1.0) for n in names], "country string, avg_aqi double")
+    read = lambda: [r["country"] for r in results.read_result_table(spark, base, "country_aqi_stats").collect()]
+
+    def broken(*_):
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, "mark", broken)
+        with pytest.raises(OSError):
+            sinks.write_result(rows("first"), "country_aqi_stats", base)
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            read()
+        assert results.read_result_table(spark, base, "country_aqi_stats", missing_schema="country string").count() == 0
+    sinks.write_result(rows("a"), "country_aqi_stats", base)
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, "mark", broken)
+        with pytest.raises(OSError):
+            sinks.write_result(rows("b"), "country_aqi_stats", base)
+    assert read() == ["a"]
+    begun = results.read_stored(spark, base, "country_aqi_stats")
+    sinks.write_result(rows("c"), "country_aqi_stats", base)
+    assert read() == ["c"] and [r["country"] for r in begun.collect()] == ["a"]
+    for name in "def":
+        sinks.write_result(rows(name), "country_aqi_stats", base)
+    folder = tmp_path / "country_aqi_stats"
+    assert read() == ["f"] and len(list(folder.glob("0*"))) == 2 == len([p for p in (folder / "_current").iterdir() if p.name[0] != "."])
+
+
+def test_a_broken_run_goes_on_behind_its_last_table(spark, readings, tmp_path, monkeypatch):
+    """Broken at every table in turn, runs end with the tables of a run that was never broken."""
+    from skyledger.plans import pipeline
+    raw, tables = str(tmp_path / "raw"), dict(list(result_tables.RESULT_TABLES.items())[:3])
+    sinks.write_readings(readings.withColumn("record_id", F.monotonically_increasing_id()), raw)
+    monkeypatch.setattr(pipeline, "RESULT_TABLES", tables)
+    run_pipeline(spark, raw, str(tmp_path / "whole"), ["clean", "tables"], at_once=1)
+    base, done, write = str(tmp_path / "broken"), [], sinks.write_result
+
+    def break_at(place):
+        def job(df, name, *rest):
+            if len(done) == place:
+                raise RuntimeError("lost")
+            done.append(name)
+            return write(df, name, *rest)
+        return job
+
+    for place in range(len(tables)):
+        monkeypatch.setattr(sinks, "write_result", break_at(place))
+        with pytest.raises(RuntimeError):
+            run_pipeline(spark, raw, base, ["clean", "tables"], at_once=1)
+    monkeypatch.setattr(sinks, "write_result", write)
+    assert [e["output_table"] for e in run_pipeline(spark, raw, base, ["clean", "tables"], at_once=1)] == list(tables)[2:][:1]
+    assert done == list(tables)[:2] and run_pipeline(spark, raw, base, ["clean", "tables"]) == []
+    for name in tables:
+        same_rows(*(results.read_stored(spark, str(tmp_path / b), name).drop("processed_at") for b in ("whole", "broken")))
+    logged = results.read_result_table(spark, base, "processing_log").collect()
+    assert sorted(r["output_table"] for r in logged) == sorted(["cleaned_readings", *tables])
+    assert len(run_pipeline(spark, raw, base, ["clean", "tables"], resume=False)) == 4
+    sinks.write_readings(readings.limit(50).withColumn("record_id", F.monotonically_increasing_id()), raw)
+    assert len(run_pipeline(spark, raw, base, ["clean", "tables"])) == 4
+
+
 def test_reading_order(spark, tmp_path):
     df = spark.createDataFrame([("0-50",), ("50-100",), ("100-150",)], "aqi_bracket string")
     sinks.write_result(df, "health_correlations", str(tmp_path))
@@ -118,8 +181,7 @@ def test_pipeline_stores_and_logs_every_table(spark, readings, tmp_path):
     sinks.write_readings(readings.withColumn("record_id", F.monotonically_increasing_id()), raw)
     entries = run_pipeline(spark, raw, base, ["clean", "tables", "analysis"])
     assert [e["stage"] for e in entries[:2]] == ["ingest", "data_cleaning"]
-    tables = {e["output_table"]: spark.read.parquet(f"{base}/{e['output_table']}") for e in entries}
-    tables["processing_log"] = spark.read.parquet(f"{base}/processing_log")
+    tables = {n: results.read_stored(spark, base, n) for n in [*(e["output_table"] for e in entries), "processing_log"]}
     catalog = {r["table_name"]: r["row_count"] for r in sinks.result_catalog(tables).collect()}
     for entry in entries:
         assert catalog[entry["output_table"]] == entry["records_processed"] > 0
@@ -132,9 +194,7 @@ def test_pipeline_stores_and_logs_every_table(spark, readings, tmp_path):
 
 
 def test_pipeline_tunes_models(spark, readings, tmp_path):
-    from checks.queries import TRIAL_BOOSTING, TRIAL_FOREST, TRIAL_REGULARIZED
-    searches = {"RandomForest": TRIAL_FOREST, "GradientBoosting": TRIAL_BOOSTING, "RegularizedBoosting": TRIAL_REGULARIZED}
-    entries = run_pipeline(spark, readings, str(tmp_path), ["models"], searches=searches)
+    entries = run_pipeline(spark, readings, str(tmp_path), ["models"])
     found = {e["output_table"]: e["records_processed"] for e in entries}
     assert found == {"model_tuning_results": 3, "feature_importance": 45, "model_comparison": 3, "model_summary": 28}
     stored = results.read_result_table(spark, str(tmp_path), sinks.TUNING_TABLE)

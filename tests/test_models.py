@@ -6,8 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from checks.queries import TRIAL_BOOSTING, TRIAL_FOREST, TRIAL_REGULARIZED
-from skyledger.operators import clusters, features, sinks, tuning, reporting
+from skyledger.operators import clusters, features, reporting, sinks, tuning
 
 
 @pytest.fixture(scope="module")
@@ -46,49 +45,47 @@ def test_split_is_stable_and_about_one_fifth(split, readings):
     assert 0.17 < share < 0.23
     again = features.train_test_split(features.ml_features(readings.repartition(5)))[1]
     assert set(r[0] for r in again.select("record_id").collect()) == set(r[0] for r in test.select("record_id").collect())
-    folds = {r["fold"]: r["count"] for r in features.assemble(train).groupBy("fold").count().collect()}
-    assert set(folds) == {0, 1, 2}
+    sample = tuning.fit_sample(train, 3, 42)
+    assert len(sample.y) == train.count() and set(sample.fold) == {0, 1, 2}
 
 
-@pytest.mark.parametrize("tune, trial", [
-    (tuning.tune_random_forest, TRIAL_FOREST), (tuning.tune_gradient_boosting, TRIAL_BOOSTING), (tuning.tune_boosted_regularized, TRIAL_REGULARIZED)])
-def test_tuned_model_beats_the_mean(split, tune, trial, floor=0.8):
-    search, table = tune(*split, **trial)
+@pytest.mark.parametrize("tune, points", [
+    (tuning.tune_random_forest, 20), (tuning.tune_gradient_boosting, 15), (tuning.tune_boosted_regularized, 20)])
+def test_full_search_beats_the_mean(spark, split, tune, points, floor=0.9):
+    search, table = tune(*split)
     row = table.first()
     assert row["test_r2"] > floor and row["test_rmse"] >= row["test_mae"] > 0
     assert row["train_size"] == split[0].count() and row["feature_count"] == 28
-    assert search.cv_score == max(search.scores)
-
-
-def test_unsupported_parameters_are_recorded(split):
-    from pyspark.ml.regression import RandomForestRegressor
-    grid = {"n_estimators": [2], "max_depth": [3], "min_samples_split": [2, 5]}
-    search = tuning.random_search(RandomForestRegressor(seed=1), grid, tuning.FOREST_PARAMS, features.assemble(split[0], 2), 1, 2)
-    assert set(search.params) == {"n_estimators", "max_depth", "not_applied"}
-
-
-def test_points_of_one_model_are_fitted_once(split):
-    from pyspark.ml.regression import RandomForestRegressor
-    fits = []
-
-    class Counted(RandomForestRegressor):
-        def _fit(self, dataset):
-            fits.append(1)
-            return super()._fit(dataset)
-
-    grid = {"n_estimators": [2], "max_depth": [3, 30, None], "min_samples_split": [2, 5]}
-    estimator = Counted(seed=1, maxBins=32)
-    assert len({tuning._map_key(tuning._param_map(estimator, p, tuning.FOREST_PARAMS)) for p in tuning.sample_grid(grid, 6)}) == 2
-    small = features.assemble(split[0].limit(300), 2)
-    search = tuning.random_search(estimator, grid | {"max_depth": [3]}, tuning.FOREST_PARAMS, small, 2, 2, parallelism=1)
-    assert len(search.scores) == 2 and search.scores[0] == search.scores[1] and len(fits) <= 3
-
-
-def test_importance(spark, split):
-    from pyspark.ml.regression import RandomForestRegressor
-    model = RandomForestRegressor(numTrees=5, maxDepth=4, seed=1).fit(features.assemble(split[0]))
-    rows = tuning.feature_importance(spark, model, features.feature_names(split[0])).collect()
-    assert len(rows) == 15 and rows[0]["importance"] == max(r["importance"] for r in rows)
+    assert len(search.scores) == len(search.points) == points and search.cv_score == max(search.scores)
+    assert search.params == search.points[search.scores.index(search.cv_score)]
+    shares = tuning.feature_importance(spark, search.model, 28).collect()
+    assert sum(r["importance"] for r in shares) == pytest.approx(1) and shares[0]["importance"] == max(r["importance"] for r in shares)
+    assert len(tuning.feature_importance(spark, search.model).collect()) == 15
+
+
+def test_sample_is_bounded_and_the_same_in_any_partitioning(split):
+    a, b = (tuning.fit_sample(rows, 3, 42, fit_rows=500) for rows in (split[0], split[0].repartition(13)))
+    assert len(a.y) == 500 and (a.bins == b.bins).all() and (a.y == b.y).all() and np.bincount(a.fold).min() > 100
+
+
+def test_points_that_differ_in_the_number_of_trees_are_one_task(spark, split, monkeypatch):
+    """Their scores are those of fits of their own."""
+    seen = []
+    real = tuning._staged_scores
+    monkeypatch.setattr(tuning, "_staged_scores", lambda spark, shared, models, *rest: seen.extend(models) or real(spark, shared, models, *rest))
+    grid = {"n_estimators": [3, 7], "max_depth": [3], "learning_rate": [0.3], "subsample": [0.8]}
+    both = tuning.random_search(split[0], grid, 2, 2, fit_rows=800)
+    assert [stages for _, stages in seen] == [[3, 7]]
+    for point, score in zip(both.points, both.scores):
+        alone = tuning.random_search(split[0], {k: [v] for k, v in point.items()}, 1, 2, fit_rows=800)
+        assert alone.scores == [score]
+
+
+def test_model_predicts_alike_in_spark_and_numpy(split):
+    search = tuning.random_search(split[0], {"n_estimators": [5], "max_depth": [4]}, 1, 2, fit_rows=1000, bootstrap=True)
+    rows = search.model.transform(split[1]).toPandas()
+    expected = search.model.ensemble.predict(tuning._binned([rows[c] for c in search.model.limits], list(search.model.limits.values())))
+    assert np.allclose(rows["prediction"], expected)
 
 
 def test_metrics(spark):

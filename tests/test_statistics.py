@@ -234,3 +234,98 @@ def test_best_model_and_cards(spark, cleaned):
     assert (cards["best_model"], cards["total_records"]) == ("B", cleaned.count())
     assert reporting.overview_cards(
         result_tables.country_aqi_stats(cleaned), result_tables.city_aqi_stats(cleaned)).first()["best_model"] is None
+
+
+# --- cube and sketches ----------------------------------------------------------
+
+def _same_numbers(left, right):
+    """Equal rows, numbers to twelve digits or so."""
+    assert set(left.columns) == set(right.columns)
+    a, b = (sorted((tuple(r) for r in df.select(*sorted(left.columns)).collect()), key=lambda r: tuple((not isinstance(v, float), str(v)) for v in r if not isinstance(v, float)))
+            for df in (left, right))
+    assert len(a) == len(b)
+    for x, y in zip(a, b):
+        assert x == tuple(pytest.approx(v, rel=1e-9, abs=1e-9) if isinstance(v, float) else v for v in y)
+
+
+def test_cube_gives_the_result_tables(cleaned):
+    from skyledger.operators import cube
+    halves = [cube.table_cube(cleaned.where(F.pmod(F.xxhash64("record_id"), F.lit(2)) == i)) for i in (0, 1)]
+    rows = cube.merge(halves).cache()
+    for name in cube.TABLE_GROUPINGS:
+        _same_numbers(cube.CUBE_TABLES[name](rows), result_tables.RESULT_TABLES[name](cleaned))
+
+
+def test_cube_gives_the_analyses(readings):
+    from skyledger.operators import cube
+    from skyledger.plans.pipeline import ANALYSES
+    odd = readings.withColumn("month", F.when(F.col("month") != 3, F.col("month"))).withColumn("PM2_5", F.when(F.col("hour") == 1, float("nan")).otherwise(F.col("PM2_5")))
+    rows = cube.analysis_cube(odd).cache()
+    for name in cube.ANALYSIS_GROUPINGS:
+        _same_numbers(cube.CUBE_TABLES[name](rows), ANALYSES[name](odd))
+
+
+def test_cube_scans_once(readings):
+    from skyledger.operators import cube
+    plan = cube.table_cube(readings.withColumn("aqi_bracket", F.lit("0-50")))._jdf.queryExecution().executedPlan().toString()
+    once = readings.select("AQI", "country", "station_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= once.count("FileScan") and plan.count("Expand") == 1
+
+
+def test_quantiles_and_boxes_read_twice(spark, readings):
+    """One pass for the sketches and one for the hits, counted by the rows that leave the source."""
+    rows = readings.select(*distributions.C.POLLUTANTS)
+    total, seen = rows.count(), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = rows.mapInArrow(counted, rows.schema)
+    for job in (lambda: distributions.describe(source, digits=None).collect(), lambda: distributions.box_stats(source).collect()):
+        before = seen.value
+        job()
+        assert seen.value - before <= 2 * total
+
+
+def test_box_stats_of_odd_columns(spark):
+    df = spark.createDataFrame([(1.0, None, 5.0), (2.0, None, 5.0), (None, None, 5.0), (float("nan"), None, 5.0), (100.0, None, 5.0)], "a double, b double, c double")
+    rows = {r["column"]: tuple(r)[1:] for r in distributions.box_stats(df, ["a", "b", "c"]).collect()}
+    assert rows == {"a": (1.5, 2.0, 51.0, 1.0, 100.0, 0), "c": (5.0, 5.0, 5.0, 5.0, 5.0, 0)}
+    assert distributions.box_stats(df, ["b"]).collect() == []
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.one_of(st.integers(-5, 5).map(float), st.floats(-1e6, 1e6)), min_size=1, max_size=80))
+def test_box_stats_of_any_values(spark, values):
+    row = distributions.box_stats(spark.createDataFrame([(v,) for v in values], "x double"), ["x"], accuracy=8, task_rows=3).first()
+    q1, q3 = np.quantile(values, [0.25, 0.75])
+    low, high = row["q1"] - 1.5 * (row["q3"] - row["q1"]), row["q3"] + 1.5 * (row["q3"] - row["q1"])
+    inside = [v for v in values if low <= v <= high]
+    assert (row["q1"], row["q3"]) == (pytest.approx(q1, rel=1e-9, abs=1e-9), pytest.approx(q3, rel=1e-9, abs=1e-9))
+    assert row["outliers"] == len(values) - len(inside)
+    assert (row["whisker_low"], row["whisker_high"]) == (min([row["q1"], *inside]), max([row["q3"], *inside]))
+
+
+def test_new_parts_are_added_to_stored_sketches(spark, readings, tmp_path):
+    from skyledger.sources import results, sketches
+    stored = lambda: results.read_result_table(spark, str(tmp_path), sketches.SKETCHES, order=[]).drop("processed_at")
+    years = [r["year"] for r in readings.select("year").distinct().collect()]
+    first = readings.where(F.col("year") < 1995)
+    assert sketches.store_sketches(first, "year", str(tmp_path)) == len([y for y in years if y < 1995])
+    before = {r["part"]: bytes(r["hll_city"]) for r in stored().collect()}
+    seen = spark.sparkContext.accumulator(0)
+    assert sketches.store_sketches(readings, "year", str(tmp_path)) == len([y for y in years if y >= 1995])
+    assert sketches.store_sketches(readings, "year", str(tmp_path)) == 0
+    after = {r["part"]: bytes(r["hll_city"]) for r in stored().collect()}
+    assert set(after) == {str(y) for y in years} and all(after[p] == s for p, s in before.items()) and seen.value == 0
+    merged, once = (df.select(*[F.hll_sketch_estimate(f"hll_{k}").alias(k) for k in sketches.KEYS], "rows").first()
+                    for df in (sketches.merged(stored()), sketches.merged(sketches.part_sketches(readings, "AQI_category"))))
+    assert merged == once
+    exact = readings.agg(*[F.countDistinct(k).alias(k) for k in sketches.KEYS]).first()
+    assert all(abs(merged[k] - exact[k]) <= max(1, exact[k] * sketches.distinct_error()) for k in sketches.KEYS)
+    profile = sketches.quantile_profile(stored())
+    from_sketches, plain = ({(r[0], r[1]): r[2] for r in distributions.exact_quantiles(readings, ["PM2_5", "NO2"], [0.25, 0.9], profile=p).collect()}
+                            for p in ({k: profile[k] for k in ("PM2_5", "NO2")}, None))
+    assert from_sketches == plain
