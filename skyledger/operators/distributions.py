@@ -197,7 +197,7 @@ def _narrow(r: DataFrame, spans: list[_Span], accuracy: int) -> None:
         F.percentile_approx(F.when(s.inside(_present(s.column)), _present(s.column)), F.array(*map(F.lit, pair)), accuracy) for s, pair in zip(spans, asked)
     ]).first()
     for s, limits, (low, high) in zip(spans, row, asked):
-        s.low = limits[0] if low > 0 else s.low
+        s.low = math.nextafter(limits[0], -math.inf) if low > 0 else s.low
         s.high = limits[1] if high < 1 else s.high
     _count_spans(r, spans)
     _open_missed(r, spans)
@@ -213,16 +213,17 @@ def _hits(r: DataFrame, spans: list[_Span], extra: list[Column] = ()) -> tuple[D
     shared_folder(r.sparkSession)
     seen = Observation()
     values = {c: f"_v{i}" for i, c in enumerate(dict.fromkeys(s.column for s in spans))}
-    wide = r.select(*[_present(c).alias(v) for c, v in values.items()])
+    plain = r.select(*[_present(c).alias(v) for c, v in values.items()])
     inside = [s.inside(F.col(values[s.column])) for s in spans]
     below = [F.lit(0).cast("long") if s.low is None else F.count_if(F.col(values[s.column]) <= s.low) for s in spans]
-    wide = wide.observe(seen, F.count("*").alias("rows"), *[b.alias(f"b{i}") for i, b in enumerate(below)],
-                        *[F.count_if(h).alias(f"n{i}") for i, h in enumerate(inside)], *extra)
+    counts = [F.count("*").alias("rows"), *[b.alias(f"b{i}") for i, b in enumerate(below)], *[F.count_if(h).alias(f"n{i}") for i, h in enumerate(inside)], *extra]
+    wide = plain.observe(seen, *counts)
     hits = F.filter(F.array(*[F.when(h, F.struct(F.lit(i).alias("span"), F.col(values[s.column]).alias("value"))) for i, (s, h) in enumerate(zip(spans, inside))]),
                     lambda hit: hit.isNotNull())
     found = wide.where(reduce(lambda a, b: a | b, inside)).select(F.explode(hits).alias("hit")).select("hit.*")
     counted = found.groupBy("span", "value").agg(F.count("*").alias("n")).checkpoint()
-    metrics = seen.get
+    # a result without rows is planned away, and the observed counts with it
+    metrics = plain.agg(*counts).first().asDict() if counted.isEmpty() else seen.get
     for i, span in enumerate(spans):
         span.before, span.size = metrics[f"b{i}"], metrics[f"n{i}"]
     return counted, metrics
@@ -235,7 +236,8 @@ def _quantile_spans(spark: SparkSession, sketches: dict[str, bytes], counts: dic
     asked = [(s.column, share) for s in spans for share in (max(s.prob - margin, 0.0), min(s.prob + margin, 1.0))]
     limits = sketch_limits(spark, sketches, asked) if spans else []
     for i, s in enumerate(spans):
-        s.low = limits[2 * i] if s.prob > margin else None
+        # the lower limit itself may be the wanted value, above all where values repeat
+        s.low = math.nextafter(limits[2 * i], -math.inf) if s.prob > margin else None
         s.high = limits[2 * i + 1] if s.prob + margin < 1 else None
     return spans
 
