@@ -95,3 +95,30 @@ def test_documents_come_as_often_as_taken(spark):
         assert whole is None or whole.startswith(r.text)
         assert r.text == whole or r.n_chars == len(r.text)
     assert words == {r.doc_id: r.taken for r in mixing.mix(df).collect() if r.taken or r.size == 0 and r.whole_copies}
+
+
+def test_rows_without_an_id_have_ranks_of_their_own(spark):
+    """A source of null ids is sampled row by row, and only rows that repeat the text as well share a rank."""
+    docs = [(None, f"w{i} " * (5 + i % 7), "en", "a" if i % 3 else "b", 5) for i in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    rows = mixing.mix(df).collect()
+    assert sum(r.taken % r.size > 0 for r in rows) <= 2 and len({r.taken // r.size for r in rows}) > 1
+    made = mixing.mixed_documents(df, whole_only=True)
+    words = {}
+    for r in made.collect():
+        words[r.source] = words.get(r.source, 0) + len(r.text.split())
+    for r in mixing.mix(df, carry={"source": "string"}).select("source", "target").distinct().collect():
+        assert abs(words[r.source] - r.target) <= 6
+
+
+def test_a_large_plan_is_joined_by_a_shuffle(spark):
+    docs = [(i, " ".join(["w"] * (1 + i % 13)), "en", f"s{i % 9}" if i % 4 else None, 5) for i in range(150)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    rows = [sorted(map(tuple, mixing.mixed_documents(df, whole_only=True, plan_bytes=b).collect()), key=repr) for b in (0, 1_000_000)]
+    assert rows[0] == rows[1]
+
+
+def test_texts_cross_no_shuffle(spark):
+    df = spark.createDataFrame([(i, "w " * i, "en", f"s{i % 3}", 5) for i in range(50)], "doc_id long, text string, lang string, source string, n_chars long")
+    plan = mixing.mixed_documents(df, whole_only=True)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
