@@ -8,6 +8,7 @@ round each sequence replaces all occurrences of its own lowest-ranked pair.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from functools import cache
 
@@ -179,15 +180,16 @@ def normal(text: str) -> str:
 def pieces(texts: list[str], special: dict[str, int]) -> tuple[list[str], list[int], list[int]]:
     """Texts cut at the special strings: the parts, the text each is of, and the special id that follows it (-1: none)."""
     parts, owners, follow = [], [], []
+    # of special strings that begin at one place the longest counts
+    any_of = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
     for i, text in enumerate(texts):
-        rest = text
-        while any(s in rest for s in special):
-            at, mark = min((rest.find(s), s) for s in special if s in rest)
-            parts.append(rest[:at])
+        start = 0
+        for hit in any_of.finditer(text):
+            parts.append(text[start : hit.start()])
             owners.append(i)
-            follow.append(special[mark])
-            rest = rest[at + len(mark) :]
-        parts.append(rest)
+            follow.append(special[hit.group()])
+            start = hit.end()
+        parts.append(text[start:])
         owners.append(i)
         follow.append(-1)
     return parts, owners, follow

@@ -166,4 +166,4 @@ def pack(docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2,
         if held:
             yield flush(doc_ids, held, first, task)[0]
 
-    return pick(docs, doc_id="long", text="string").mapInArrow(run, SCHEMA)
+    return pick(docs, doc_id="long", text="string").mapInArrow(ragged.tidy(run), SCHEMA)

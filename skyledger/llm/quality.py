@@ -8,6 +8,7 @@ of a batch at once.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -91,6 +92,11 @@ class Forest:
     slope: float = 1.0
     shift: float = 0.0
 
+    @property
+    def learnt(self) -> bool:
+        """False for the trees without examples of both labels, which score every text alike."""
+        return bool(self.value.any())
+
     def logits(self, rows: np.ndarray) -> np.ndarray:
         trees = np.arange(len(self.feature))[None, :]
         node = np.zeros((len(rows), len(self.feature)), np.int64)
@@ -143,12 +149,13 @@ def fit(rows: np.ndarray, labels: np.ndarray, shares: tuple[int, int], trees: in
 def scorer(forest: Forest):
     """A column function from text to score."""
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        logits = forest.logits(statistics(["" if t is None else t for t in texts]))
-        return pd.Series(1 / (1 + np.exp(-np.clip(forest.slope * logits + forest.shift, -500, 500))))
+    @ragged.tidy
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            logits = forest.logits(statistics(["" if t is None else t for t in texts]))
+            yield pd.Series(1 / (1 + np.exp(-np.clip(forest.slope * logits + forest.shift, -500, 500))))
 
-    return score
+    return F.pandas_udf(score, "double")
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))

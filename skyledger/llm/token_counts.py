@@ -40,4 +40,4 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFram
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
-    return pick(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return pick(docs, doc_id="long", text="string").mapInArrow(ragged.tidy(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
