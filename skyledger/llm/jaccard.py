@@ -36,6 +36,9 @@ from skyledger.llm.shingles import set_ids, shingle_sets
 from skyledger.llm.signature_tree import Join
 
 TOKENS, HEADER, REPLY, FREQUENT = 0, 1, 2, 3
+# marks a number of sets in the place of a set's number
+SEVERAL = np.uint32(1 << 31)
+PART_SHINGLES = 1 << 22
 ROW = "kind int, part int, chunk long, numbers binary, hashes binary, doc_ids array<long>, text_keys array<long>, sizes array<long>, set_ids array<long>"
 ROW_NAMES = ["kind", "part", "chunk", "numbers", "hashes", "doc_ids", "text_keys", "sizes", "set_ids"]
 ROW_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), *[pa.list_(pa.int64())] * 4]
@@ -53,7 +56,12 @@ def _slices(keys: np.ndarray) -> list[tuple[int, int, int]]:
 
 
 def _deal(docs: DataFrame, bits: int, width: int) -> DataFrame:
-    """Per chunk of documents one header, and the shingles of its distinct sets by range of the hash."""
+    """Per chunk of documents one header, and the shingles of its distinct sets by range of the hash.
+
+    A shingle goes out once per chunk, with the number of its set, or with how
+    many sets have it if these are several; that it is shared is then known here
+    and replied at once. So copies of one shingle are at most as many as chunks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
@@ -67,31 +75,47 @@ def _deal(docs: DataFrame, bits: int, width: int) -> DataFrame:
                 begin = (np.cumsum(sizes) - sizes)[first]
                 numbers = np.repeat(np.arange(len(distinct), dtype=np.uint32), sizes[first])
                 hashes = tokens[ragged.gather(begin, sizes[first])] >> np.uint64(32 - bits)
-                parts = (hashes >> np.uint64(32)).astype(np.int64)
+                order = np.argsort(hashes)
+                ascending = hashes[order]
+                at = np.flatnonzero(np.append(True, ascending[1:] != ascending[:-1])) if len(hashes) else np.zeros(0, np.int64)
+                many = np.diff(np.append(at, len(hashes)))
+                hot = np.flatnonzero(many > 1)
+                copies = order[ragged.gather(at[hot], many[hot])]
+                sets, times = np.unique(numbers[copies], return_counts=True)
+                if len(sets):
+                    rows.append((REPLY, chunk % (1 << bits), chunk, sets.tobytes(), times.astype(np.uint32).tobytes(), None, None, None, None))
+                numbers[copies] = SEVERAL
+                numbers[order[at[hot]]] |= many[hot].astype(np.uint32)
+                kept = np.flatnonzero(numbers != SEVERAL)
+                parts = (hashes[kept] >> np.uint64(32)).astype(np.int64)
                 order = np.argsort(parts, kind="stable")
-                numbers, low = numbers[order], hashes.astype(np.uint32)[order]
-                for part, x, y in _slices(parts[order]):
+                kept, parts = kept[order], parts[order]
+                numbers, low = numbers[kept], hashes[kept].astype(np.uint32)
+                for part, x, y in _slices(parts):
                     rows.append((TOKENS, part, chunk, numbers[x:y].tobytes(), low[x:y].tobytes(), None, None, None, None))
                 yield _table(rows, ROW_NAMES, ROW_TYPES)
                 chunk += 1
 
-    return docs.mapInArrow(run, ROW)
+    return docs.mapInArrow(ragged.tidy(run), ROW)
 
 
 def _count(dealt: DataFrame, frequent: int, most: int) -> DataFrame:
-    """Per part: for every chunk how many shingles of each set occur elsewhere too; the most frequent shingles; headers as they are."""
+    """Per part: for every chunk how many shingles of each set occur elsewhere too; the most frequent shingles; headers and replies as they are."""
 
     def run(table: pa.Table) -> pa.Table:
         kinds = np.array(table.column("kind"))
-        headers = table.filter(pa.array(kinds == HEADER))
+        headers = table.filter(pa.array(kinds != TOKENS))
         mine = table.filter(pa.array(kinds == TOKENS))
         rows: list[tuple] = []
         if mine.num_rows:
             part, chunks = mine.column("part")[0].as_py(), mine.column("chunk").to_pylist()
             numbers = [np.frombuffer(x, np.uint32) for x in mine.column("numbers").to_pylist()]
             hashes = np.concatenate([np.frombuffer(x, np.uint32) for x in mine.column("hashes").to_pylist()])
-            values, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-            shared = counts[inverse] > 1
+            values, inverse = np.unique(hashes, return_inverse=True)
+            owners = np.concatenate(numbers)
+            several = owners >= SEVERAL
+            counts = np.bincount(inverse, np.where(several, owners ^ SEVERAL, 1), len(values)).astype(np.int64)
+            shared = (counts[inverse] > 1) & ~several
             at = 0
             for chunk, owner in zip(chunks, numbers, strict=True):
                 sets, times = np.unique(owner[shared[at : at + len(owner)]], return_counts=True)
@@ -137,7 +161,7 @@ def _frequent(counted: DataFrame, bits: int, most: int) -> tuple[np.ndarray, np.
                     pa.array((np.frombuffer(values, np.uint32).astype(np.int64) | (part << 32))), pa.array(np.frombuffer(counts, np.uint32).astype(np.int64)),
                 ], names=["value", "times"])
 
-    rows = counted.where(F.col("kind") == FREQUENT).select("part", "numbers", "hashes").mapInArrow(run, "value long, times long")
+    rows = counted.where(F.col("kind") == FREQUENT).select("part", "numbers", "hashes").mapInArrow(ragged.tidy(run), "value long, times long")
     top = rows.orderBy(F.desc("times"), "value").limit(most).toPandas().sort_values("value")
     return top["value"].to_numpy(np.uint64), top["times"].to_numpy(np.int64)
 
@@ -164,7 +188,7 @@ def _payload(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     if wanted.where("times > 1").limit(1).count():
         repeated = found.where("times > 1").groupBy("set_id").agg(F.first("text").alias("text"))
         texts = texts.union(repeated.select("text", "set_id"))
-    return texts.mapInArrow(run, "set_id long, size long, tokens binary")
+    return texts.mapInArrow(ragged.tidy(run), "set_id long, size long, tokens binary")
 
 
 def _family_edges(payload: DataFrame, hot: tuple[np.ndarray, np.ndarray], bits: int, num: int, den: int) -> DataFrame:
@@ -205,7 +229,7 @@ def _family_edges(payload: DataFrame, hot: tuple[np.ndarray, np.ndarray], bits:
         return pa.table({"a": distinct[moved], "b": distinct[root[moved]]})
 
     return (
-        payload.mapInArrow(keys, "part int, keys binary, sizes binary, set_ids binary").groupBy("part").applyInArrow(link, "a long, b long")
+        payload.mapInArrow(ragged.tidy(keys), "part int, keys binary, sizes binary, set_ids binary").groupBy("part").applyInArrow(link, "a long, b long")
     )
 
 
@@ -264,7 +288,9 @@ def _linked(docs: DataFrame, width: int = 5, numerator: int = 4, denominator: in
     """The rows of ``link_documents`` with text_key and class, one number per component; texts without words have no class."""
     docs = docs.withColumn("text_key", F.xxhash64("text"))
     parallel = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(8, (2 * parallel - 1).bit_length())
+    letters = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # a word has two letters at least, with the blank behind it; parts hold a bounded number of shingles whatever the table's size
+    bits = min(max(8, (2 * parallel - 1).bit_length(), (letters // 2 // PART_SHINGLES).bit_length()), 24)
     counted = stored(_count(_deal(docs, bits, width), frequent=8, most=max(1, (1 << 20) >> bits)))
     sized = stored(_sizes(counted))
     sets = (
@@ -298,7 +324,12 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     without words are linked with nothing, so all of them stay.
     """
     linked = _linked(pick(docs, doc_id="long", text="string"), **options)
-    kept = linked.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"), "class").distinct()
+    named = linked.where("doc_id = component_id")
+    # an id that stands once in its class names its row; only rows of repeated ones are compared
+    rows_of = named.groupBy("doc_id", "class").agg(F.count("*").alias("rows"), F.min("text_key").alias("kept_key")).withColumnRenamed("doc_id", "kept_id")
+    repeated = rows_of.where("rows > 1").select(F.col("kept_id").alias("again_id"), F.col("class").alias("again_class"))
+    kept = named.select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"), "class").distinct().join(
+        repeated, (F.col("kept_id") == F.col("again_id")) & F.col("class").eqNullSafe(F.col("again_class")), "left_semi")
     nameless = linked.where("component_id IS NULL")
     id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
     plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
@@ -310,7 +341,10 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
         single = rows.groupBy(*key).agg(F.min(F.struct(f"_c{text_at}", f"_c{id_at}", *others)).alias("row"))
         return single.select("row.*").select(*plain.columns)
 
-    single = one_row(keyed.join(kept, (F.col(f"_c{id_at}") == F.col("kept_id")) & same), "kept_id", "class")
+    own_id = F.col(f"_c{id_at}") == F.col("kept_id")
+    single = keyed.join(rows_of.where("rows = 1").select("kept_id", "kept_key"), own_id & same).select(*plain.columns)
+    if repeated.limit(1).count():
+        single = single.unionByName(one_row(keyed.join(kept, own_id & same), "kept_id", "class"))
     if nameless.limit(1).count():
         without_id = keyed.where(F.col(f"_c{id_at}").isNull())
         worded = nameless.where("n_shingles > 0").groupBy("class").agg(F.min("text_key").alias("kept_key")).select("kept_key")

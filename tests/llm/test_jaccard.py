@@ -5,6 +5,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger.llm import jaccard
 from skyledger.llm.components import components, roots
@@ -150,3 +151,26 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
+
+
+def test_a_shingle_of_all_documents_goes_out_once_per_chunk(spark, monkeypatch):
+    """One passage in every document: its shingles travel once per chunk, and the result is that of all pairs."""
+    passage = " ".join(f"p{i}" for i in range(12))
+    rows = [(i, f"{passage} " + " ".join(f"w{(i // 2) * 40 + k}" for k in range(30 + i % 2))) for i in range(120)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    sent = jaccard._deal(df.select("doc_id", "text", F.xxhash64("text").alias("text_key")), 8, 5).where(F.col("kind") == jaccard.TOKENS)
+    numbers = [np.frombuffer(r.numbers, np.uint32) for r in sent.collect()]
+    sizes = sum(len(shingles(t)) for _, t in rows)
+    several = np.concatenate(numbers) >= jaccard.SEVERAL
+    assert sum(map(len, numbers)) < 0.8 * sizes and several.any()
+    assert sorted(map(tuple, jaccard.link_documents(df).collect()), key=repr) == brute(rows)
+
+
+def test_parts_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PART_SHINGLES", 16)
+    rows = corpus(5)
+    seen = []
+    real = jaccard._deal
+    monkeypatch.setattr(jaccard, "_deal", lambda docs, bits, width: seen.append(bits) or real(docs, bits, width))
+    assert sorted(map(tuple, jaccard.link_documents(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr) == brute(rows)
+    assert seen[0] > 8
