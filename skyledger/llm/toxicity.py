@@ -3,8 +3,8 @@
 A word is the bag of its character n-grams, each with an embedding row found by
 hash; a window of a few words is the average of its words' vectors, and a
 softmax layer over the average gives the class. Rows and layer are trained
-jointly in numpy. A document counts as toxic as its most toxic window, so a
-single insult in a long text is not averaged away; training first lets all
+jointly in numpy. A document counts as toxic as its two most toxic windows, so
+insults in a long text are not averaged away; training first lets all
 windows carry the label of their document, then goes on with the window that
 stands out in each document; small samples are gone over more often.
 
@@ -31,19 +31,26 @@ from skyledger.llm.inputs import pick, stored
 from skyledger.llm.labelled import class_shares, held_out, platt, training_sample
 
 SIZES = (3, 4, 5)
-FIELDS = ["rows", "offset", "slope", "shift", "window"]
+FIELDS = ["rows", "offset", "slope", "shift", "window", "top"]
+WINDOW, TOP = 2, 2
 OPEN, CLOSE = 0x110001, 0x110002
 
 
 @dataclass
 class Model:
-    """One number per n-gram row, the offset, and the curve from the top window's logit to a score."""
+    """One number per n-gram row, the offset, the curve from the logit to a score, words per window and windows that count."""
 
     rows: np.ndarray
     offset: float
     slope: float
     shift: float
     window: int
+    top: int = TOP
+
+    @property
+    def learnt(self) -> bool:
+        """False for the model without examples of both labels, which scores every text alike."""
+        return bool(self.rows.any())
 
 
 def _words(texts: list[str]) -> tuple[np.ndarray, ...]:
@@ -104,8 +111,23 @@ def _windows(word_starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarr
     return np.repeat(first[:-1], count) + place // window, first
 
 
+def _ranked(means: np.ndarray, first_window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows in order of text and, in a text, from the highest mean down, and each one's rank."""
+    count = np.diff(first_window)
+    order = np.lexsort((-means, np.repeat(np.arange(len(count)), count)))
+    return order, np.arange(len(order)) - np.repeat(first_window[:-1], count)
+
+
+def _top_mean(means: np.ndarray, first_window: np.ndarray, top: int) -> np.ndarray:
+    """Mean of the ``top`` highest windows of every text that has one (of all, if there are fewer)."""
+    order, rank = _ranked(means, first_window)
+    owner = np.repeat(np.arange(len(first_window) - 1), np.diff(first_window))[rank < top]
+    total = np.bincount(owner, means[order[rank < top]], len(first_window) - 1)
+    return (total / np.maximum(np.bincount(owner, minlength=len(total)), 1))[np.diff(first_window) > 0]
+
+
 def top_logits(texts: list[str], model: Model) -> np.ndarray:
-    """Logit of the most toxic window of every text; the offset alone for texts without words."""
+    """Logit of the most toxic windows of every text; the offset alone for texts without words."""
     out = np.full(len(texts), model.offset)
     for a, b in ragged.chunks(texts, 1_500_000):
         text, starts, ends, hashes, word_starts = _words(texts[a:b])
@@ -115,18 +137,17 @@ def top_logits(texts: list[str], model: Model) -> np.ndarray:
         score = word_scores(text, starts[first], ends[first], model.rows)[inverse]
         number, first_window = _windows(word_starts, model.window)
         means = np.bincount(number, score) / np.bincount(number)
-        full = np.flatnonzero(np.diff(first_window))
-        out[a + full] = model.offset + np.maximum.reduceat(means, first_window[full])
+        out[a + np.flatnonzero(np.diff(first_window))] = model.offset + _top_mean(means, first_window, model.top)
     return out
 
 
-def fit(texts: list[str], labels: np.ndarray, shares: tuple[int, int], window: int = 8, buckets: int = 1 << 17, dims: int = 8,
-        warm_steps: int = 80, top_steps: int = 160, rate: float = 0.4, seed: int = 7) -> Model:
+def fit(texts: list[str], labels: np.ndarray, shares: tuple[int, int], window: int = WINDOW, top: int = TOP, buckets: int = 1 << 17, dims: int = 8,
+        warm_steps: int = 80, top_steps: int = 80, rate: float = 0.4, seed: int = 7) -> Model:
     """The model of the given texts; without examples of both labels it gives every text the smoothed share of label 1."""
     rng = np.random.default_rng(seed)
     prior = float(np.log((shares[1] + 1) / (shares[0] + 1)))
     if not (labels == 1).any() or not (labels == 0).any() or not any(t.strip() for t in texts):
-        return Model(np.zeros(buckets, np.float32), 0.0, 1.0, prior, window)
+        return Model(np.zeros(buckets, np.float32), 0.0, 1.0, prior, window, top)
     text, starts, ends, hashes, word_starts = _words(texts)
     _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
     rows, spans = _grams(text, starts[first], ends[first], buckets)
@@ -195,14 +216,13 @@ def fit(texts: list[str], labels: np.ndarray, shares: tuple[int, int], window: i
             step(part)
     parts = max(1, len(used) // 256)
     for _ in range(-(-top_steps // parts)):
-        means = ends_of()
-        best = np.lexsort((-means, doc_of))[first_window[used]]
-        for part in np.array_split(rng.permutation(best), parts):
+        order, rank = _ranked(ends_of(), first_window)
+        for part in np.array_split(rng.permutation(order[rank == 0]), parts):
             step(part)
     difference = table @ (layer[:, 1] - layer[:, 0])
-    model = Model(difference.astype(np.float32), float(bias[1] - bias[0]), 1.0, 0.0, window)
+    model = Model(difference.astype(np.float32), float(bias[1] - bias[0]), 1.0, 0.0, window, top)
     logits = np.full(len(texts), model.offset)
-    logits[used] = model.offset + np.maximum.reduceat(ends_of(), first_window[used])
+    logits[used] = model.offset + _top_mean(ends_of(), first_window, top)
     model.slope, model.shift = platt(logits, labels, shares)
     return model
 
@@ -210,12 +230,13 @@ def fit(texts: list[str], labels: np.ndarray, shares: tuple[int, int], window: i
 def scorer(model: Model):
     """A column function from text to score."""
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        logits = top_logits(["" if t is None else t for t in texts], model)
-        return pd.Series(1 / (1 + np.exp(-np.clip(model.slope * logits + model.shift, -500, 500))))
+    @ragged.tidy
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            logits = top_logits(["" if t is None else t for t in texts], model)
+            yield pd.Series(1 / (1 + np.exp(-np.clip(model.slope * logits + model.shift, -500, 500))))
 
-    return score
+    return F.pandas_udf(score, "double")
 
 
 def shortened(text: str, max_chars: int, window: int, model: Model | None = None, most: int = 8) -> str:
@@ -242,8 +263,11 @@ def train(docs: DataFrame, labels: DataFrame, toxic: int = 1000, clean: int = 25
     one logit of each whole text of the sample.
     """
     sample, shares = stored(training_sample(docs, labels, "toxic", toxic, clean)), class_shares(labels, "toxic")
-    model = _fit_in_task(sample, max_chars, None, shares, **options)
-    if not model.rows.any() or not sample.where(F.length("text") > max_chars).limit(1).count():
+    if not sample.where(F.length("text") > max_chars).limit(1).count():
+        return _fit_in_task(sample, max_chars, None, shares, **options)
+    # the first model only has to find the windows that stand out in long texts
+    model = _fit_in_task(sample, max_chars, None, shares, **{"top_steps": 60} | options)
+    if not model.learnt:
         return model
     model = _fit_in_task(sample, max_chars, model, shares, **options)
 
@@ -253,10 +277,10 @@ def train(docs: DataFrame, labels: DataFrame, toxic: int = 1000, clean: int = 25
 
     known = sample.select("doc_id", "label", logit("text").alias("logit")).toPandas().sort_values("doc_id")
     slope, shift = platt(known["logit"].to_numpy(), known["label"].to_numpy(np.int64), shares)
-    return Model(model.rows, model.offset, slope, shift, model.window)
+    return Model(model.rows, model.offset, slope, shift, model.window, model.top)
 
 
-def _fit_in_task(sample: DataFrame, max_chars: int, before: Model | None, shares: tuple[int, int], window: int = 8, **options) -> Model:
+def _fit_in_task(sample: DataFrame, max_chars: int, before: Model | None, shares: tuple[int, int], window: int = WINDOW, **options) -> Model:
     """The model of the sample with its long texts shortened, with the help of the model ``before`` if there is one."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -266,12 +290,12 @@ def _fit_in_task(sample: DataFrame, max_chars: int, before: Model | None, shares
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "label": []}), *batches]).sort_values("doc_id", ignore_index=True)
         model = fit(known["text"].tolist(), known["label"].to_numpy(np.int64), shares, window=window, **options)
-        yield pd.DataFrame([(model.rows.astype("<f4").tobytes(), model.offset, model.slope, model.shift, model.window)], columns=FIELDS)
+        yield pd.DataFrame([(model.rows.astype("<f4").tobytes(), model.offset, model.slope, model.shift, model.window, model.top)], columns=FIELDS)
 
-    row = sample.mapInPandas(cut, sample.schema).repartition(1).mapInPandas(run, "rows binary, offset double, slope double, shift double, window int").first()
+    row = sample.mapInPandas(cut, sample.schema).repartition(1).mapInPandas(run, "rows binary, offset double, slope double, shift double, window int, top int").first()
     if row is None:  # no labelled rows, no task
         return fit([], np.zeros(0, np.int64), shares, window=window, **options)
-    return Model(np.frombuffer(row.rows, "<f4"), row.offset, row.slope, row.shift, row.window)
+    return Model(np.frombuffer(row.rows, "<f4"), row.offset, row.slope, row.shift, row.window, row.top)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
