@@ -31,9 +31,11 @@ BLANKS = [0x20, 0x09]
 UNKNOWN = "und"
 
 BITMAP_BITS = 27
-PARTITION_MASS = 1 << 23
-CHUNK_BYTES = 6_000_000
-BUFFER = 6_000_000
+PARTITION_MASS = 1 << 22
+CHUNK_BYTES = 1_000_000
+BUFFER = 4_000_000
+LANES = 64
+TASK_BYTES = 1 << 28
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[BREAKS], _KIND[BLANKS] = 2, 1
@@ -114,26 +116,37 @@ def _chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iter
 # --- first pass -------------------------------------------------------------------
 
 
-def _summaries(hashes: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[tuple]:
-    """One row per hash partition: its number, mass, keys met once, keys met more often, and their counts."""
-    shift = np.uint64(64 - bits)
-    part = (hashes >> shift).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
-    keys = ((hashes << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
-    edges = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
-    for a, b in zip(edges[:-1], edges[1:]):
-        once = counts[a:b] == 1
-        yield int(part[a]), int(counts[a:b].sum()), keys[a:b][once].tobytes(), keys[a:b][~once].tobytes(), counts[a:b][~once].astype(np.int64).tobytes()
+def _pack(keys: np.ndarray) -> bytes:
+    """Ascending keys as differences, their first bytes together, then the second ones and so on: what is mostly zero compresses well."""
+    return np.diff(keys, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-SUMMARY = pa.schema([("part", pa.int64()), ("mass", pa.int64()), ("once", pa.binary()), ("more", pa.binary()), ("counts", pa.binary())])
+def _unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, -1).T
+    return np.cumsum(np.ascontiguousarray(planes).view(np.uint32).ravel(), dtype=np.uint32)
+
+
+def _summaries(hashes: np.ndarray, bits: int) -> Iterator[tuple]:
+    """From ascending hashes one row per partition: its number, keys met once, keys met more often, and how often."""
+    bounds = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
+    edges = np.concatenate([[0], np.searchsorted(hashes, bounds), [len(hashes)]])
+    for part in np.flatnonzero(np.diff(edges)):
+        own = ((hashes[edges[part] : edges[part + 1]] << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+        at = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        counts, keys = np.diff(np.append(at, len(own))), own[at]
+        yield int(part), _pack(keys[counts == 1]), _pack(keys[counts > 1]), counts[counts > 1].astype(np.uint32).tobytes()
+
+
+SUMMARY = pa.schema([("part", pa.int64()), ("once", pa.binary()), ("more", pa.binary()), ("counts", pa.binary())])
 
 
 def _send_summaries(longest: int, bits: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
-            hashes, counts = np.unique(np.concatenate(buffer), return_counts=True)
-            rows = list(_summaries(hashes, counts, bits))
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), SUMMARY)], schema=SUMMARY)
+            hashes = np.concatenate(buffer)
+            buffer.clear()
+            hashes.sort()
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*_summaries(hashes, bits)), SUMMARY)], schema=SUMMARY)
 
         buffer, held = [], 0
         for chunk in _chunks(batches):
@@ -142,7 +155,7 @@ def _send_summaries(longest: int, bits: int):
                 held += len(value)
             if held > BUFFER:
                 yield flush()
-                buffer, held = [], 0
+                held = 0
         if held:
             yield flush()
 
@@ -184,8 +197,8 @@ def _segments(bits: int, bitmap_bits: int, threshold: int):
     def segment(table: pa.Table) -> pa.Table:
         parts = []
         for once, more, counts in zip(*(table.column(c).to_pylist() for c in ("once", "more", "counts"))):
-            single = np.frombuffer(once, np.uint32)
-            parts.append((np.concatenate([single, np.frombuffer(more, np.uint32)]), np.concatenate([np.ones(len(single), np.int64), np.frombuffer(counts, np.int64)])))
+            single = _unpack(once)
+            parts.append((np.concatenate([single, _unpack(more)]), np.concatenate([np.ones(len(single), np.int64), np.frombuffer(counts, np.uint32).astype(np.int64)])))
         flags = np.zeros(1 << width, bool)
         flags[survivors(parts, threshold) >> np.uint32(32 - width)] = True
         return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
@@ -193,13 +206,15 @@ def _segments(bits: int, bitmap_bits: int, threshold: int):
     return segment
 
 
-def frequent_bitmap(docs: DataFrame, longest: int, threshold: int, bitmap_bits: int = BITMAP_BITS, partition_mass: int = PARTITION_MASS) -> np.ndarray:
-    """2^bitmap_bits bits; that of the leading bits of an n-gram's hash is set if the n-gram may occur ``threshold`` times."""
-    letters = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def frequent_bitmap(docs: DataFrame, letters: int, longest: int, threshold: int, bitmap_bits: int = BITMAP_BITS, partition_mass: int = PARTITION_MASS) -> np.ndarray:
+    """2^bitmap_bits bits; that of the leading bits of an n-gram's hash is set if the n-gram may occur ``threshold`` times.
+
+    The stretches of all partitions come to the driver: these bits, whatever the table's size.
+    """
     # words have two bytes at least, with the blank behind them
     bits = min(max(0, (letters * longest // 2 // partition_mass).bit_length()), bitmap_bits - 3)
-    sent = docs.mapInArrow(_send_summaries(longest, bits), "part long, mass long, once binary, more binary, counts binary")
-    rows = sent.groupBy("part").applyInArrow(_segments(bits, bitmap_bits, threshold), "part long, bits binary").toLocalIterator()
+    sent = docs.mapInArrow(ragged.tidy(_send_summaries(longest, bits)), "part long, once binary, more binary, counts binary")
+    rows = sent.groupBy("part").applyInArrow(_segments(bits, bitmap_bits, threshold), "part long, bits binary").collect()
     width = 1 << bitmap_bits - bits - 3
     bitmap = np.zeros(1 << bitmap_bits - 3, np.uint8)
     for part, data in rows:
@@ -209,18 +224,19 @@ def frequent_bitmap(docs: DataFrame, longest: int, threshold: int, bitmap_bits:
 
 # --- second pass ------------------------------------------------------------------
 
-COUNTS = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("a", pa.int64())])
+COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("a", pa.int64())])
+SLICE = 1 << 16
 
 
 def _count_frequent(longest: int, shared, bitmap_bits: int):
-    """Counts per chunk of n-grams whose bit is set, and of all words (words 0, phrase null)."""
+    """Counts per chunk of n-grams whose bit is set, and of all words (phrase null)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = shared.value
         for chunk in _chunks(batches):
             names, kinds = pa.array(chunk.names, pa.string()), len(chunk.lang)
             sums = np.bincount(chunk.lang[chunk.ids], minlength=len(names)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([names, pa.array(np.zeros(len(names), np.int32)), pa.nulls(len(names), pa.string()), pa.array(sums)], schema=COUNTS)
+            yield pa.RecordBatch.from_arrays([names, pa.nulls(len(names), pa.string()), pa.array(sums)], schema=COUNTS)
             words = chunk.words.cast(pa.large_string())
             for size, (at, value) in enumerate(gram_hashes(chunk, longest), 1):
                 bit = value >> np.uint64(64 - bitmap_bits)
@@ -232,19 +248,25 @@ def _count_frequent(longest: int, shared, bitmap_bits: int):
                 for k in range(1, size):
                     number = np.unique(number * kinds + chunk.ids[at + k], return_inverse=True)[1]
                 _, first, n = np.unique(number, return_index=True, return_counts=True)
-                spans = [words.take(pa.array(chunk.ids[at[first] + k])) for k in range(size)]
-                phrase = pc.binary_join_element_wise(*spans, pa.scalar(" ", pa.large_string())) if size > 1 else spans[0]
-                lang = names.take(pa.array(chunk.lang[chunk.ids[at[first]]]))
-                yield pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(n), size, np.int32)), phrase.cast(pa.string()), pa.array(n.astype(np.int64))], schema=COUNTS)
+                for i in range(0, len(first), SLICE):
+                    begin = at[first[i : i + SLICE]]
+                    spans = [words.take(pa.array(chunk.ids[begin + k])) for k in range(size)]
+                    phrase = pc.binary_join_element_wise(*spans, pa.scalar(" ", pa.large_string())) if size > 1 else spans[0]
+                    lang = names.take(pa.array(chunk.lang[chunk.ids[begin]]))
+                    yield pa.RecordBatch.from_arrays([lang, phrase.cast(pa.string()), pa.array(n[i : i + SLICE].astype(np.int64))], schema=COUNTS)
 
     return count
 
 
 def gram_counts(docs: DataFrame, longest: int, threshold: int, bitmap_bits: int = BITMAP_BITS, partition_mass: int = PARTITION_MASS) -> DataFrame:
-    """lang, words, phrase, a: all n-grams of up to ``longest`` words that occur ``threshold`` times, and all words together (words 0)."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_bitmap(docs, longest, threshold, bitmap_bits, partition_mass))
-    met = docs.mapInArrow(_count_frequent(longest, shared, bitmap_bits), "lang string, words int, phrase string, a long")
-    return met.groupBy("lang", "words", "phrase").agg(F.sum("a").alias("a")).where((F.col("a") >= threshold) | (F.col("words") == 0))
+    """lang, phrase, a: all n-grams of up to ``longest`` words that occur ``threshold`` times, and all words together (phrase null)."""
+    context = docs.sparkSession.sparkContext
+    letters = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shared = context.broadcast(frequent_bitmap(docs, letters, longest, threshold, bitmap_bits, partition_mass))
+    # a frequent phrase leaves a task once: fewer, larger tasks send less
+    tasks = max(2 * context.defaultParallelism, -(-letters // TASK_BYTES))
+    met = docs.coalesce(tasks).mapInArrow(ragged.tidy(_count_frequent(longest, shared, bitmap_bits)), "lang string, phrase string, a long")
+    return met.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where((F.col("a") >= threshold) | F.col("phrase").isNull())
 
 
 def collocations(docs: DataFrame, longest: int = 3, threshold: int = 10, covered: int = 50, first: int = 2000, **options) -> DataFrame:
@@ -261,29 +283,30 @@ def collocations(docs: DataFrame, longest: int = 3, threshold: int = 10, covered
     """
     rows = pick(docs, text="string", lang="string").select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"))
     counts = stored(gram_counts(rows, longest, threshold, **options))
-    grams = counts.where("words > 0").select("lang", "words", "phrase", "a")
-    candidates = grams.where("words > 1").withColumn("parts", F.split("phrase", " "))
-
-    def joined(start, size):
-        return F.array_join(F.slice("parts", start, size), " ")
-
-    places = F.sequence(F.lit(1), F.col("words") - 1)
-    cuts = candidates.select("lang", "phrase", "a", "words", "parts", F.explode(places).alias("k")).select(
-        "lang", "phrase", "a", "k", joined(F.lit(1), F.col("k")).alias("left"), joined(F.col("k") + 1, F.col("words") - F.col("k")).alias("right"))
-    known = grams.select("lang", F.col("phrase").alias("part"), F.col("a").alias("count"))
-    cuts = cuts.join(known.withColumnRenamed("part", "left").withColumnRenamed("count", "l"), ["lang", "left"])
-    cuts = cuts.join(known.withColumnRenamed("part", "right").withColumnRenamed("count", "r"), ["lang", "right"])
+    # no word holds a blank
+    grams = counts.where("phrase IS NOT NULL").withColumn("words", F.size(F.split("phrase", " ")))
+    candidates = grams.where("words > 1")
+    # parts of a cut are expressions of phrase and k, so that no row carries its words twice through a shuffle
+    cuts = candidates.select("lang", "phrase", "a", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k"))
+    left, right = F.expr("substring_index(phrase, ' ', k)"), F.expr("substring(phrase, length(substring_index(phrase, ' ', k)) + 2)")
+    for side, part in (("l", left), ("r", right)):
+        known = grams.select(F.col("lang").alias("of"), F.col("phrase").alias("part"), F.col("a").alias(side))
+        cuts = cuts.join(known, (F.col("lang") == F.col("of")) & (part == F.col("part"))).drop("of", "part")
     whole = "decimal(38,0)"
     score = F.expr(f"cast(1000000 as {whole}) * cast(a as {whole}) * cast(a as {whole}) div (cast(l as {whole}) * cast(r as {whole}))")
     scored = cuts.groupBy("lang", "phrase").agg(F.first("a").alias("a"), F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("best"))
     # every shorter phrase inside a candidate: from each start, of each size below its own
-    inner = candidates.where("words > 2").select("lang", "a", "words", "parts", F.explode(F.sequence(F.lit(2), F.col("words") - 1)).alias("size")).select(
+    inner = candidates.where("words > 2").select("lang", "a", "words", F.split("phrase", " ").alias("parts"), F.explode(F.sequence(F.lit(2), F.col("words") - 1)).alias("size")).select(
         "lang", "a", "parts", "size", F.explode(F.sequence(F.lit(1), F.col("words") - F.col("size") + 1)).alias("start"))
-    longer = inner.groupBy("lang", joined(F.col("start"), F.col("size")).alias("phrase")).agg(F.max("a").alias("longer"))
+    shorter = F.array_join(F.slice("parts", F.col("start"), F.col("size")), " ")
+    longer = inner.groupBy("lang", shorter.alias("phrase")).agg(F.max("a").alias("longer"))
     kept = scored.join(longer, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (100 * F.col("longer") < covered * F.col("a")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("best.score"), F.desc("a"), F.asc("phrase")))
-    listed = kept.withColumn("rank", rank).where(F.col("rank") <= first)
-    totals = counts.where("words = 0").select("lang", F.col("a").alias("n"))
+    # first in lanes, so that what the many tasks of a language keep does not meet in one
+    order = [F.desc("best.score"), F.desc("a"), F.asc("phrase")]
+    lane = F.pmod(F.xxhash64("phrase"), F.lit(LANES))
+    kept = kept.withColumn("lane", lane).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "lane").orderBy(*order))).where(F.col("rank") <= first)
+    listed = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= first)
+    totals = counts.where("phrase IS NULL").select("lang", F.col("a").alias("n"))
     return listed.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "best.l", "best.r", "n", "best.score")
 
 
