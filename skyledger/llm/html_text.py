@@ -20,13 +20,15 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from skyledger.llm import ragged
 from skyledger.llm.inputs import pick
 
 # fixed values: HTML elements without content
@@ -35,13 +37,17 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext"}
 # fixed values: HTML elements that never belong to an article's text
 BARRED = {
-    "head", "script", "style", "title", "textarea", "iframe", "noembed", "noframes", "noscript", "xmp", "template", "svg", "math", "canvas", "object", "audio", "video",
-    "nav", "footer", "aside", "form", "button", "select", "option", "input", "label", "dialog", "menu", "fieldset", "datalist", "map", "applet",
+    "head", "script", "style", "title", "textarea", "iframe", "noembed", "noframes", "noscript", "xmp", "template", "svg", "canvas", "object", "audio", "video",
+    "nav", "footer", "aside", "select", "option", "input", "dialog", "menu", "datalist", "map", "applet", "annotation", "annotation-xml",
 }
+# fixed values: HTML elements that are parts of a form, but words of a sentence inside one of SENTENCES
+CONTROLS = {"button", "label", "legend"}
+SENTENCES = {"p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "dd", "dt", "figcaption", "caption", "blockquote", "pre"}
 # fixed values: HTML elements that stand in a line of text
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "rp", "rt", "ruby",
     "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
+    "math", "mi", "mn", "mo", "mrow", "msup", "msub", "mfrac", "msqrt", "mtext", "semantics", "label", "button",
 }
 # fixed values: words in class, id or role that mark page furniture
 FURNITURE = {
@@ -63,16 +69,19 @@ LIMITS = {"ul", "ol", "dl", "table", "td", "th", "body", "article", "section", "
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+# a link with this many characters is a paragraph, not an entry of a menu
+PARAGRAPH = 150
 SPACES = re.compile(r"\s+")
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 TEXT, BREAK = "#text", "#break"
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "text", "barred", "chars", "tags", "link_chars", "link_tags", "density", "total", "named")
+    __slots__ = ("tag", "parent", "children", "text", "barred", "chars", "tags", "link_chars", "link_tags", "density", "total", "named", "depth")
 
     def __init__(self, tag: str, parent: Node | None, barred: bool, text: str = ""):
         self.tag, self.parent, self.barred, self.text, self.named = tag, parent, barred, text, False
+        self.depth = parent.depth + 1 if parent is not None else 0
         self.children: list[Node] = []
         if parent is not None:
             parent.children.append(self)
@@ -111,23 +120,21 @@ def parse(page: str) -> Node:
     """The tree of a page; end tags that fit nothing are ignored, missing ones are implied."""
     body = Node("body", Node("html", None, False), False)
     here, at = body, 0
-    opened: Counter[str] = Counter()
+    opened: defaultdict[str, list[Node]] = defaultdict(list)  # open elements by tag, the innermost last
 
     def close(node: Node) -> Node:
         """Close everything up to and with the node."""
         up = here
         while up is not node.parent:
-            opened[up.tag] -= 1
+            opened[up.tag].pop()
             up = up.parent
         return up
 
     def nearest(tags: set[str], limits: set[str]) -> Node | None:
         """The outermost open element of ``tags`` that no element of ``limits`` shuts in."""
-        found, up = None, here
-        while up is not body and up.tag not in limits:
-            found = up if up.tag in tags else found
-            up = up.parent
-        return found
+        shut = max((opened[t][-1].depth for t in limits if opened[t]), default=body.depth)
+        first = (opened[t][i] for t in tags if (i := bisect_right(opened[t], shut, key=lambda n: n.depth)) < len(opened[t]))
+        return min(first, key=lambda n: n.depth, default=None)
 
     while at < len(page):
         found = TAG.search(page, at)
@@ -147,10 +154,7 @@ def parse(page: str) -> Node:
             if tag == "br" or tag == "p" and not opened["p"]:
                 Node(BREAK, here, here.barred)
             elif opened[tag]:
-                up = here
-                while up.tag != tag:
-                    up = up.parent
-                here = close(up)
+                here = close(opened[tag][-1])
             continue
         if tag in IMPLIED and any(opened[t] for t in IMPLIED[tag]):
             last = nearest(IMPLIED[tag], LIMITS - IMPLIED[tag])
@@ -164,19 +168,36 @@ def parse(page: str) -> Node:
         if tag in VOID:
             Node(tag, here, True)
             continue
-        # a page header is furniture, the header of an article is not
+        # a page header is furniture, the header of an article or of a section of it is not
         inner = bool(opened["article"] or opened["main"])
-        node = Node(tag, here, here.barred or tag in BARRED or tag == "header" and not inner or hidden(found[3]))
+        barred = tag in BARRED or tag == "header" and not (inner or opened["section"]) or tag in CONTROLS and not any(opened[t] for t in SENTENCES)
+        node = Node(tag, here, here.barred or barred or hidden(found[3]))
         node.named = furniture(found[3], inner)
         if tag in RAW:
             end_tag = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             at = end_tag.end() if end_tag else len(page)
             continue
-        opened[tag] += 1
+        opened[tag].append(node)
         here = node
+    _bar_forms(body)
     return body
 
 
+def _bar_forms(body: Node) -> None:
+    """Bar the forms, but those that hold half of the page's text or more: some pages stand in a form as a whole."""
+    nodes = [body]
+    for node in nodes:
+        nodes += [c for c in node.children if not c.barred and c.tag not in (TEXT, BREAK)]
+    forms = [n for n in nodes if n.tag in ("form", "fieldset")]
+    if not forms:
+        return
+    size: dict[int, int] = {}
+    for node in reversed(nodes):
+        size[id(node)] = sum(len("".join(c.text.split())) if c.tag == TEXT else size.get(id(c), 0) for c in node.children if not c.barred)
+    for form in forms:
+        form.barred = 2 * size[id(form)] < size[id(body)]
+
+
 def _measure(body: Node) -> list[Node]:
     """All element nodes that may hold article text, parents first, with their sums and densities."""
     nodes, stack = [], [(body, False)]
@@ -280,8 +301,9 @@ def article(body: Node) -> Node | None:
     for node in nodes:
         if node.tag in INLINE or id(node) in marked or node is top:
             continue
-        # lists of links anywhere, and links that stand in no marked node
-        if node.link_tags >= 3 and 5 * node.link_chars > 4 * node.chars or not held[id(node)] and id(node) not in inside and 2 * node.link_chars > node.chars:
+        # links that stand in no marked node, but for whole paragraphs; what a marked node links to is part of its text
+        menu = 2 * node.link_chars > node.chars and node.link_chars < PARAGRAPH * max(node.link_tags, 1)
+        if not held[id(node)] and id(node) not in inside and menu:
             node.barred = True
     return top
 
@@ -342,4 +364,4 @@ def extract(pages: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(np.array([len(t) for t in texts], np.int64))],
                 names=["page_id", "url", "text", "n_chars"])
 
-    return pick(pages, page_id="long", url="string", html="string").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return pick(pages, page_id="long", url="string", html="string").mapInArrow(ragged.tidy(run), "page_id long, url string, text string, n_chars long")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.components import components, roots
 from skyledger.llm.inputs import pick, stored
-from skyledger.llm.vectors import matrix, usable
+from skyledger.llm.vectors import matrix, scaled, usable
 
 BLOCK = 1024
 SLACK = 1e-9
@@ -44,7 +44,7 @@ def principal_axes(vectors: DataFrame, most_lengths: int = 8) -> dict[int, np.nd
         for batch in batches:
             dims = np.array(batch.column(0))
             for d in np.unique(dims):
-                x = matrix(batch.column(1).filter(pa.array(dims == d)), int(d))
+                x = scaled(matrix(batch.column(1).filter(pa.array(dims == d)), int(d)))
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
                 sums[int(d)] = sums.get(int(d), 0) + x.T @ x
                 count[int(d)] = count.get(int(d), 0) + len(x)
@@ -98,9 +98,7 @@ def compare(x: np.ndarray, y: np.ndarray, raw_x: np.ndarray, raw_y: np.ndarray,
 
 def _tile_links(table: pa.Table, axes: dict[int, np.ndarray], threshold: float) -> pa.Table:
     dims = table.column("dims")[0].as_py()
-    raw = matrix(table.column("vector"), dims)
-    # powers of two change no digit and keep squares in range
-    raw = raw / np.exp2(np.floor(np.log2(np.abs(raw).max(1, keepdims=True))))
+    raw = scaled(matrix(table.column("vector"), dims))
     unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
     turned = unit @ axes[dims] if dims in axes else unit
     keys, weight = np.array(table.column("key"), np.int64), np.array(table.column("weight"), np.int64)
@@ -132,7 +130,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, tile: int =
     or non-finite component, is linked with nothing and is its own component.
     Repeated rows are linked with each other and count one by one. A null vec_id
     takes part in links but is never the smallest id. Other columns are left out;
-    an empty table gives no rows.
+    an empty table gives no rows. Rows are told apart by a 64-bit hash of id,
+    vector and label; two of n different rows share one with odds of n^2 / 2^65.
     """
     kinds = {name: kind for name, kind in embeddings.dtypes}
     rows = pick(embeddings, vec_id="long", embedding="array<double>", label=kinds["label"] if kinds["label"] in ("int", "bigint") else "string")

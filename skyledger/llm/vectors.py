@@ -19,3 +19,11 @@ def matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+
+
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows divided by the power of two below their largest component: no digit changes, and squares stay in range.
+
+    No row may be zero. Without this the norm of a row of 1e-200 would be 0, and that of 1e200 infinite.
+    """
+    return rows / np.exp2(np.floor(np.log2(np.abs(rows).max(1, keepdims=True))))

@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import html
+import json
 import re
 import uuid
 import zlib
@@ -39,6 +40,8 @@ BREAKS = re.compile(
     r"section|select|summary|table|tbody|td|tfoot|th|thead|tr|ul)\b[^>]*(?:>|\Z)", re.I)
 TAGS = re.compile(r"</?[a-zA-Z!?][^>]*(?:>|\Z)")
 TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
+EMPTY_LINE = re.compile(rb"\r?\n\r?\n")
+CHUNK = re.compile(rb"\s*([0-9a-fA-F]+)[^\n]*\n")
 CHARSET = re.compile(rb"""<meta\b[^>]*?charset\s*=\s*["']?\s*([\w.:-]+)""", re.I)
 
 
@@ -81,7 +84,7 @@ def header_lines(data: bytes) -> list[tuple[str, str]]:
 
 def split_header(data: bytes) -> tuple[bytes, bytes]:
     """What stands before and behind the first empty line."""
-    found = re.search(rb"\r?\n\r?\n", data)
+    found = EMPTY_LINE.search(data)
     return (data[: found.start()], data[found.end() :]) if found else (data, b"")
 
 
@@ -101,12 +104,19 @@ def parse(data: bytes) -> Record:
 
 def read_records(data: bytes) -> Iterator[Record]:
     """All records of an uncompressed WARC file."""
-    while data.strip(b"\r\n"):
-        data = data.lstrip(b"\r\n")
-        record = parse(data)
-        yield record
-        data = data[len(split_header(data)[0]) :]
-        data = data[re.match(rb"\r?\n\r?\n", data).end() + len(record.block) :]
+    rest = memoryview(data)
+    at = 0
+    while at < len(data):
+        if data[at] in b"\r\n":
+            at += 1
+            continue
+        found = EMPTY_LINE.search(data, at)
+        if not found:
+            raise ValueError("no WARC record")
+        length = Record(header_lines(data[at : found.start()].partition(b"\n")[2]), b"").get("Content-Length")
+        end = found.end() + (int(length) if length and length.isdigit() else 0)
+        yield parse(bytes(rest[at:end]))
+        at = end
 
 
 def payload(block: bytes) -> tuple[str, list[tuple[str, str]], bytes, bytes]:
@@ -117,10 +127,11 @@ def payload(block: bytes) -> tuple[str, list[tuple[str, str]], bytes, bytes]:
     value = {k.lower(): v.lower() for k, v in headers}
     plain = body
     if "chunked" in value.get("transfer-encoding", ""):
-        plain, rest = b"", body
-        while (found := re.match(rb"\s*([0-9a-fA-F]+)[^\n]*\n", rest)) and int(found[1], 16):
-            size = int(found[1], 16)
-            plain, rest = plain + rest[found.end() : found.end() + size], rest[found.end() + size :]
+        parts, at = [], 0
+        while (found := CHUNK.match(body, at)) and int(found[1], 16):
+            at = found.end() + int(found[1], 16)
+            parts.append(body[found.end() : at])
+        plain = b"".join(parts)
     for coding in reversed(value.get("content-encoding", "").replace(" ", "").split(",")):
         try:
             if coding in ("gzip", "x-gzip"):
@@ -150,6 +161,11 @@ def plain_text(page: str) -> str:
     return "\n".join(line for line in lines if line)
 
 
+def capture_key(page_id: int | None, url: str | None, page: str | None) -> str:
+    """What a capture's id is made of: its three columns, each null or text."""
+    return json.dumps([page_id, url, None if page is None else hashlib.sha256(page.encode("utf-8", "surrogatepass")).hexdigest()])
+
+
 def response(url: str | None, page: str | None, key: str, date: str) -> Record:
     """A response record of a page kept without its HTTP exchange."""
     body = (page or "").encode("utf-8", "surrogatepass")
@@ -231,13 +247,15 @@ def derive_records(responses: DataFrame) -> DataFrame:
 def page_responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Response records (column ``record``) of pages that are kept as rows of page_id, url and html.
 
-    A null page is an empty payload, a null url leaves the address out; the
-    record id depends on page_id and url.
+    A null page is an empty payload, a null url leaves the address out. The
+    record id depends on page_id, url and payload, null apart from any text, so
+    different captures have different ids; rows that repeat all three are the
+    same capture and share one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array([response(url, page, f"{key} {url}", date).data() for key, url, page in rows], pa.binary())], names=["record"])
+            yield pa.RecordBatch.from_arrays([pa.array([response(url, page, capture_key(key, url, page), date).data() for key, url, page in rows], pa.binary())], names=["record"])
 
     return pick(pages, page_id="long", url="string", html="string").mapInArrow(run, "record binary")
