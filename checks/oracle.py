@@ -569,7 +569,7 @@ GROUPINGS = {"yearly_trends": "year, country", "sector_impact": "dominant_indust
              "hourly_patterns": "hour", "health_correlations": "aqi_bracket"}
 clean("cube_means", "\nUNION ALL\n".join(f"""
 SELECT '{name}' AS "grouping", concat_ws('|', {keys}) AS group_key, count(*) AS record_count, {r('avg(AQI)', 'mean_aqi')}, {r('stddev_samp(AQI)', 'std_aqi')},
-  {r('max(PM2_5)', 'max_pm25')}, {r('min(NO2)', 'min_no2')} FROM cleaned GROUP BY {keys}""" for name, keys in GROUPINGS.items()))
+  {r('max(AQI)', 'max_aqi')}, {r('min(AQI)', 'min_aqi')}, {r('avg(PM2_5)', 'mean_pm25')} FROM cleaned GROUP BY {keys}""" for name, keys in GROUPINGS.items()))
 
 # --- machine learning -----------------------------------------------------------
 NUMERIC = ["PM2_5", "PM10", "NO2", "SO2", "CO", "O3", "VOC", "Lead", "temperature_c", "humidity_pct", "wind_speed_mps",

@@ -147,7 +147,7 @@ def cube_means(spark, folder):
     keys = dict.fromkeys(k for own in cube.TABLE_GROUPINGS.values() for k in own)
     return cube.merge(parts).select(
         "grouping", F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("group_key"), F.col("n").alias("record_count"), cube.mean("AQI").alias("mean_aqi"),
-        cube.deviation("AQI").alias("std_aqi"), F.col("PM2_5_max").alias("max_pm25"), F.col("NO2_min").alias("min_no2"))
+        cube.deviation("AQI").alias("std_aqi"), F.col("AQI_max").alias("max_aqi"), F.col("AQI_min").alias("min_aqi"), cube.mean("PM2_5").alias("mean_pm25"))
 
 
 # --- sinks ----------------------------------------------------------------------

@@ -31,24 +31,25 @@ TABLE_MEASURES = [
     "cardiovascular_cases_per_100k", "hospital_admissions_per_100k", "premature_deaths_per_million",
 ]
 ANALYSIS_MEASURES = ["AQI", "PM2_5", "NO2", "SO2"]
+SPREAD = ("AQI",)
 # squares are summed about this value, which takes the edge off their cancellation; any value gives the same deviation
 PIVOT = 100.0
 
 
-def cube(r: DataFrame, groupings: dict[str, list[str]], measures: list[str], nan_is_missing: bool = True) -> DataFrame:
+def cube(r: DataFrame, groupings: dict[str, list[str]], measures: list[str], nan_is_missing: bool = True, spread: tuple[str, ...] = SPREAD) -> DataFrame:
     """All groupings in one scan: rows are opened to the groupings and combined map-side, so only groups are shuffled."""
     keys = list(dict.fromkeys(k for own in groupings.values() for k in own))
     sets = [[F.col(k) for k in own] for own in groupings.values()]
     value = lambda m: nan_to_null(F.col(m).cast("double")) if nan_is_missing else F.col(m).cast("double")
-    sums = [c for m in measures for c in (
-        F.count(value(m)).alias(f"{m}_n"), F.sum(value(m)).alias(f"{m}_sum"), F.sum((value(m) - PIVOT) * (value(m) - PIVOT)).alias(f"{m}_squares"),
-        F.min(value(m)).alias(f"{m}_min"), F.max(value(m)).alias(f"{m}_max"))]
+    sums = [c for m in measures for c in (F.count(value(m)).alias(f"{m}_n"), F.sum(value(m)).alias(f"{m}_sum"))]
+    sums += [c for m in spread for c in (
+        F.sum((value(m) - PIVOT) * (value(m) - PIVOT)).alias(f"{m}_squares"), F.min(value(m)).alias(f"{m}_min"), F.max(value(m)).alias(f"{m}_max"))]
     # the id has a bit per key, set where a grouping leaves the key out
     ids = {sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in own): name for name, own in groupings.items()}
     rows = r.select(*keys, *[m for m in measures if m not in keys]).groupingSets(sets, *[F.col(k) for k in keys]).agg(
         F.grouping_id().alias("_id"), F.count("*").alias("n"), *sums)
     name = F.coalesce(*[F.when(F.col("_id") == i, n) for i, n in ids.items()])
-    return rows.select(name.alias("grouping"), *keys, "n", *[f"{m}_{s}" for m in measures for s in ("n", "sum", "squares", "min", "max")])
+    return rows.select(name.alias("grouping"), *keys, "n", *[f"{m}_{s}" for m in measures for s in ("n", "sum")], *[f"{m}_{s}" for m in spread for s in ("squares", "min", "max")])
 
 
 def merge(cubes: list[DataFrame]) -> DataFrame:
