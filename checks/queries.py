@@ -480,7 +480,8 @@ def scored(spark: SparkSession, folder: str) -> DataFrame:
     train, test = features.train_test_split(r)
     fit = train.agg(F.avg("AQI").alias("mean"), F.regr_slope("AQI", "PM2_5").alias("slope"),
                     F.regr_intercept("AQI", "PM2_5").alias("intercept"), F.count("*").alias("n"))
-    fitted = fit.select(F.struct("*")).scalar()
+    # four numbers, told once: as subqueries each of their uses would scan the readings again
+    fitted = {name: F.lit(value) for name, value in fit.first().asDict().items()}
     predictions = {
         "FittedLine": (fitted["slope"] * F.col("PM2_5") + fitted["intercept"], 1),
         "GivenLine": (F.col("PM2_5") * 1.1 + 20, 1),
@@ -493,7 +494,7 @@ def scored(spark: SparkSession, folder: str) -> DataFrame:
     table = F.array(*[F.struct(
         F.lit(name).alias("model_name"), F.create_map(F.lit("columns"), F.lit(columns)).alias("best_params"),
         F.col(name)["r2"].alias("cv_score"), F.col(name)["r2"].alias("test_r2"), F.col(name)["rmse"].alias("test_rmse"), F.col(name)["mae"].alias("test_mae"),
-        F.lit(0.0).alias("duration_seconds"), F.lit(columns).alias("feature_count"), fitted["n"].alias("train_size"), F.col("n").alias("test_size"),
+        F.lit(0.0).alias("duration_seconds"), F.lit(columns).alias("feature_count"), fitted["n"].cast("long").alias("train_size"), F.col("n").alias("test_size"),
     ) for name, (_, columns) in predictions.items()])
     return metrics.select(F.explode(table).alias("row")).select("row.*")
 
