@@ -1,14 +1,21 @@
 """What keeps the jobs in proportion to their input: cheap rounding, small sides of joins, bounded passes."""
 
+import bisect
 import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from checks import queries
+from skyledger.functions.hashing import row_hash
 from skyledger.functions.numeric import half_up
+from skyledger.operators import boosting, sinks, tuning
+from skyledger.operators.tree_params import TreeParams
+from skyledger.schema import readings_schema
 from skyledger.session import HOTSPOT_SETTINGS, with_settings
-from skyledger.sources import star
+from skyledger.sources import readings as source, star
 
 
 @pytest.mark.parametrize("digits", [4, 6, 8])
@@ -39,3 +46,71 @@ def test_settings_leave_what_the_session_was_given(spark):
         assert with_settings(spark).conf.get(key) == HOTSPOT_SETTINGS[key]
     finally:
         spark.conf.set(key, given)
+
+
+def test_packed_csv_takes_a_part_of_the_room(spark, readings, tmp_path):
+    size = lambda name: sum(p.stat().st_size for p in (tmp_path / name).glob("part-*"))
+    rows = readings.limit(1200).coalesce(1)
+    for name, compression in (("plain", None), ("packed", "snappy")):
+        sinks.write_readings(rows, str(tmp_path / name), max_rows=500, compression=compression)
+    assert 1.6 * size("packed") < size("plain") and len(list((tmp_path / "packed").glob("part-*.csv.snappy"))) == 3
+    back = [source.scan_readings(spark, str(tmp_path / name), schema=readings_schema(record_id=StringType())) for name in ("plain", "packed")]
+    assert back[1].count() == 1200 and back[0].exceptAll(back[1]).isEmpty()
+
+
+def test_the_scan_query_writes_packed_csv(spark, folder, monkeypatch):
+    seen = []
+    real = sinks.write_readings
+    monkeypatch.setattr(sinks, "write_readings", lambda *a, **options: seen.append(options) or real(*a, **options))
+    queries.QUERIES["scan_readings"](spark, folder).collect()
+    assert seen == [{"compression": "snappy"}]
+
+
+def _limits(values, bins):
+    ordered = sorted(values)
+    return sorted({ordered[math.ceil(i * len(ordered) / bins) - 1] for i in range(1, bins)})
+
+
+def test_limits_are_exact_ranks_in_any_partitioning(spark):
+    draw = random.Random(5)
+    rows = [(draw.choice([None, math.nan, 0.5, 2.0, 7.0]), draw.gauss(0, 1), None) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    want = {"a": _limits([a for a, _, _ in rows if a is not None and a == a], 8), "b": _limits([b for _, b, _ in rows], 8), "c": []}
+    assert boosting.bin_limits(df, ["a", "b", "c"], 8) == want == boosting.bin_limits(df.repartition(7), ["a", "b", "c"], 8)
+    assert boosting.bin_limits(df.limit(0), ["a", "b"], 8) == {"a": [], "b": []}
+
+
+def test_limits_of_many_values_keep_their_bound(spark, monkeypatch):
+    """Chunks with more values than points send points only, and ranks are off by no more than a step."""
+    monkeypatch.setattr(boosting, "CHUNK_ROWS", 400)
+    draw = random.Random(6)
+    values = [draw.gauss(0, 1) for _ in range(20_000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    assert boosting.summaries(df, ["v"], 100).agg(F.sum("n")).first()[0] == 20_000
+    assert boosting.summaries(df, ["v"], 100).count() < 6000
+    ordered, limits = sorted(values), boosting.bin_limits(df, ["v"], 16, 100)["v"]
+    assert len(limits) == 15
+    assert all(abs(bisect.bisect_right(ordered, x) / 20_000 - i / 16) <= 1 / 100 for i, x in enumerate(limits, 1))
+
+
+def test_rows_with_the_same_bins_are_one_row_of_a_tree(spark):
+    draw = random.Random(7)
+    rows = [([draw.randint(0, 3), draw.randint(0, 2)], draw.gauss(0, 1), 1.0) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "bins array<int>, g double, h double")
+    few = boosting.alike(df)
+    assert few.count() == 12 and few.agg(F.sum("n")).first()[0] == 2000
+    params = TreeParams(max_depth=3, min_samples_leaf=40, min_samples_split=90, learning_rate=0.1, reg_alpha=1.0, reg_lambda=2.0)
+    a, b = boosting.grow(df, params), boosting.grow(few, params)
+    assert all((getattr(a, n) == getattr(b, n)).all() for n in ("column", "cut", "left"))
+    assert a.value == pytest.approx(b.value) and a.gain == pytest.approx(b.gain)
+
+
+def test_sample_drops_the_other_rows_where_they_are_read(spark, monkeypatch):
+    """The rows of the sample are those of a sort of the whole table, but only a bucket's worth more is sorted."""
+    rows = spark.range(20_000).select(F.concat(F.lit("r"), "id").alias("record_id")).unionByName(spark.createDataFrame([(None,), (None,)], "record_id string"))
+    hashed = row_hash("record_id", 43)
+    for n in (0, 1, 700, 30_000):
+        found = [r[0] for r in tuning._first_by_hash(rows, hashed, n).collect()]
+        assert found == [r[0] for r in rows.orderBy(hashed, "record_id").limit(n).collect()]
+    plan = tuning._first_by_hash(rows, hashed, 700)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan
