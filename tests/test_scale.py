@@ -4,6 +4,7 @@ import bisect
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -13,6 +14,8 @@ from skyledger.functions.hashing import row_hash
 from skyledger.functions.numeric import half_up
 from skyledger.operators import boosting, sinks, tuning
 from skyledger.operators.tree_params import TreeParams
+from skyledger.operators.trees import fit
+from skyledger.plans import pipeline
 from skyledger.schema import readings_schema
 from skyledger.session import HOTSPOT_SETTINGS, with_settings
 from skyledger.sources import readings as source, star
@@ -114,3 +117,30 @@ def test_sample_drops_the_other_rows_where_they_are_read(spark, monkeypatch):
         assert found == [r[0] for r in rows.orderBy(hashed, "record_id").limit(n).collect()]
     plan = tuning._first_by_hash(rows, hashed, 700)._jdf.queryExecution().optimizedPlan().toString()
     assert "Filter" in plan
+
+
+def test_a_pipeline_reads_a_derived_table_once(spark, readings, tmp_path, monkeypatch):
+    """Analyses read the stored readings, not what these are derived from; the log has no row for that copy."""
+    seen, real = [], pipeline.cube.analysis_cube
+    monkeypatch.setattr(pipeline, "ANALYSES", {"dow_aqi": pipeline.ANALYSES["dow_aqi"]})
+    monkeypatch.setattr(pipeline, "CSV_REPORTS", ())
+    monkeypatch.setattr(pipeline.cube, "analysis_cube", lambda r: seen.append(r) or real(r))
+    entries = pipeline.run_pipeline(spark, readings, str(tmp_path), ["analysis"])
+    assert seen[0].inputFiles() and all(str(tmp_path / "readings") in f for f in seen[0].inputFiles())
+    assert "readings" not in {e["output_table"] for e in entries} and seen[0].exceptAll(readings).isEmpty()
+
+
+@pytest.mark.parametrize("params", [TreeParams(max_depth=6), TreeParams(max_depth=None, bootstrap=True, node_columns=3)])
+def test_rows_walk_to_the_leaf_of_their_bins(params):
+    draw = np.random.default_rng(3)
+    bins = draw.integers(0, 32, (1500, 7)).astype(np.uint8)
+    y = bins[:, 0] * 2.0 + bins[:, 3] + draw.normal(0, 3, 1500)
+    for tree in fit(bins, y, 32, params, 3, 11).trees:
+        found = []
+        for row in bins:
+            node = 0
+            while tree.column[node] >= 0:
+                node = tree.left[node] + (row[tree.column[node]] > tree.cut[node])
+            found.append(tree.value[node])
+        assert (tree.predict(bins) == np.array(found)).all()
+    assert len(tree.predict(bins[:0])) == 0
