@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType
 from checks import queries
 from skyledger.functions.hashing import row_hash
 from skyledger.functions.numeric import half_up
-from skyledger.operators import boosting, sinks, tuning
+from skyledger.operators import boosting, features, sinks, tuning
 from skyledger.operators.tree_params import TreeParams
 from skyledger.operators.trees import fit
 from skyledger.plans import pipeline
@@ -144,3 +144,44 @@ def test_rows_walk_to_the_leaf_of_their_bins(params):
             found.append(tree.value[node])
         assert (tree.predict(bins) == np.array(found)).all()
     assert len(tree.predict(bins[:0])) == 0
+
+
+@pytest.mark.parametrize("depth", [0, 1, 4, 6, 7])
+def test_masks_and_steps_find_the_same_leaf(depth, monkeypatch):
+    """Trees of up to 64 leaves are read off tables by column and bin; larger ones, and other types of bins, walk."""
+    draw = np.random.default_rng(depth)
+    bins = draw.integers(0, 32, (3000, 9)).astype(np.uint8)
+    y = bins[:, 0] * 2.0 + bins[:, 3] * bins[:, 4] + draw.normal(0, 3, 3000)
+    ensemble = fit(bins, y, 32, TreeParams(max_depth=depth, learning_rate=0.1), 4, 11)
+    others = draw.integers(0, 256, (500, 9)).astype(np.uint8)
+    for tree in ensemble.trees:
+        walks, real = [], tree._walked
+        monkeypatch.setattr(tree, "_walked", lambda b: walks.append(1) or real(b))
+        for rows in (bins, others, others[:0], np.asfortranarray(others)):
+            assert (tree.predict(rows) == real(rows)).all() and len(tree.predict(rows)) == len(rows)
+        assert bool(walks) == (np.count_nonzero(tree.column < 0) > 64)
+        assert (tree.predict(others.astype(np.int64)) == real(others)).all()
+
+
+def test_features_are_computed_once_a_row(spark):
+    """The test for complete rows does not repeat what the columns are derived from, and drops null and NaN alike."""
+    rows = spark.createDataFrame([("a", 4.0, 1), ("b", None, 2), ("c", math.nan, 3), ("d", 9.0, None), (None, 16.0, 5)], "record_id string, x double, y int")
+    found = features.ml_features(rows.select("record_id", F.sqrt("x").alias("PM2_5"), F.col("y").alias("AQI")))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("SQRT") == 1
+    assert found.dtypes == [("record_id", "string"), ("PM2_5", "double"), ("AQI", "double")]
+    assert sorted(found.collect(), key=str) == [("a", 2.0, 1.0), (None, 4.0, 5.0)]
+
+
+def test_searches_read_the_split_instead_of_hashing(spark, folder):
+    """Parts of the stored features are those of the split by hash."""
+    stored = queries.split_features(spark, folder)
+    whole = features.ml_features(star.readings(spark, folder))
+    for part, expected in zip(stored, features.train_test_split(whole)):
+        assert "md5" not in part._jdf.queryExecution().optimizedPlan().toString()
+        assert part.columns == expected.columns and part.exceptAll(expected).isEmpty() and expected.exceptAll(part).isEmpty()
+
+
+def test_the_filter_of_a_sample_hashes_an_id_once(spark):
+    rows = spark.range(2000).select(F.col("id").cast("string").alias("record_id"))
+    plan = tuning._first_by_hash(rows, row_hash("record_id", 43), 50)._jdf.queryExecution().optimizedPlan().toString()
+    assert [line.count("md5") for line in plan.splitlines() if "Filter" in line] == [1]
