@@ -5,7 +5,8 @@ partition, the next 32 its key there. Tasks combine what they meet and send each
 partition one summary at a time, never occurrences. A partition with mass M
 merges them into a Misra-Gries summary of more than M / threshold counters. Such
 a summary undercounts by less than the threshold, so every n-gram that reaches
-it survives; the survivors of all partitions make a bitmap of fixed size.
+it survives; the survivors of all partitions make a bitmap of bounded size. It
+passes the driver deflated, a stretch per partition, and is opened in the tasks.
 
 Second pass: n-grams whose bit is set are counted exactly, as words. Hashes that
 share a bit only cost work there, they change no count.
@@ -13,6 +14,7 @@ share a bit only cost work there, they change no count.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -31,6 +33,7 @@ BLANKS = [0x20, 0x09]
 UNKNOWN = "und"
 
 BITMAP_BITS = 27
+LEAST_BITS = 10
 PARTITION_MASS = 1 << 22
 CHUNK_BYTES = 1_000_000
 BUFFER = 4_000_000
@@ -190,8 +193,23 @@ def survivors(summaries: list[tuple[np.ndarray, np.ndarray]], threshold: int) ->
     return keys[counts + lowered >= threshold]
 
 
+class Bitmap(NamedTuple):
+    """2^size bits as deflated stretches of 2^width bits each; a missing stretch has no bit set."""
+
+    size: int
+    width: int
+    stretches: dict[int, bytes]
+
+    def opened(self) -> np.ndarray:
+        """The bits, eight to a byte, the lowest first."""
+        whole, step = np.zeros(1 << self.size - 3, np.uint8), 1 << self.width - 3
+        for part, data in self.stretches.items():
+            whole[part * step : (part + 1) * step] = np.frombuffer(zlib.decompress(data), np.uint8)
+        return whole
+
+
 def _segments(bits: int, bitmap_bits: int, threshold: int):
-    """The stretch of the bitmap that belongs to a hash partition."""
+    """The stretch of the bitmap that belongs to a hash partition, deflated."""
     width = bitmap_bits - bits
 
     def segment(table: pa.Table) -> pa.Table:
@@ -201,25 +219,26 @@ def _segments(bits: int, bitmap_bits: int, threshold: int):
             parts.append((np.concatenate([single, _unpack(more)]), np.concatenate([np.ones(len(single), np.int64), np.frombuffer(counts, np.uint32).astype(np.int64)])))
         flags = np.zeros(1 << width, bool)
         flags[survivors(parts, threshold) >> np.uint32(32 - width)] = True
-        return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
+        return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int64()), "bits": pa.array([zlib.compress(np.packbits(flags, bitorder="little"), 1)], pa.binary())})
 
     return segment
 
 
-def frequent_bitmap(docs: DataFrame, letters: int, longest: int, threshold: int, bitmap_bits: int = BITMAP_BITS, partition_mass: int = PARTITION_MASS) -> np.ndarray:
-    """2^bitmap_bits bits; that of the leading bits of an n-gram's hash is set if the n-gram may occur ``threshold`` times.
+def frequent_bitmap(docs: DataFrame, letters: int, longest: int, threshold: int, bitmap_bits: int = BITMAP_BITS, partition_mass: int = PARTITION_MASS) -> Bitmap:
+    """Up to 2^bitmap_bits bits; that of the leading bits of an n-gram's hash is set if the n-gram may occur ``threshold`` times.
 
-    The stretches of all partitions come to the driver: these bits, whatever the table's size.
+    Fewer bits for a small table: four for each n-gram that its letters can
+    repeat so often. The deflated stretches of all partitions come to the
+    driver, which does not open them: these bits at most, whatever the table's
+    size.
     """
     # words have two bytes at least, with the blank behind them
-    bits = min(max(0, (letters * longest // 2 // partition_mass).bit_length()), bitmap_bits - 3)
+    mass = letters * longest // 2
+    size = min(bitmap_bits, max(LEAST_BITS, (4 * mass // threshold).bit_length()))
+    bits = min(max(0, (mass // partition_mass).bit_length()), size - 3)
     sent = docs.mapInArrow(ragged.tidy(_send_summaries(longest, bits)), "part long, once binary, more binary, counts binary")
-    rows = sent.groupBy("part").applyInArrow(_segments(bits, bitmap_bits, threshold), "part long, bits binary").collect()
-    width = 1 << bitmap_bits - bits - 3
-    bitmap = np.zeros(1 << bitmap_bits - 3, np.uint8)
-    for part, data in rows:
-        bitmap[part * width : (part + 1) * width] = np.frombuffer(data, np.uint8)
-    return bitmap
+    rows = sent.groupBy("part").applyInArrow(_segments(bits, size, threshold), "part long, bits binary").collect()
+    return Bitmap(size, size - bits, {part: bytes(data) for part, data in rows})
 
 
 # --- second pass ------------------------------------------------------------------
@@ -228,18 +247,18 @@ COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("a", pa.int
 SLICE = 1 << 16
 
 
-def _count_frequent(longest: int, shared, bitmap_bits: int):
+def _count_frequent(longest: int, shared):
     """Counts per chunk of n-grams whose bit is set, and of all words (phrase null)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = shared.value
+        bitmap, shift = shared.value.opened(), np.uint64(64 - shared.value.size)
         for chunk in _chunks(batches):
             names, kinds = pa.array(chunk.names, pa.string()), len(chunk.lang)
             sums = np.bincount(chunk.lang[chunk.ids], minlength=len(names)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([names, pa.nulls(len(names), pa.string()), pa.array(sums)], schema=COUNTS)
             words = chunk.words.cast(pa.large_string())
             for size, (at, value) in enumerate(gram_hashes(chunk, longest), 1):
-                bit = value >> np.uint64(64 - bitmap_bits)
+                bit = value >> shift
                 at = at[(bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1]
                 if not len(at):
                     continue
@@ -265,7 +284,7 @@ def gram_counts(docs: DataFrame, longest: int, threshold: int, bitmap_bits: int
     shared = context.broadcast(frequent_bitmap(docs, letters, longest, threshold, bitmap_bits, partition_mass))
     # a frequent phrase leaves a task once: fewer, larger tasks send less
     tasks = max(2 * context.defaultParallelism, -(-letters // TASK_BYTES))
-    met = docs.coalesce(tasks).mapInArrow(ragged.tidy(_count_frequent(longest, shared, bitmap_bits)), "lang string, phrase string, a long")
+    met = docs.coalesce(tasks).mapInArrow(ragged.tidy(_count_frequent(longest, shared)), "lang string, phrase string, a long")
     return met.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where((F.col("a") >= threshold) | F.col("phrase").isNull())
 
 

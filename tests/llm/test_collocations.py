@@ -1,5 +1,6 @@
 """Collocations against plain counting."""
 
+import pickle
 import random
 import re
 from collections import Counter
@@ -55,6 +56,24 @@ def test_equals_plain_counting(spark, options):
     assert found(spark, docs, **options) == plain(docs, **{k: v for k, v in options.items() if k not in ("partition_mass", "bitmap_bits")})
 
 
+@pytest.mark.parametrize("options", [{}, {"partition_mass": 500}, {"partition_mass": 500, "bitmap_bits": 10}])
+def test_the_bitmap_passes_the_driver_small_and_misses_no_frequent_gram(spark, options):
+    docs = drawn(4)
+    letters, lang = sum(len((t or "").encode()) for t, _ in docs), [g or "und" for _, g in docs]
+    df = spark.createDataFrame(list(zip([t for t, _ in docs], lang)), "text string, lang string").repartition(4)
+    bitmap = col.frequent_bitmap(df, letters, 3, 10, **options)
+    assert len(pickle.dumps(bitmap)) < letters
+    bits = bitmap.opened()
+    assert 8 * len(bits) == 1 << bitmap.size
+    met = Counter(int(h) for _, value in col.gram_hashes(col.tokens([(t or "").encode() for t, _ in docs], lang), 3) for h in value)
+    frequent = [h >> 64 - bitmap.size for h, n in met.items() if n >= 10]
+    assert frequent and all(bits[b >> 3] >> (b & 7) & 1 for b in frequent)
+
+
+def test_a_bitmap_without_stretches_has_no_bits():
+    assert not col.Bitmap(12, 9, {}).opened().any()
+
+
 def test_small_chunks_and_buffers_give_the_same(spark, monkeypatch):
     docs = drawn(2)
     monkeypatch.setattr(col, "BUFFER", 50)
