@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators import clusters, features, reporting, sinks, tuning
+from skyledger.operators.tree_params import TreeParams
+from skyledger.operators.trees import fit
 
 
 @pytest.fixture(scope="module")
@@ -127,3 +129,35 @@ def test_clusters_and_components(readings):
     assert all(abs(m) < 1e-9 for m in means)
     table = clusters.city_cluster_table(profiles, found, points)
     assert table.count() == profiles.count() and {"cluster", "pc1", "pc2"} <= set(table.columns)
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """More rows than a task holds as one array, and a label that only the second half's columns explain."""
+    return spark.range(0, 25_000, 1, 7).select(
+        F.concat(F.lit("r"), "id").alias("record_id"), (F.xxhash64("id") % 40).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"),
+        ((F.xxhash64("id") % 40) * 3 + F.pow(F.col("id") % 5, F.lit(2))).cast("double").alias("AQI"))
+
+
+def test_every_training_row_is_fitted(many):
+    a, b = (tuning.fit_sample(rows, 3, 42) for rows in (many, many.repartition(13)))
+    assert len(a.y) == 25_000 and (a.bins == b.bins).all() and (a.y == b.y).all() and (a.fold == b.fold).all()
+    first = tuning.fit_sample(many, 3, 42, fit_rows=300)
+    assert (first.y == a.y[:300]).all() and (first.bins == a.bins[:300]).all()
+
+
+@pytest.mark.parametrize("tune, point", [
+    (tuning.tune_random_forest, {"n_estimators": 3, "max_depth": 6, "min_samples_leaf": 2}),
+    (tuning.tune_gradient_boosting, {"n_estimators": 4, "max_depth": 3, "learning_rate": 0.3, "subsample": 0.8}),
+    (tuning.tune_boosted_regularized, {"n_estimators": 4, "max_depth": 3, "learning_rate": 0.3, "reg_alpha": 1.0, "reg_lambda": 2.0})])
+def test_searches_learn_from_all_rows(spark, many, tune, point):
+    """Models, scores and importances are those of fits over every training row."""
+    search, _ = tune(many, many, {k: [v] for k, v in point.items()}, 1)
+    rows, params = tuning.fit_sample(many, 3, 42), TreeParams.of_point(point, 2, tune is tuning.tune_random_forest)
+    expected = fit(rows.bins, rows.y, 32, params, point["n_estimators"], 42)
+    assert np.allclose(search.model.ensemble.predict(rows.bins), expected.predict(rows.bins))
+    held = [rows.fold == f for f in range(3)]
+    parts = [fit(rows.bins[~h], rows.y[~h], 32, params, point["n_estimators"], 42).predict(rows.bins[h]) for h in held]
+    assert search.scores == [pytest.approx(np.mean([tuning.r2_score(rows.y[h], p) for h, p in zip(held, parts)]))]
+    found = {r["feature"]: r["importance"] for r in tuning.feature_importance(spark, search.model).collect()}
+    assert found == pytest.approx(dict(zip(rows.limits, expected.gains(2))))
