@@ -133,7 +133,7 @@ def test_clusters_and_components(readings):
 
 @pytest.fixture(scope="module")
 def many(spark):
-    """More rows than a task holds as one array, and a label that only the second half's columns explain."""
+    """More rows than a task holds as one array."""
     return spark.range(0, 25_000, 1, 7).select(
         F.concat(F.lit("r"), "id").alias("record_id"), (F.xxhash64("id") % 40).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"),
         ((F.xxhash64("id") % 40) * 3 + F.pow(F.col("id") % 5, F.lit(2))).cast("double").alias("AQI"))
@@ -153,6 +153,7 @@ def test_every_training_row_is_fitted(many):
 def test_searches_learn_from_all_rows(spark, many, tune, point):
     """Models, scores and importances are those of fits over every training row."""
     search, _ = tune(many, many, {k: [v] for k, v in point.items()}, 1)
+    assert search.model.ensemble.base == pytest.approx(many.agg(F.avg("AQI")).first()[0], rel=1e-9)
     rows, params = tuning.fit_sample(many, 3, 42), TreeParams.of_point(point, 2, tune is tuning.tune_random_forest)
     expected = fit(rows.bins, rows.y, 32, params, point["n_estimators"], 42)
     assert np.allclose(search.model.ensemble.predict(rows.bins), expected.predict(rows.bins))
